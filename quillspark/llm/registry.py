@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import vector_pack
+from quillspark.llm import bfd_pack, ppm_language, vector_pack
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_token_packing": bfd_pack.op1_token_packing,
+        "op4_ppm_language": ppm_language.op4_ppm_language,
         "op5_vector_packing": vector_pack.op5_vector_packing,
     }
 
