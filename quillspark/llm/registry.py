@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import bfd_pack, ppm_language, vector_pack
+from quillspark.llm import bfd_pack, ppm_language, simhash, vector_pack
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def queries() -> dict[str, Query]:
         "op1_token_packing": bfd_pack.op1_token_packing,
         "op4_ppm_language": ppm_language.op4_ppm_language,
         "op5_vector_packing": vector_pack.op5_vector_packing,
+        "op6_simhash": simhash.op6_simhash,
     }
 
 
