@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import bfd_pack, ppm_language, simhash, vector_pack
+from quillspark.llm import bfd_pack, ppm_language, simhash, suffix_dedup, vector_pack
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_token_packing": bfd_pack.op1_token_packing,
+        "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
         "op4_ppm_language": ppm_language.op4_ppm_language,
         "op5_vector_packing": vector_pack.op5_vector_packing,
         "op6_simhash": simhash.op6_simhash,
