@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import bfd_pack, ppm_language, simhash, suffix_dedup, vector_pack
+from quillspark.llm import bfd_pack, decontaminate, ppm_language, simhash, suffix_dedup, vector_pack
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,8 +18,11 @@ def queries() -> dict[str, Query]:
         "op4_ppm_language": ppm_language.op4_ppm_language,
         "op5_vector_packing": vector_pack.op5_vector_packing,
         "op6_simhash": simhash.op6_simhash,
+        "op7_decontamination": decontaminate.op7_decontamination,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op7_decontamination": decontaminate.OP7_SQL,
+    }
