@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import bfd_pack, decontaminate, ppm_language, simhash, suffix_dedup, vector_pack
+from quillspark.llm import bfd_pack, decontaminate, ppm_language, simhash, suffix_dedup, syncmers, vector_pack
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,7 @@ def queries() -> dict[str, Query]:
         "op5_vector_packing": vector_pack.op5_vector_packing,
         "op6_simhash": simhash.op6_simhash,
         "op7_decontamination": decontaminate.op7_decontamination,
+        "op8_syncmers": syncmers.op8_syncmers,
     }
 
 
