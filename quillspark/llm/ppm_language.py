@@ -169,22 +169,27 @@ def training_rows(doc_id: Column) -> Column:
 def sample(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> dict[str, list[bytes]]:
     """At most ``SAMPLE_DOCS`` documents of each language, the first by a hash of their id; a bounded collect.
 
-    Only ids are ranked (a partial top-k in every task); the few texts are then read.
+    Only ids are ranked; the few texts are then read.
     """
     usable = df.where(df[text_col].isNotNull() & df[lang_col].isNotNull() & (F.octet_length(df[text_col]) <= SAMPLE_DOC_BYTES) & df[text_col].rlike("\\p{L}"))
     rows = usable.select(df[id_col].cast("long").alias("id"), df[lang_col].cast("string").alias("lang"))
-    order = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    top = rows.withColumn("k", F.row_number().over(order)).where(F.col("k") <= SAMPLE_DOCS)
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()}
+    if not counts:
+        return {}
+    # About four times the wanted ids of each language pass by their hash, however many rows there are; only those are ranked.
+    space = 1 << 40
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(space, 4 * SAMPLE_DOCS * space // n))])
+    few = rows.where(F.pmod(F.xxhash64("id"), F.lit(space)) < F.try_element_at(share, F.col("lang"))).distinct()
+    order = W.partitionBy("lang").orderBy(F.pmod(F.xxhash64("id"), F.lit(space)), "id")
+    top = few.withColumn("k", F.row_number().over(order)).where(F.col("k") <= SAMPLE_DOCS)
     by_lang: dict[str, set] = {}
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    kept = {r["lang"] for r in counts}
-    for r in top.where(F.col("lang").isin(sorted(kept))).select("id", "lang").collect() if kept else []:
+    for r in top.select("id", "lang").collect():
         by_lang.setdefault(r["lang"], set()).add(r["id"])
     ids = sorted({i for v in by_lang.values() for i in v if i is not None})
     out: dict[str, list[bytes]] = {}
     if ids:
         texts = usable.where(df[id_col].cast("long").isin(ids)).select(df[lang_col].cast("string").alias("lang"), df[text_col].cast("string").alias("text"))
-        for r in texts.limit(2 * SAMPLE_DOCS * max(1, len(kept))).collect():
+        for r in texts.limit(2 * SAMPLE_DOCS * len(counts)).collect():
             if r["lang"] in by_lang:
                 out.setdefault(r["lang"], []).append(r["text"].encode())
     return {k: sorted(v) for k, v in out.items()}
