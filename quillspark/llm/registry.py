@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import bfd_pack, decontaminate, ppm_language, simhash, suffix_dedup, syncmers, vector_pack
+from quillspark.llm import bfd_pack, decontaminate, ppm_language, simhash, suffix_dedup, syncmers, url_filter, vector_pack
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_token_packing": bfd_pack.op1_token_packing,
+        "op2_url_filter": url_filter.op2_url_filter,
         "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup,
         "op4_ppm_language": ppm_language.op4_ppm_language,
         "op5_vector_packing": vector_pack.op5_vector_packing,
@@ -25,5 +26,6 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_url_filter": url_filter.OP2_SQL,
         "op7_decontamination": decontaminate.OP7_SQL,
     }
