@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillspark.llm import bfd_pack, decontaminate, ppm_language, simhash, suffix_dedup, syncmers, url_filter, vector_pack
+from quillspark.llm import bfd_pack, decontaminate, html_text, ppm_language, simhash, suffix_dedup, syncmers, url_filter, vector_pack
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,7 @@ def queries() -> dict[str, Query]:
         "op6_simhash": simhash.op6_simhash,
         "op7_decontamination": decontaminate.op7_decontamination,
         "op8_syncmers": syncmers.op8_syncmers,
+        "op9_html_text": html_text.op9_html_text,
     }
 
 
