@@ -38,6 +38,8 @@ LENGTH, ANCHOR = 100, 20
 HOT = 20_000
 #: Bytes of segments in a collection, if no single anchor has more.
 COLLECTION_BYTES = 2 << 20
+#: Windows that are looked at together when a collection is trimmed.
+STRETCH = 16
 #: Windows of a chunk whose anchors are searched at a time.
 CHUNK_BYTES = 2 << 20
 #: A column file stays in memory up to this size, then goes to disk like any spill of a task.
@@ -72,7 +74,7 @@ def _span_hash(words: np.ndarray, first: np.ndarray, last: np.ndarray, length: i
 
 
 def segments(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
-    """(document, start, windows, anchor hash, segment hash) of a buffer's segments. ``start`` counts from the document's first byte."""
+    """(document, start, windows and anchor's place, anchor hash, segment hash) of a buffer's segments. ``start`` counts from the document's first byte."""
     n = len(data)
     empty = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
     if n < length:
@@ -105,7 +107,8 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, anchor
         return empty
     stop = np.flatnonzero(valid & np.concatenate([(at[1:] != at[:-1]) | ~valid[1:], [True]]))
     doc = np.searchsorted(offsets, start, side="right") - 1
-    return doc, start - offsets[doc], stop - start + 1, h[at[start]], _span_hash(words, start, stop, length)
+    # Windows of the segment, and above 8 bits where its anchor is.
+    return doc, start - offsets[doc], (stop - start + 1) | (at[start] - start) << 8, h[at[start]], _span_hash(words, start, stop, length)
 
 
 _SEGMENT = pa.schema([("anchor", pa.int64()), ("seg", pa.int64()), ("id", pa.int64()), ("crc", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
@@ -136,7 +139,7 @@ def _settled(anchor: np.ndarray, seg: np.ndarray, ids: np.ndarray, crc: np.ndarr
     of = np.flatnonzero(head)[np.cumsum(head) - 1] if len(a) else np.zeros(0, np.int64)
     first = (i == i[of]) & (c == c[of]) & (p == p[of])
     gone = ~first
-    (gi, gc), gs, ge = _intervals((i[gone], c[gone]), p[gone], p[gone] + m[gone] + length - 1)
+    (gi, gc), gs, ge = _intervals((i[gone], c[gone]), p[gone], p[gone] + (m[gone] & 255) + length - 1)
     spread = _mix(gi.astype(np.uint64) * _ODD[0] + gs.astype(np.uint64)).view(np.int64)
     columns = ((a[first], spread), (s[first], np.zeros(len(gi), np.int64)), (i[first], gi), (c[first], gc), (p[first].astype(np.int32), gs.astype(np.int32)), (m[first].astype(np.int32), (gs - ge).astype(np.int32)))
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in columns], schema=_SEGMENT)
@@ -257,6 +260,37 @@ def column_wise(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return result
 
 
+def trimmed(data: np.ndarray, offsets: np.ndarray, anchors: np.ndarray, places: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """(bytes, offsets, segment, bytes left out in front) of what segments may share with another of their anchor.
+
+    Windows are taken in stretches of ``STRETCH`` by their distance to the anchor.
+    All windows of a stretch hold the bytes between its last window's start and its
+    first one's end, so those that no other segment has at that place can't recur.
+    """
+    n = np.diff(offsets) - length + 1
+    first, last = (places - n + 1) // STRETCH, places // STRETCH  # stretches by distance of a window's start before the anchor
+    last = np.minimum(last, (length - 1) // STRETCH)
+    words, core = _words(data), length - STRETCH + 1
+    lo, hi = np.full(len(n), 1 << 30), np.full(len(n), -1)
+    for q in range(int(max(first.min(initial=0), 0)), int(last.max(initial=-1)) + 1):
+        own = np.flatnonzero((first <= q) & (q <= last))
+        at = offsets[own] + places[own] - q * STRETCH  # the core starts where the stretch's last window does
+        inside = (at >= offsets[own]) & (at + core <= offsets[own + 1])
+        h = anchors[own].astype(np.uint64) + np.uint64(q)
+        for step in [*range(0, core - 8, 8), core - 8]:
+            h = _mix((h ^ words[np.clip(at + step, 0, len(words) - 1)]) * _ODD[0] + _ODD[1])
+        _, code, count = np.unique(h, return_inverse=True, return_counts=True)
+        stay = own[(count[code] > 1) | ~inside]
+        # Window starts of the stretch, as places in the segment.
+        lo[stay] = np.minimum(lo[stay], np.maximum(places[stay] - q * STRETCH - STRETCH + 1, 0))
+        hi[stay] = np.maximum(hi[stay], np.minimum(places[stay] - q * STRETCH, n[stay] - 1))
+    kept = np.flatnonzero(hi >= lo)
+    size = hi[kept] - lo[kept] + length
+    ends = np.concatenate([[0], np.cumsum(size)])
+    take = np.repeat(offsets[kept] + lo[kept] - ends[:-1], size) + np.arange(ends[-1])
+    return data[take], ends, kept, lo[kept]
+
+
 def repeated_windows(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, crc: np.ndarray, start: np.ndarray, length: int) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray, np.ndarray]:
     """((id, crc), start, end) of what the windows cover that aren't the first of their kind in a collection."""
     seg, size, lcp = column_wise(data, offsets)
@@ -277,7 +311,7 @@ def _cut_out(cut_windows: bool, length: int):
     """Segment texts out of documents; with cut_windows their single windows, settled in the chunk, instead."""
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("anchor", pa.int64()), ("id", pa.int64()), ("crc", pa.int64()), ("start", pa.int32()), ("data", pa.binary())])
+        schema = pa.schema([("anchor", pa.int64()), ("id", pa.int64()), ("crc", pa.int64()), ("start", pa.int32()), ("at", pa.int32()), ("data", pa.binary())])
         for batch in batches_of(batches, "text", CHUNK_BYTES):
             data, offsets = utf8_buffer(batch.column("text"))
             wanted = batch.column("wanted")
@@ -287,9 +321,10 @@ def _cut_out(cut_windows: bool, length: int):
             a, p, n = (np.asarray(flat.field(k)).astype(np.int64) for k in range(3))
             ids, crc = np.asarray(batch.column("id"))[doc], np.asarray(batch.column("crc"))[doc]
             first = offsets[doc] + p
+            place, n = n >> 8, n & 255
             if not cut_windows:
                 raw = data.tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(ids), pa.array(crc), pa.array(p.astype(np.int32)), pa.array([raw[s:e] for s, e in zip(first.tolist(), (first + n + length - 1).tolist(), strict=True)], pa.binary())], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(ids), pa.array(crc), pa.array(p.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array([raw[s:e] for s, e in zip(first.tolist(), (first + n + length - 1).tolist(), strict=True)], pa.binary())], schema=schema)
                 continue
             each = np.repeat(np.arange(len(n)), n)
             step = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
@@ -316,7 +351,8 @@ def _build(length: int, collection_bytes: int):
             offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
             data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
             ids, crc, start = (np.asarray(table.column(k)).astype(np.int64) for k in ("id", "crc", "start"))
-            (i, c), s, e = repeated_windows(data, offsets - offsets[0], ids, crc, start, length)
+            data, offsets, kept, moved = trimmed(data, offsets - offsets[0], np.asarray(table.column("anchor")), np.asarray(table.column("at")).astype(np.int64), length)
+            (i, c), s, e = repeated_windows(data, offsets, ids[kept], crc[kept], start[kept] + moved, length)
             return pa.RecordBatch.from_arrays([pa.array(i), pa.array(c), pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32))], schema=schema)
 
         for whole in batches:
@@ -390,14 +426,14 @@ def remove_repeats(
     docs = df.select(key_id.alias("id"), key_crc.alias("crc"), df[text_col].cast("string").alias("text"))
     found = docs.where(F.octet_length("text") >= length).mapInArrow(_find_segments(length, anchor), _SEGMENT_SQL)
     known = stored(settle(found).where("rank > 1 OR n < 0 OR kinds > 1"), "segments")
-    gone = known.where("n < 0").selectExpr("id", "crc", "start AS s", "start - n AS e").union(known.where("n > 0 AND rank > 1").selectExpr("id", "crc", "start AS s", f"start + n + {length - 1} AS e"))
+    gone = known.where("n < 0").selectExpr("id", "crc", "start AS s", "start - n AS e").union(known.where("n > 0 AND rank > 1").selectExpr("id", "crc", "start AS s", f"start + (n & 255) + {length - 1} AS e"))
     leading = known.where("n > 0 AND rank = 1 AND kinds > 1")
 
     def with_text(some: DataFrame) -> DataFrame:
         wanted = some.groupBy("id", "crc").agg(F.collect_list(F.struct("anchor", "start", "n")).alias("wanted"))
         return docs.join(wanted.hint("shuffle_hash"), ["id", "crc"])
 
-    pieces = with_text(leading.where(F.col("kinds") <= hot)).mapInArrow(_cut_out(False, length), "anchor long, id long, crc long, start int, data binary")
+    pieces = with_text(leading.where(F.col("kinds") <= hot)).mapInArrow(_cut_out(False, length), "anchor long, id long, crc long, start int, at int, data binary")
     built = pieces.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_build(length, collection_bytes), "id long, crc long, s int, e int")
     gone = gone.union(built)
     crowded = leading.where(F.col("kinds") > hot)
