@@ -43,10 +43,14 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_extract_all(ascii_lower, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
 
 
-def _shingles(words: Column, size: int) -> Column:
-    """(position, hash) of every run of ``size`` words."""
-    last = F.size(words) - size
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.xxhash64(F.slice(words, i + 1, size)))).otherwise(F.array().cast("array<long>"))
+def _hashed(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _shingles(hashed: Column, size: int) -> Column:
+    """Hashes of every run of ``size`` words, from the words' own."""
+    last = F.size(hashed) - size
+    return F.when(last >= 0, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(0)) + 1), lambda i: F.xxhash64(F.slice(hashed, i, size)))).otherwise(F.array().cast("array<long>"))
 
 
 def windows_of(items: DataFrame, window: int) -> DataFrame:
@@ -57,30 +61,50 @@ def windows_of(items: DataFrame, window: int) -> DataFrame:
     return cut.distinct().select(F.xxhash64(F.concat_ws(" ", "words"), F.lit("window")).alias("wid"), "item", "words", F.size("words").alias("size"))
 
 
-def contained_windows(docs: DataFrame, items: DataFrame, window: int = 13, shingle: int = SHINGLE, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Occurrences (key, start, end, item) of items' windows in documents.
+#: A hash that stands for a document itself among its shingles'.
+_SELF = 0
+
+
+def contained_windows(docs: DataFrame, items: DataFrame, window: int = 13, shingle: int = SHINGLE, broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Occurrences (key, start, end, item) of items' windows in documents, and the documents' sizes (key, n), once each.
 
     ``docs``: key and words; ``items``: item and words.  start and end count words.
+    The documents' texts are gone through once: each adds a row of its own to the hits.
     """
     windows = stored(windows_of(items, window), "windows")
     own = windows.select("wid", "words", "size").distinct()
     of_size = F.least(F.col("size"), F.lit(shingle))
     # Distinct shingles of the benchmark, numbered by their words.
     parts = own.select("wid", "size", of_size.alias("k"), F.explode(F.sequence(F.lit(0), F.col("size") - of_size)).alias("off"), "words").select("wid", "size", "k", "off", F.slice("words", F.col("off") + 1, F.col("k")).alias("shingle"))
-    parts = stored(parts.withColumn("hash", F.xxhash64("shingle")), "shingles")
+    parts = stored(parts.withColumn("hash", F.xxhash64(_hashed(F.col("shingle")))), "shingles")
     vocabulary = parts.select("k", "hash", "shingle").distinct()
     rows = vocabulary.count()
     kinds = sorted(r["k"] for r in vocabulary.select("k").distinct().collect())  # at most `shingle` of them
+    hashed = docs.select("key", "words", _hashed(F.col("words")).alias("hashed"))
+    small = rows <= broadcast_rows
     found = None
     for k in kinds:
         side = vocabulary.where(F.col("k") == k).select("hash", F.col("shingle").alias("wanted"))
-        side = F.broadcast(side) if rows <= broadcast_rows else side
-        each = docs.select("key", "words", F.posexplode(_shingles(F.col("words"), k)).alias("pos", "hash"))
-        met = each.join(side, "hash").where(F.slice("words", F.col("pos") + 1, k) == F.col("wanted")).select("key", F.size("words").alias("n"), "pos", F.lit(k).alias("k"), "hash")
+        each = F.posexplode(_shingles(F.col("hashed"), k))
+        if small:
+            own = F.array(F.lit(_SELF).cast("long")) if k == kinds[0] else F.array().cast("array<long>")
+            each = F.posexplode(F.concat(own, _shingles(F.col("hashed"), k)))
+            side = F.broadcast(side.unionByName(side.sparkSession.range(1).select(F.lit(_SELF).cast("long").alias("hash"), F.lit(None).cast("array<string>").alias("wanted"))) if k == kinds[0] else side)
+        first = 1 if small and k == kinds[0] else 0
+        rows_of = hashed.select("key", "words", each.alias("pos", "hash"))
+        same = F.slice("words", F.col("pos") + 1 - first, k) == F.col("wanted")
+        if first:
+            same = F.when(F.col("pos") == 0, F.col("wanted").isNull()).otherwise(F.coalesce(same, F.lit(False)))
+        met = rows_of.join(side, "hash").where(same).select("key", F.size("words").alias("n"), (F.col("pos") - first).alias("pos"), F.lit(k).alias("k"), "hash")
         found = met if found is None else found.union(met)
+    if not small or found is None:
+        sizes = docs.select("key", F.size("words").alias("n"))
     if found is None:
-        return docs.select("key", F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit(None).cast("string").alias("item")).where(F.lit(False))
-    hits = stored(found, "hits").distinct()
+        return docs.select("key", F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit(None).cast("string").alias("item")).where(F.lit(False)), sizes.distinct()
+    found = stored(found, "hits")
+    if small:
+        sizes = found.where("pos < 0").select("key", "n")
+    hits = found.where("pos >= 0").distinct()
     df = hits.groupBy("k", "hash").agg(F.count("*").alias("df"))
     # Hashes of different words are parted by the windows' own words in the end: a proposal needs each shingle at its place.
     rarity = W.partitionBy("wid").orderBy("df", "off")
@@ -90,7 +114,7 @@ def contained_windows(docs: DataFrame, items: DataFrame, window: int = 13, shing
     proposed = hits.join(prefix, ["k", "hash"]).select("key", "wid", "size", "need", (F.col("pos") - F.col("off")).alias("start"), "n").where("start >= 0 AND start + size <= n")
     expected = proposed.join(parts.select("wid", "k", "hash", "off"), "wid").select("key", "wid", "size", "need", "start", "k", "hash", (F.col("start") + F.col("off")).alias("pos"))
     stand = expected.join(hits.select("key", "k", "hash", "pos"), ["key", "k", "hash", "pos"]).groupBy("key", "wid", "size", "need", "start").agg(F.count("*").alias("met")).where("met = need")
-    return stand.join(windows.select("wid", "item"), "wid").select("key", "start", (F.col("start") + F.col("size")).alias("end"), "item")
+    return stand.join(windows.select("wid", "item"), "wid").select("key", "start", (F.col("start") + F.col("size")).alias("end"), "item"), sizes.distinct()
 
 
 def decontaminate(
@@ -117,16 +141,18 @@ def decontaminate(
     key = F.struct(docs[id_col].cast("string").alias("id"), text_key(docs[text_col].cast("string")).alias("crc"))
     texts = docs.select(key.alias("key"), words(docs[text_col]).alias("words"))
     items = benchmark.select(benchmark[item_col].cast("string").alias("item"), words(benchmark[item_text_col]).alias("words"))
-    occurs = stored(contained_windows(texts, items, window), "occurrences")
+    occurs, sizes = contained_windows(texts, items, window)
+    occurs = stored(occurs, "occurrences")
     before = W.partitionBy("key").orderBy("start", "end").rowsBetween(W.unboundedPreceding, -1)
     spans = occurs.select("key", "start", "end").distinct().withColumn("seen", F.max("end").over(before))
     hit = spans.groupBy("key").agg(F.sum(F.greatest(F.lit(0), F.col("end") - F.greatest("start", F.coalesce("seen", "start")))).cast("long").alias("n_hit"))
     named = occurs.groupBy("key").agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
-    per_key = hit.join(named, "key").select(F.col("key").alias("__key"), "n_hit", "item_ids")
-    rows = docs.select(*[docs[c] for c in keep], key.alias("__key"), F.size(words(docs[text_col])).cast("long").alias("n_words"))
-    joined = rows.join(per_key, rows["__key"].eqNullSafe(per_key["__key"]), "left")
-    n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return joined.select(*[rows[c] for c in keep], "n_words", n_hit.alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"), ((n_hit > 0) & (n_hit >= least_share * F.col("n_words"))).alias("contaminated"))
+    no_items = F.array().cast("array<string>")
+    per_key = sizes.join(hit, "key", "left").join(named, "key", "left").select(F.col("key").alias("__key"), F.col("n").cast("long").alias("n_words"), F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("item_ids", no_items).alias("item_ids"))
+    rows = docs.select(*[docs[c] for c in keep], key.alias("__key"))
+    joined = rows.join(per_key, rows["__key"].eqNullSafe(per_key["__key"]))
+    contaminated = (F.col("n_hit") > 0) & (F.col("n_hit") >= least_share * F.col("n_words"))
+    return joined.select(*[rows[c] for c in keep], "n_words", "n_hit", "item_ids", contaminated.alias("contaminated"))
 
 
 def op7_decontamination(spark, sf_dir: str) -> DataFrame:
