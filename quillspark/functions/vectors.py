@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from quillspark.functions.text import tokens
 
 
+def let(value: Column, f) -> Column:
+    """f(value), with the value worked out once however often f uses it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def cosine(a: Column, b: Column) -> Column:
     """0 if either norm is 0."""
     dot = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
@@ -20,15 +25,14 @@ def norm(a: Column) -> Column:
 
 
 def normalised(a: Column) -> Column:
-    n = norm(a)
-    return F.when(n == 0, a).otherwise(F.transform(a, lambda x: x / n))
+    return let(a, lambda v: let(norm(v), lambda n: F.when(n == 0, v).otherwise(F.transform(v, lambda x: x / n))))
 
 
 def hash_vector(text: Column, dim: int = 64, first: int = 200) -> Column:
     """Counts of the first ``first`` words by the hash of the word, L2-normalised."""
     bucket = lambda w: (F.conv(F.right(F.sha2(w.cast("binary"), 256), F.lit(8)), 16, 10).cast("long") % dim).cast("int")
     buckets = F.transform(F.slice(tokens(text), 1, first), bucket)
-    counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.size(F.filter(buckets, lambda b: b == i)).cast("double"))
+    counts = let(buckets, lambda bs: F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.size(F.filter(bs, lambda b: b == i)).cast("double")))
     return normalised(counts)
 
 

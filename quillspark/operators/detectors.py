@@ -147,12 +147,18 @@ def _bytes():
 _URI = "data:([\\w.+-]+/[\\w.+-]+);base64,([A-Za-z0-9+/=\\s]{40,})"
 
 
+def decoded(payload: Column) -> Column:
+    """Strict base64 without white space; null if it isn't."""
+    dense = F.regexp_replace(payload, "\\s", "")
+    return F.when(dense.rlike("^[A-Za-z0-9+/]*={0,2}$") & (F.length(dense) % 4 == 0), F.try_to_binary(dense, F.lit("base64")))
+
+
 @register("base64_data_uri", "repair")
 def _data_uri():
     text = F.coalesce("text", F.lit(""))
     found = F.regexp_extract_all(text, F.lit(_URI), F.lit(2))
     chars = F.aggregate(F.transform(found, lambda x: F.length(x)), F.lit(0), lambda a, x: a + x)
-    images = _count(found, lambda x: F.coalesce(magic_type(F.try_to_binary(F.regexp_replace(x, "\\s", ""), F.lit("base64"))).isin(IMAGE_TYPES), F.lit(False)))
+    images = _count(found, lambda x: F.coalesce(magic_type(decoded(x)).isin(IMAGE_TYPES), F.lit(False)))
     return {"blob_count": F.size(found), "decoded_images": images, "blob_chars": chars, "blob_share": _share(chars, F.length(text))}, F.size(found) > 0
 
 
@@ -161,7 +167,7 @@ def _bare():
     text = F.coalesce("text", F.lit(""))
     found = F.regexp_extract_all(text, F.lit("(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{512,}={0,2}"), F.lit(0))
     chars = F.aggregate(F.transform(found, lambda x: F.length(x)), F.lit(0), lambda a, x: a + x)
-    ok = _count(found, lambda x: F.try_to_binary(x, F.lit("base64")).isNotNull())
+    ok = _count(found, lambda x: decoded(x).isNotNull())
     return {"blob_count": F.size(found), "decodable_blobs": ok, "blob_chars": chars, "blob_share": _share(chars, F.length(text))}, F.size(found) > 0
 
 

@@ -13,6 +13,10 @@ from quillspark.functions.vectors import cosine
 K1, B = 1.2, 0.75
 
 
+def _equals(term: str):
+    return lambda x: x == term
+
+
 def bm25(docs: DataFrame, key: str, text: str, query: list[str], k: int | None = None) -> DataFrame:
     """V1: (key, score) of documents that hold a query term; k None: all of them.
 
@@ -21,7 +25,7 @@ def bm25(docs: DataFrame, key: str, text: str, query: list[str], k: int | None =
     """
     terms = sorted(set(query))
     words = docs.select(key, tokens(F.col(text)).alias("w"))
-    counts = words.select(key, F.size("w").alias("dl"), *[F.size(F.filter("w", lambda x, t=t: x == t)).alias(f"tf{i}") for i, t in enumerate(terms)])
+    counts = words.select(key, F.size("w").alias("dl"), *[F.size(F.filter("w", _equals(t))).alias(f"tf{i}") for i, t in enumerate(terms)])
     stats = counts.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))]).first()
     score = F.lit(0.0)
     for i in range(len(terms)):
