@@ -19,11 +19,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from quillspark.functions.shipping import ship
-from quillspark.llm.common import batches_of
+from quillspark.llm.common import batches_of, map_batches
 from quillspark.llm.tokens import BatchTokenizer, tokenizer_path
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Sequences filled to less than 95 % that a block hands on to the next.
 REOPEN = 512
 
@@ -100,7 +99,6 @@ def pack_tokens(
     like others, a null id stays null, further columns are ignored, an empty table
     gives no rows.
     """
-    ship(df.sparkSession)
     path = tokenizer or tokenizer_path()
     kind = {2: "<u2", 4: "<u4"}[id_bytes]
     source = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"))
@@ -158,7 +156,7 @@ def pack_tokens(
             bins = best_fit_decreasing(np.array([len(p[2]) for p in carried], np.int64), capacity)
             yield emit([[carried[i] for i in b] for b in bins])
 
-    return source.mapInArrow(run, schema)
+    return map_batches(source, run, schema)
 
 
 def op1_token_packing(spark, sf_dir: str) -> DataFrame:

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +16,8 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillspark.functions.shipping import ship
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``; only where it is unset, a local one (tests)."""
@@ -44,6 +49,35 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+#: Arrow batches between the JVM and Python: bytes of one, where the session doesn't say otherwise. Rows alone would let long texts fill a worker.
+ARROW_BYTES, ARROW_ROWS = 8 << 20, 4000
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` with bounded batches and workers that give back what a task has used."""
+    spark = df.sparkSession
+    ship(spark)
+    for key, value in (("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES), ("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)):
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return df.mapInArrow(bounded, schema)
+
+
+def release_memory() -> None:
+    """Hand free memory of this worker back to the system; workers are used again by other tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def text_key(text: Column) -> Column:
     """A hash that tells rows with one id and different texts apart; with the id it is a row's key."""
     return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))

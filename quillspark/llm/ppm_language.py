@@ -25,8 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.functions.shipping import ship
-from quillspark.llm.common import batches_of, utf8_buffer
+from quillspark.llm.common import batches_of, map_batches, utf8_buffer
 
 #: Bound of the training sample: documents per language, each of at most so many bytes.
 SAMPLE_DOCS, SAMPLE_DOC_BYTES = 400, 20_000
@@ -208,7 +207,6 @@ def identify(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_co
     fields = [f for f in source.schema.fields if f.name not in ("__text", "__letter")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", lang_pred string, score double, bits_per_byte double"
     spark = df.sparkSession
-    ship(spark)
     shared = spark.sparkContext.broadcast(model)  # its size is bounded by the sample's
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +227,7 @@ def identify(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_co
             columns = [batch.column(f.name) for f in fields] + [pa.array(pred.tolist(), pa.string()), pa.array(score), pa.array(rate)]
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields] + ["lang_pred", "score", "bits_per_byte"])
 
-    return source.mapInArrow(run, schema).withColumnRenamed("__id", id_col)
+    return map_batches(source, run, schema).withColumnRenamed("__id", id_col)
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = ORDER) -> Model | None:

@@ -28,8 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions.shipping import ship
-from quillspark.llm.common import batches_of, stored
+from quillspark.llm.common import batches_of, map_batches, stored
 
 #: Fingerprints of a key that one task joins; beyond it the key is split into groups of this size.
 KEY_ROWS = 20_000
@@ -64,7 +63,6 @@ def fingerprints(df: DataFrame, text_col: str = "text", keep: list[str] | None =
     shingles are hashed with repeats.  Fewer words than a shingle: the whole
     sequence is the shingle.  Null, empty and blank texts: 0.
     """
-    ship(df.sparkSession)
     keep = keep or []
     source = df.select(*[df[c] for c in keep], df[text_col].cast("string").alias("__text"))
     fields = [f for f in source.schema.fields if f.name != "__text"]
@@ -75,7 +73,7 @@ def fingerprints(df: DataFrame, text_col: str = "text", keep: list[str] | None =
             fps = np.array([_fingerprint(t, shingle, seed) if t else 0 for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(fps)], names=[*(f.name for f in fields), "fp"])
 
-    return source.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "fp long"]))
+    return map_batches(source, run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "fp long"]))
 
 
 class Forest:
@@ -190,7 +188,6 @@ def fingerprint_links(fps: DataFrame, budget: int = 3, blocks: int = 4, key_rows
     """
     if blocks <= budget:
         raise ValueError("blocks must exceed the budget")
-    ship(fps.sparkSession)
     tables = _tables(budget, blocks)
     filed = fps.select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(k))).alias("key")) for i, (k, _) in enumerate(tables)])).alias("x")).select("fp", "x.t", "x.key")
     # Keys that need a split are few: at most (rows of the table) / key_rows of them.
@@ -246,7 +243,7 @@ def fingerprint_links(fps: DataFrame, budget: int = 3, blocks: int = 4, key_rows
             _, t, key, pair, fp = (np.concatenate(x) for x in zip(*held, strict=True))
             yield joined(t, key, pair, fp.view(np.uint64))
 
-    return grouped.select("group", "t", "key", "pair", "fp").mapInArrow(run, "a long, b long").distinct()
+    return map_batches(grouped.select("group", "t", "key", "pair", "fp"), run, "a long, b long").distinct()
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:

@@ -30,8 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.functions.shipping import ship
-from quillspark.llm.common import batches_of, stored, text_key, utf8_buffer
+from quillspark.llm.common import batches_of, map_batches, stored, text_key, utf8_buffer
 
 LENGTH, ANCHOR = 100, 20
 #: Different segments of an anchor that are put in one collection.
@@ -152,7 +151,7 @@ def _find_segments(length: int, anchor: int):
                 continue
             data, offsets = utf8_buffer(batch.column("text"))
             ids, crc = np.asarray(batch.column("id")), np.asarray(batch.column("crc"))
-            if len(data) <= 8 * CHUNK_BYTES:
+            if len(data) <= CHUNK_BYTES or batch.num_rows > 1:
                 doc, start, n, a, s = segments(data, offsets, length, anchor)
                 yield _settled(a.view(np.int64), s.view(np.int64), ids[doc], crc[doc], start, n, length)
             else:  # one very long text, in stretches that share all but one byte of a window
@@ -419,12 +418,10 @@ def remove_repeats(
     """
     if not 8 <= anchor <= length or 2 * length - anchor >= 255:
         raise ValueError("anchor must be 8 or more and length at most 127 + anchor / 2")
-    spark = df.sparkSession
-    ship(spark)
     keep = [id_col] if keep is None else keep
     key_id, key_crc = F.coalesce(df[id_col].cast("long"), F.lit(NO_ID)), text_key(df[text_col].cast("string"))
     docs = df.select(key_id.alias("id"), key_crc.alias("crc"), df[text_col].cast("string").alias("text"))
-    found = docs.where(F.octet_length("text") >= length).mapInArrow(_find_segments(length, anchor), _SEGMENT_SQL)
+    found = map_batches(docs.where(F.octet_length("text") >= length), _find_segments(length, anchor), _SEGMENT_SQL)
     known = stored(settle(found).where("rank > 1 OR n < 0 OR kinds > 1"), "segments")
     gone = known.where("n < 0").selectExpr("id", "crc", "start AS s", "start - n AS e").union(known.where("n > 0 AND rank > 1").selectExpr("id", "crc", "start AS s", f"start + (n & 255) + {length - 1} AS e"))
     leading = known.where("n > 0 AND rank = 1 AND kinds > 1")
@@ -433,19 +430,19 @@ def remove_repeats(
         wanted = some.groupBy("id", "crc").agg(F.collect_list(F.struct("anchor", "start", "n")).alias("wanted"))
         return docs.join(wanted.hint("shuffle_hash"), ["id", "crc"])
 
-    pieces = with_text(leading.where(F.col("kinds") <= hot)).mapInArrow(_cut_out(False, length), "anchor long, id long, crc long, start int, at int, data binary")
-    built = pieces.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_build(length, collection_bytes), "id long, crc long, s int, e int")
+    pieces = map_batches(with_text(leading.where(F.col("kinds") <= hot)), _cut_out(False, length), "anchor long, id long, crc long, start int, at int, data binary")
+    built = map_batches(pieces.repartition("anchor").sortWithinPartitions("anchor"), _build(length, collection_bytes), "id long, crc long, s int, e int")
     gone = gone.union(built)
     crowded = leading.where(F.col("kinds") > hot)
     if not crowded.isEmpty():
-        windows = stored(settle(with_text(crowded).mapInArrow(_cut_out(True, length), _SEGMENT_SQL)).where("rank > 1 OR n < 0"), "windows")
+        windows = stored(settle(map_batches(with_text(crowded), _cut_out(True, length), _SEGMENT_SQL)).where("rank > 1 OR n < 0"), "windows")
         gone = gone.union(windows.where("n < 0").selectExpr("id", "crc", "start AS s", "start - n AS e")).union(windows.where("n > 0").selectExpr("id", "crc", "start AS s", f"start + {length} AS e"))
     per_doc = gone.groupBy("id", "crc").agg(F.collect_list(F.struct("s", "e")).alias("__gone")).select(F.col("id").alias("__id"), F.col("crc").alias("__crc"), "__gone")
     rows = df.select(*[df[c] for c in keep], key_id.alias("__id"), key_crc.alias("__crc"), df[text_col].cast("string").alias("__text"))
     joined = rows.join(per_doc.hint("shuffle_hash"), ["__id", "__crc"], "left").drop("__id", "__crc")
     fields = [f for f in joined.schema.fields if f.name not in ("__text", "__gone")]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", kept binary, n_bytes long, span_starts array<int>, span_ends array<int>"
-    return joined.mapInArrow(_remove([f.name for f in fields]), schema)
+    return map_batches(joined, _remove([f.name for f in fields]), schema)
 
 
 def op3_suffix_dedup(spark, sf_dir: str) -> DataFrame:

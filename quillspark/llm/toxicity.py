@@ -25,8 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions.shipping import ship
-from quillspark.llm.common import batches_of
+from quillspark.llm.common import batches_of, map_batches
 
 #: Bounds of the fit: labelled rows that are read (about; by their ids' hash), features, bytes of a sampled text.
 SAMPLE_ROWS, MAX_FEATURES, SAMPLE_BYTES = 20_000, 4096, 200_000
@@ -140,8 +139,6 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     associated feature.  Null grades, ids and texts are passed over; of several
     labels for an id the highest counts, and equal texts count once.
     """
-    spark = df.sparkSession
-    ship(spark)
     known = labels.where(labels[grade_col].isNotNull() & labels[id_col].isNotNull()).groupBy(labels[id_col].cast("long").alias("id")).agg(F.max(labels[grade_col].cast("int")).alias("grade"))
     total = known.count()
     if not total:
@@ -170,7 +167,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
             names = list(counts[0].keys() | counts[1].keys())
             yield pa.RecordBatch.from_pydict({"f": names, "pos": [counts[1][x] for x in names], "neg": [counts[0][x] for x in names]}, schema=pa.schema([("f", pa.string()), ("pos", pa.int64()), ("neg", pa.int64())]))
 
-    summed = sample.mapInArrow(count, "f string, pos long, neg long").groupBy("f").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).where("pos >= 1 OR f = ''")
+    summed = map_batches(sample, count, "f string, pos long, neg long").groupBy("f").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).where("pos >= 1 OR f = ''")
     summed = summed.where((F.col("f") == "") | (F.col("pos") >= SUPPORT)).persist()
     try:
         whole = summed.where("f = ''").first()
@@ -198,7 +195,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
                 names=["id", "grade", "share", "features", "amounts"],
             )
 
-    rows = sample.mapInArrow(sparse, "id long, grade int, share double, features array<int>, amounts array<double>").orderBy("id").limit(4 * sample_rows).collect()
+    rows = map_batches(sample, sparse, "id long, grade int, share double, features array<int>, amounts array<double>").orderBy("id").limit(4 * sample_rows).collect()
     grades = np.array([max(0, r["grade"]) for r in rows])
     if grades.max() == 1 and levels > 1:
         graded = np.flatnonzero(grades)
@@ -219,7 +216,6 @@ def grade(df: DataFrame, model: OrdinalModel | None, text_col: str = "text", kee
     model all is 0.  Repeated rows each get theirs; empty tables give no rows.
     """
     spark = df.sparkSession
-    ship(spark)
     keep = [] if keep is None else keep
     source = df.select(*[df[c] for c in keep], df[text_col].cast("string").alias("__text"))
     fields = [f for f in source.schema.fields if f.name != "__text"]
@@ -239,7 +235,7 @@ def grade(df: DataFrame, model: OrdinalModel | None, text_col: str = "text", kee
                 severity, level = tail.sum(axis=1), (tail >= 0.5).sum(axis=1).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(severity), pa.array(level), pa.array(level > 0)], names=[*(f.name for f in fields), "severity", "grade", "toxic"])
 
-    return source.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + (", " if fields else "") + "severity double, grade int, toxic boolean")
+    return map_batches(source, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + (", " if fields else "") + "severity double, grade int, toxic boolean")
 
 
 def op10_ordinal_toxicity(spark, sf_dir: str) -> DataFrame:

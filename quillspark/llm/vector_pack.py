@@ -23,12 +23,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.functions.shipping import ship
-from quillspark.llm.common import batches_of
+from quillspark.llm.common import batches_of, map_batches
 from quillspark.llm.tokens import BatchTokenizer, tokenizer_path
 
 #: Bytes of text that are tokenized and packed at a time.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -130,7 +129,6 @@ def pack_examples(
     further columns are ignored and an empty table gives no rows.  Long texts
     are cut into pieces; each id lies in exactly one.
     """
-    ship(df.sparkSession)
     path = tokenizer or tokenizer_path()
     source = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"), *([df[prompt_col].cast("string").alias("prompt")] if prompt_col else []))
     names = ["id", "start", "length", "ids_crc32", "doc_tokens", "loss_tokens", "sequence_id", "offset", "sequence_tokens", "padded_to"]
@@ -192,7 +190,7 @@ def pack_examples(
         if packer.total:
             yield emit(True)
 
-    out = source.mapInArrow(run, schema)
+    out = map_batches(source, run, schema)
     return out.withColumnRenamed("id", id_col)
 
 
