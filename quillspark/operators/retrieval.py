@@ -52,14 +52,15 @@ def checked_dim(vector: Column, dim: int) -> Column:
 def knn_self(vectors: DataFrame, key: str, vector: str, queries: Column, k: int, blocks: int = 16) -> DataFrame:
     """V2 for a stated set of queries against all rows: (query, rank, neighbour, score).
 
-    Vectors are laid together in blocks; a block of queries meets a block of rows as
-    one array pair, and only each pair's k best go on.
+    Rows are laid together in packs of about a thousand, dealt over blocks; a query
+    meets every pack, and only its k best of each go on.
     """
+    parts = max(1, -(-vectors.count() // (blocks * 1024)))
     unit = vectors.select(F.col(key).alias("k"), F.transform(vector, lambda x: x.cast("double")).alias("v"))
     unit = unit.withColumn("v", F.transform("v", lambda x: x / F.sqrt(F.aggregate(F.col("v"), F.lit(0.0), lambda s, y: s + y * y))))
     q = unit.where(queries).select(F.col("k").alias("q"), F.col("v").alias("qv"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
     rows = unit.withColumn("block", F.pmod(F.xxhash64("k"), F.lit(blocks)).cast("int"))
-    packs = rows.withColumn("part", F.pmod(F.xxhash64("k", F.lit(1)), F.lit(64))).groupBy("block", "part").agg(F.collect_list(F.struct("k", "v")).alias("pack"))
+    packs = rows.withColumn("part", F.pmod(F.xxhash64("k", F.lit(1)), F.lit(parts))).groupBy("block", "part").agg(F.collect_list(F.struct("k", "v")).alias("pack"))
     met = q.join(packs, "block")
     score = F.transform("pack", lambda z: F.struct((-F.round(F.aggregate(F.zip_with("qv", z["v"], lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x), 6)).alias("neg"), z["k"].alias("k")))
     best = F.slice(F.array_sort(F.filter(score, lambda z: z["k"] != F.col("q"))), 1, k)
