@@ -3,8 +3,7 @@
 P(grade >= k) = sigmoid(w . x - theta_k): one weight vector for all thresholds,
 theta ascending.  Features are whole words and word beginnings of 4, 5 and 6
 letters that go with graded documents in the labelled sample; a document's value
-for one is the square root of its share of the words, in per cent, kept between
-``LEAST`` and ``MOST``.  The output is the expected severity, the sum over k of
+for one is 1 + ln(count), 0 where it hasn't got it.  The output is the expected severity, the sum over k of
 P(grade >= k).
 
 Fitting uses a bounded, hash-chosen sample of labelled rows: association counts
@@ -29,7 +28,6 @@ from quillspark.llm.common import batches_of, map_batches
 
 #: Bounds of the fit: labelled rows that are read (about; by their ids' hash), features, bytes of a sampled text.
 SAMPLE_ROWS, MAX_FEATURES, SAMPLE_BYTES = 20_000, 4096, 200_000
-LEAST, MOST = 0.5, 3.0
 #: Graded documents that a feature needs at least.
 SUPPORT = 4
 LEVELS = 3
@@ -91,8 +89,8 @@ class Featurizer:
         return out
 
 
-def _values(n: int, counts: dict[int, int]) -> tuple[list[int], list[float]]:
-    return list(counts), np.clip(np.sqrt(100 * np.fromiter(counts.values(), float, len(counts)) / max(n, 1)), LEAST, MOST).tolist()
+def _values(counts: dict[int, int]) -> tuple[list[int], list[float]]:
+    return list(counts), (1 + np.log(np.fromiter(counts.values(), float, len(counts)))).tolist()
 
 
 @dataclass
@@ -100,13 +98,25 @@ class OrdinalModel:
     vocabulary: dict[str, int]
     weights: np.ndarray
     thresholds: np.ndarray  # ascending, one per grade from 1 on
+    cut: float = 0.5  # least P(grade >= 1) of what counts as toxic
 
     def tail(self, scores: np.ndarray) -> np.ndarray:
         """P(grade >= k) [row, k]."""
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - scores[:, None], -500, 500)))
 
 
-def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grades: np.ndarray, n_features: int, steps: int = 400, l2: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
+def best_cut(tail: np.ndarray, positive: np.ndarray) -> float:
+    """The probability that parts the sample with the best F1, the geometric mean of the rows on both sides of it; at most 1/2."""
+    order = np.argsort(-tail, kind="stable")
+    p, hit = tail[order], np.cumsum(positive[order])
+    f1 = 2 * hit / (np.arange(1, len(p) + 1) + positive.sum())
+    f1[:-1][p[:-1] == p[1:]] = 0  # equal rows stay together
+    k = int(np.argmax(f1))
+    below = p[k + 1] if k + 1 < len(p) else 0.0
+    return float(min(0.5, np.sqrt(p[k] * max(below, 1e-9))))
+
+
+def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grades: np.ndarray, n_features: int, steps: int = 1000, l2: float = 2e-5) -> tuple[np.ndarray, np.ndarray]:
     """Weights, none below 0, and ascending thresholds of highest likelihood from sparse rows (row, column, value) and grades 0..K."""
     n, k = len(grades), int(grades.max(initial=1))
     w, base, gaps = np.zeros(n_features), 1.0, np.zeros(max(k - 1, 0))
@@ -135,7 +145,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     """None if the labelled sample has no graded or no clean row, or nothing sets them apart.
 
     Labels of 0 and 1 only are graded further: the rows of 1 are cut into
-    ``levels`` grades of equal size by the share of their words that carry an
+    ``levels`` grades of about equal size by how many of their words carry an
     associated feature.  Null grades, ids and texts are passed over; of several
     labels for an id the highest counts, and equal texts count once.
     """
@@ -189,28 +199,31 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
         featurize = Featurizer(vocabulary)
         for batch in batches_of(batches, "text", BATCH_BYTES):
             found = featurize(batch.column("text"))
-            pairs = [_values(n, counts) for n, _, counts in found]
+            pairs = [_values(counts) for _, _, counts in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("grade"), pa.array([h / max(n, 1) for n, h, _ in found], pa.float64()), pa.array([p[0] for p in pairs], pa.list_(pa.int32())), pa.array([p[1] for p in pairs], pa.list_(pa.float64()))],
-                names=["id", "grade", "share", "features", "amounts"],
+                [batch.column("id"), batch.column("grade"), pa.array([h for _, h, _ in found], pa.int64()), pa.array([p[0] for p in pairs], pa.list_(pa.int32())), pa.array([p[1] for p in pairs], pa.list_(pa.float64()))],
+                names=["id", "grade", "hits", "features", "amounts"],
             )
 
-    rows = map_batches(sample, sparse, "id long, grade int, share double, features array<int>, amounts array<double>").orderBy("id").limit(4 * sample_rows).collect()
+    rows = map_batches(sample, sparse, "id long, grade int, hits long, features array<int>, amounts array<double>").orderBy("id").limit(4 * sample_rows).collect()
     grades = np.array([max(0, r["grade"]) for r in rows])
     if grades.max() == 1 and levels > 1:
         graded = np.flatnonzero(grades)
-        share = np.array([rows[i]["share"] for i in graded])
-        cuts = np.quantile(share, [j / levels for j in range(1, levels)])
-        grades[graded] = 1 + np.searchsorted(cuts, share, side="left")
+        hits = np.array([rows[i]["hits"] for i in graded])
+        cuts = np.quantile(hits, [j / levels for j in range(1, levels)])
+        grades[graded] = 1 + np.searchsorted(cuts, hits, side="left")
     sizes = [len(r["features"]) for r in rows]
     columns = np.fromiter((f for r in rows for f in r["features"]), np.int64, sum(sizes))
     amounts = np.fromiter((a for r in rows for a in r["amounts"]), float, sum(sizes))
-    weights, thresholds = fit_ordinal(np.repeat(np.arange(len(rows)), sizes), columns, amounts, grades, len(vocabulary))
-    return OrdinalModel(vocabulary, weights, thresholds)
+    row = np.repeat(np.arange(len(rows)), sizes)
+    model = OrdinalModel(vocabulary, *fit_ordinal(row, columns, amounts, grades, len(vocabulary)))
+    tail = model.tail(np.bincount(row, amounts * model.weights[columns], len(rows)))
+    model.cut = best_cut(tail[:, 0], grades > 0)
+    return model
 
 
 def grade(df: DataFrame, model: OrdinalModel | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Per row: the columns ``keep``, severity (expected grade), grade (the most grades k with P(grade >= k) >= 1/2) and toxic (grade >= 1).
+    """Per row: the columns ``keep``, severity (expected grade), grade (the highest k with P(grade >= k) >= 1/2; 1 at least where P(grade >= 1) reaches the fitted cut) and toxic (grade >= 1).
 
     Null, empty and featureless texts get the severity of no feature; without a
     model all is 0.  Repeated rows each get theirs; empty tables give no rows.
@@ -219,7 +232,7 @@ def grade(df: DataFrame, model: OrdinalModel | None, text_col: str = "text", kee
     keep = [] if keep is None else keep
     source = df.select(*[df[c] for c in keep], df[text_col].cast("string").alias("__text"))
     fields = [f for f in source.schema.fields if f.name != "__text"]
-    shared = spark.sparkContext.broadcast((model.vocabulary, model.weights, model.thresholds) if model else None)  # at most MAX_FEATURES entries
+    shared = spark.sparkContext.broadcast((model.vocabulary, model.weights, model.thresholds, model.cut) if model else None)  # at most MAX_FEATURES entries
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = OrdinalModel(*shared.value) if shared.value else None
@@ -228,11 +241,11 @@ def grade(df: DataFrame, model: OrdinalModel | None, text_col: str = "text", kee
             severity, level = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int32)
             if own and batch.num_rows:
                 scores = []
-                for n, _, counts in featurize(batch.column("__text")):
-                    f, x = _values(n, counts)
+                for _, _, counts in featurize(batch.column("__text")):
+                    f, x = _values(counts)
                     scores.append(float(own.weights[f] @ np.array(x)) if f else 0.0)
                 tail = own.tail(np.array(scores))
-                severity, level = tail.sum(axis=1), (tail >= 0.5).sum(axis=1).astype(np.int32)
+                severity, level = tail.sum(axis=1), np.maximum((tail >= 0.5).sum(axis=1), tail[:, 0] >= own.cut).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(severity), pa.array(level), pa.array(level > 0)], names=[*(f.name for f in fields), "severity", "grade", "toxic"])
 
     return map_batches(source, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + (", " if fields else "") + "severity double, grade int, toxic boolean")
