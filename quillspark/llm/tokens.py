@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Chunks a worker keeps; beyond it the table starts afresh (memory only, the ids stay the same).
-CACHE_CHUNKS = 250_000
+CACHE_CHUNKS = 400_000
 
 
 def _byte_chars() -> dict[int, str]:
@@ -66,20 +66,20 @@ class BatchTokenizer:
         runs, tokenize, out = self.runs, self.model.tokenize, []
         for chunk in chunks:
             core = chunk.rstrip(".,!?;:")
-            key = core.lower() if core.isascii() else core
-            ids = runs.get(key)
+            ids = runs.get(core)
             if ids is None:
                 if not core.isalpha():
                     out.append(None)
                     continue
-                word = key
-                if not core.isascii():  # as the file's normalizer and byte alphabet have it
+                if core.isascii():
+                    word = core.lower()
+                else:  # as the file's normalizer and byte alphabet have it
                     word = "".join([c.lower() for c in unicodedata.normalize("NFC", core)])
                     if not word.isalpha():
                         out.append(None)
                         continue
                     word = word.encode().decode("latin-1").translate(_BYTE_CHARS)
-                ids = runs[key] = [t.id for t in tokenize(word)]
+                ids = runs[core] = [t.id for t in tokenize(word)]
             if len(core) < len(chunk):
                 tail = chunk[len(core) :]
                 marks = runs.get(tail)
