@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.operators.graph import cut_lineage
+
 
 def content_hash(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
@@ -41,6 +43,7 @@ def near_pairs(docs: DataFrame, key: str, words: str, version: str, size: str, s
     sets = sets.withColumn("sig", F.sha2(F.array_join(F.col("g").cast("array<string>"), ",").cast("binary"), 256))
     order = F.struct((-F.col("v")).alias("v"), (-F.col("z")).alias("z"), F.col("k").alias("k"))
     best = sets.groupBy("sig").agg(F.min(order).alias("o"), F.first("g").alias("g")).select("sig", F.col("o.k").alias("k"), "o", "g")
+    best = cut_lineage(best)
     copies = sets.join(best.select("sig", F.col("k").alias("winner")), "sig").where("k <> winner").select(F.col("k").alias("loser"), "winner", F.lit(1.0).alias("similarity"))
     df = best.select(F.explode("g").alias("t")).groupBy("t").agg(F.count("*").alias("df"))
     ranked = best.select("k", "o", F.size("g").alias("n"), F.explode("g").alias("t")).join(df, "t")

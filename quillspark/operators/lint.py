@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillspark.functions.markdown import wikilinks
-from quillspark.operators.graph import reachable
+from quillspark.operators.graph import cut_lineage, reachable
 
 #: Fixed value: a link target that is no note on purpose.
 KNOWN_EXTERNAL = ["Miguel Otero Pedrido"]
@@ -88,7 +88,7 @@ def unreachable(docs: DataFrame, start: str = "_map-of-content") -> DataFrame:
     rank = F.array_position(F.array(*[F.lit(x) for x in TARGET_FOLDERS]), F.col("folder"))
     last = docs.where(F.col("folder").isin(TARGET_FOLDERS)).groupBy("stem").agg(F.max_by("text", F.struct(rank, "path")).alias("text"))
     edges = last.select(F.col("stem").alias("src"), F.explode(wikilinks(F.col("text"))).alias("dst")).distinct()
-    edges = edges.join(last.select(F.col("stem").alias("dst")), "dst", "left_semi").select("src", "dst")
+    edges = cut_lineage(edges.join(last.select(F.col("stem").alias("dst")), "dst", "left_semi").select("src", "dst"))
     seen = reachable(edges, [start])
     return in_wiki(docs).join(seen.select(F.col("node").alias("stem")), "stem", "left_anti").select("path", "stem")
 
