@@ -110,8 +110,8 @@ def store_path(text: Column) -> Column:
 
 
 def payload_path(x: Column) -> Column:
-    """dot folder as it is packaged."""
-    return F.regexp_replace(x, "^\\.claude/", "dot-claude/")
+    """a leading dot folder as it is packaged, ``.name/`` as ``dot-name/``."""
+    return F.regexp_replace(x, "^\\.([^./]+)/", "dot-$1/")
 
 
 def embed_text(title: Column, body: Column) -> Column:

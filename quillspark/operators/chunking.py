@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.markdown import lines
 from quillspark.functions.text import stripped
+from quillspark.functions.vectors import let
 
 
 def check_window(window: int) -> int:
@@ -22,13 +23,9 @@ def clamp_top_k(k: int) -> int:
 
 def _outside_fences(body: Column) -> Column:
     """(line, fence line?, inside?) of every line; only ``` fences count here."""
-    ls = F.transform(lines(body), lambda x: F.struct(x.alias("x"), stripped(x).startswith("```").alias("fence")))
-    state = F.aggregate(
-        ls,
-        F.struct(F.lit(False).alias("open"), F.array().cast("array<struct<x:string,fence:boolean,inside:boolean>>").alias("out")),
-        lambda acc, z: F.struct((acc["open"] != z["fence"]).alias("open"), F.concat(acc["out"], F.array(F.struct(z["x"].alias("x"), z["fence"].alias("fence"), acc["open"].alias("inside")))).alias("out")),
-    )
-    return state["out"]
+    ls = F.transform(lines(body), lambda x, i: F.struct(i.alias("n"), x.alias("x"), stripped(x).startswith("```").alias("fence")))
+    marks = lambda l: F.transform(F.filter(l, lambda z: z["fence"]), lambda z: z["n"])  # noqa: E731, E741
+    return let(ls, lambda l: let(marks(l), lambda fs: F.transform(l, lambda z: F.struct(z["x"].alias("x"), z["fence"].alias("fence"), (F.size(F.filter(fs, lambda f: f < z["n"])) % 2 == 1).alias("inside")))))  # noqa: E741
 
 
 def headers(body: Column) -> Column:

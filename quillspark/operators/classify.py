@@ -84,6 +84,15 @@ def glossary_miss(graded: DataFrame) -> DataFrame:
     return graded.agg(F.round(F.avg(hit), 4).alias("accuracy"), F.round(guessed, 4).alias("guessed_accuracy"), F.coalesce(1 - guessed > 0.5, F.lit(False)).alias("glossary_miss"))
 
 
+#: Fixed values, documents that a stage takes at most.
+CAPS = {"retrieve": 1000, "judge": 2000, "export": 5000}
+
+
+def capped(docs: DataFrame, key: str, stage: str) -> DataFrame:
+    """The first documents by key, as many as the stage takes; only on request, no query uses it."""
+    return docs.orderBy(key).limit(CAPS[stage])
+
+
 def disagreement(candidates: DataFrame, key: str, band: float = 0.10) -> DataFrame:
     """Documents whose two best candidates are within ``band``."""
     two = candidates.where("rank <= 2").groupBy(key).agg(F.max("score").alias("a"), F.min("score").alias("b"), F.count("*").alias("n"))

@@ -69,19 +69,14 @@ def prepared(docs: DataFrame) -> DataFrame:
     inside = lambda z: F.size(F.filter("__fences", lambda f: f <= z["n"])) % 2 == 1
     third = second.withColumn("__cl", F.transform(F.filter("__l", lambda z: (z["n"] > F.col("__start")) & ~z["fence"] & ~inside(z)), lambda z: F.struct(z["n"].alias("n"), z["line"].alias("line"))))
     pipes = lambda line: F.length(line) - F.length(F.replace(line, F.lit("|"), F.lit("")))
-    kind = "array<array<struct<n:int,line:string,pipes:int,sep:boolean>>>"
-    empty = F.array().cast(kind)
-    # Only rows with pipes reach the fold, with what stands between them.
-    piped = F.filter(F.transform("__cl", lambda z, i: F.struct(z["n"].alias("n"), z["line"].alias("line"), i.alias("i"))), lambda z: pipes(z["line"]) >= 2)
+    # Rows with pipes, with their places among the content lines; a block starts where the place before isn't the line before.
+    piped = F.filter(F.transform("__cl", lambda z, i: F.struct(z["n"].alias("n"), z["line"].alias("line"), pipes(z["line"]).alias("pipes"), z["line"].rlike("^\\s*\\|?[\\s:|-]+\\|[\\s:|-]*$").alias("sep"), i.alias("i"))), lambda z: z["pipes"] >= 2)
     fourth = third.withColumn("__piped", piped)
-    marked = F.transform("__piped", lambda z, i: F.struct(z["n"].alias("n"), z["line"].alias("line"), ((i > 0) & (F.try_element_at("__piped", F.when(i > 0, i).otherwise(1))["i"] == z["i"] - 1)).alias("joins")))
-
-    def join_step(acc: Column, z: Column) -> Column:
-        row = F.array(F.struct(z["n"].alias("n"), z["line"].alias("line"), pipes(z["line"]).alias("pipes"), z["line"].rlike("^\\s*\\|?[\\s:|-]+\\|[\\s:|-]*$").alias("sep")))
-        more = F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.concat(F.try_element_at(acc, F.lit(-1)), row)))
-        return F.when(z["joins"], more).otherwise(F.concat(acc, F.array(row))).cast(kind)
-
-    fifth = fourth.withColumn("__blocks", F.filter(F.aggregate(marked, empty, join_step), lambda b: F.size(b) >= 3))
+    opens = lambda z, i: (i == 0) | (F.try_element_at("__piped", F.when(i > 0, i).otherwise(1))["i"] != z["i"] - 1)
+    starts = F.filter(F.transform("__piped", lambda z, i: F.when(opens(z, i), i + 1)), lambda x: x.isNotNull())
+    fifth = fourth.withColumn("__starts", starts)
+    ends = lambda k: F.coalesce(F.try_element_at("__starts", k + 2), F.size("__piped") + 1)
+    fifth = fifth.withColumn("__blocks", F.filter(F.transform("__starts", lambda s, k: F.slice("__piped", s, ends(k) - s)), lambda b: F.size(b) >= 3)).drop("__starts")
     return fifth.drop("__l", "__start", "__fences", "__piped")
 
 

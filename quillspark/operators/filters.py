@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quillspark.functions.markdown import body, lines
 from quillspark.functions.shipping import ship
 from quillspark.functions.text import stripped
+from quillspark.functions.vectors import let
 
 #: Ours: floors and thresholds; a campaign may override them.
 THRESHOLDS = {"guid_filename_coverage": 0.80, "thin_body": 40, "empty_shell": 20, "audit_percent": 5}
@@ -102,6 +103,22 @@ def measures(text: Column) -> dict[str, Column]:
     }
 
 
+def template_similarity(text: Column, exemplars: list[str], shingle: int = 3) -> Column:
+    """Highest Jaccard coefficient of the text's word shingles with those of the blank templates; 0 without templates."""
+
+    def grams(x: Column) -> Column:
+        w = F.regexp_extract_all(F.lower(x), F.lit("[\\p{L}\\p{N}_]+"), F.lit(0))
+        return F.when(F.size(w) >= shingle, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - shingle + 1), lambda i: F.xxhash64(F.slice(w, i, shingle))))).otherwise(F.array(F.xxhash64(w)))
+
+    def jaccard(a: Column, b: Column) -> Column:
+        n = F.size(F.array_intersect(a, b))
+        return n / (F.size(a) + F.size(b) - n)
+
+    if not exemplars:
+        return F.lit(0.0)
+    return F.round(let(grams(text), lambda g: F.greatest(*[jaccard(g, grams(F.lit(e))) for e in exemplars], F.lit(0.0))), 4)
+
+
 def gate(text: Column, title: Column, duplicate: Column) -> Column:
     """The first gate that rejects, null if none does; later ones aren't asked."""
     b = body(text)

@@ -106,6 +106,39 @@ def cohesion(edges: DataFrame, labels: DataFrame) -> DataFrame:
     return size.join(inner, "label", "left").select("label", "nodes", F.coalesce("edges", F.lit(0).cast("long")).alias("edges"), F.round(F.when(possible > 0, F.coalesce("edges", F.lit(0)) / possible).otherwise(1.0), 4).alias("cohesion"))
 
 
+def betweenness(edges: DataFrame, sources: DataFrame | None = None, max_depth: int = 64) -> DataFrame:
+    """(node, betweenness) of the undirected graph, from shortest paths that start in ``sources`` (all nodes if None).
+
+    Brandes' two passes by levels: forwards the number of shortest paths per (source,
+    node), backwards each node's share of them.  Rows are sources x nodes reached, so
+    a large graph is given a set of sources; the sum is then over that set.
+    """
+    both = cut_lineage(edges.select("src", "dst").union(edges.select("dst", "src")).where("src <> dst").distinct())
+    nodes = both.select(F.col("src").alias("node")).distinct()
+    start = (sources if sources is not None else nodes).select(F.col("node").alias("s"))
+    fresh = cut_lineage(start.select("s", F.col("s").alias("node"), F.lit(1.0).alias("paths"), F.lit(0).alias("depth")))
+    levels, seen = [fresh], fresh.select("s", "node")
+    for depth in range(1, max_depth + 1):
+        step = fresh.join(both, fresh["node"] == both["src"]).groupBy("s", F.col("dst").alias("node")).agg(F.sum("paths").alias("paths"))
+        fresh = cut_lineage(step.join(seen, ["s", "node"], "left_anti").withColumn("depth", F.lit(depth)))
+        if fresh.isEmpty():
+            break
+        levels.append(fresh)
+        seen = seen.union(fresh.select("s", "node"))
+    share, out = levels[-1].select("s", "node", "paths", F.lit(0.0).alias("share")), []
+    for above in reversed(levels[:-1]):
+        out.append(share.select("s", "node", "share"))
+        below = share.select("s", F.col("node").alias("far"), F.col("paths").alias("far_paths"), F.col("share").alias("far_share"))
+        links = above.select("s", "node", "paths").join(both.select(F.col("src").alias("node"), F.col("dst").alias("far")), "node").join(below, ["s", "far"])
+        gained = links.groupBy("s", "node").agg(F.sum(F.col("paths") / F.col("far_paths") * (1 + F.col("far_share"))).alias("share"))
+        share = cut_lineage(above.select("s", "node", "paths").join(gained, ["s", "node"], "left").select("s", "node", "paths", F.coalesce("share", F.lit(0.0)).alias("share")))
+    total = out[0] if out else share.select("s", "node", "share").where("false")
+    for x in out[1:]:
+        total = total.union(x)
+    sums = total.where("s <> node").groupBy("node").agg(F.sum("share").alias("betweenness"))
+    return nodes.join(sums, "node", "left").select("node", F.round(F.coalesce("betweenness", F.lit(0.0)) / 2, 6).alias("betweenness"))
+
+
 def bridges(edges: DataFrame, labels: DataFrame) -> DataFrame:
     """Edges between communities."""
     a, b = labels.toDF("src", "src_label"), labels.toDF("dst", "dst_label")

@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from quillspark.functions.markdown import wikilinks
 from quillspark.operators.graph import cut_lineage, reachable
 
-#: Fixed value: a link target that is no note on purpose.
-KNOWN_EXTERNAL = ["Miguel Otero Pedrido"]
 #: The folders of link targets, in the order in which stems are taken.
 TARGET_FOLDERS = ["raw", "wiki", "wiki/sources", "index"]
 
@@ -37,9 +35,11 @@ def targets(docs: DataFrame) -> DataFrame:
     return docs.where(F.col("folder").isin(TARGET_FOLDERS)).select("stem").distinct()
 
 
-def broken_links(docs: DataFrame) -> DataFrame:
-    """Links of wiki and index notes to no note and no known external."""
-    found = links(link_sources(docs)).where(~F.col("target").isin(KNOWN_EXTERNAL))
+def broken_links(docs: DataFrame, known_external: tuple[str, ...] = ()) -> DataFrame:
+    """Links of wiki and index notes to no note and none of the names that are no note on purpose."""
+    found = links(link_sources(docs))
+    if known_external:
+        found = found.where(~F.col("target").isin(*known_external))
     return found.join(targets(docs).withColumnRenamed("stem", "target"), "target", "left_anti").select("path", "target", "pos")
 
 

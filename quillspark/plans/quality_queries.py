@@ -199,7 +199,7 @@ def qa_fidelity(spark, sf):
     return d.select("doc_id", *[c[k].alias(k) for k in ("numeric_fidelity", "length_ratio", "marker_free")])
 
 
-@register("qa_quarantine")
+@register("qa_quarantine", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '' ELSE 'heading_fidelity' || CASE WHEN (length(text) + 10)::DOUBLE / (length(text) + 4) > 2.5 THEN ',length_ratio' ELSE '' END || ',marker_free' END AS failed FROM documents")
 def qa_quarantine(spark, sf):
     d = spark.read.parquet(f"{sf}/documents.parquet").selectExpr("doc_id", "'# A' || chr(10) || text AS source", "CASE WHEN doc_id % 3 = 0 THEN '# A' || chr(10) || text ELSE '## B' || chr(10) || text || ' ⟦he:x⟧' END AS target")
     return translation.quarantined(d).select("doc_id", F.array_join("failed", ",").alias("failed"))
@@ -262,6 +262,12 @@ def graph_surprising(spark, sf):
     return graph.surprising(e, nodes)
 
 
+@register("graph_betweenness")
+def graph_betweenness(spark, sf):
+    n = spark.read.parquet(f"{sf}/nation.parquet").select(F.col("n_nationkey").alias("src"), (F.col("n_nationkey") * 3 % 25).alias("dst"))
+    return graph.betweenness(n)
+
+
 @register("graph_communities")
 def graph_communities(spark, sf):
     e = _chain(spark, sf)

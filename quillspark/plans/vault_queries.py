@@ -48,7 +48,7 @@ def links_extract(spark, sf):
     return notes(spark, sf).select("doc_id", F.posexplode(M.wikilinks(F.col("text"))).alias("pos", "target")).select("doc_id", F.col("pos").cast("long"), "target")
 
 
-@register("links_broken", f"{_W} SELECT path, target FROM links WHERE target NOT IN (SELECT stem FROM stems) AND target <> 'Miguel Otero Pedrido'")
+@register("links_broken", f"{_W} SELECT path, target FROM links WHERE target NOT IN (SELECT stem FROM stems)")
 def links_broken(spark, sf):
     return lint.broken_links(notes(spark, sf)).select("path", "target")
 
@@ -100,7 +100,7 @@ def links_reachable(spark, sf):
 @register(
     "lint_summary",
     f"""{_REACH}, {_LINKS}, {_STEMS}, f AS (
-    SELECT 'broken_link' AS "check" FROM links WHERE target NOT IN (SELECT stem FROM stems) AND target <> 'Miguel Otero Pedrido'
+    SELECT 'broken_link' AS "check" FROM links WHERE target NOT IN (SELECT stem FROM stems)
     UNION ALL SELECT 'orphan' FROM notes WHERE folder LIKE 'wiki%' AND stem NOT IN (SELECT target FROM links)
     UNION ALL SELECT 'unreferenced_raw' FROM notes WHERE folder = 'raw' AND stem NOT IN (SELECT target FROM links)
     UNION ALL SELECT 'missing_sources' FROM notes WHERE folder = 'wiki' AND NOT contains(text, 'type: index') AND NOT contains(text, 'type: analysis') AND NOT contains(text, 'sources:')

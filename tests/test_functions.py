@@ -140,6 +140,18 @@ def test_graph(spark):
     assert {(r["item"], r["level"]) for r in levels.collect()} == {(1, 0), (2, 1), (3, 2), (4, None)}
 
 
+def test_betweenness(spark):
+    path = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (4, 5)], "src long, dst long")
+    assert {r["node"]: r["betweenness"] for r in graph.betweenness(path).collect()} == {1: 0, 2: 3, 3: 4, 4: 3, 5: 0}
+    square = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("d", "a")], "src string, dst string")
+    assert {r["betweenness"] for r in graph.betweenness(square).collect()} == {0.5}
+
+
+def test_template_similarity(spark):
+    assert one(spark, filters.template_similarity(F.lit("Owner: Date: Purpose: fill in here"), ["owner date purpose fill in here"])) == 1.0
+    assert one(spark, filters.template_similarity(F.lit("nothing alike at all"), ["owner date purpose"])) == 0.0
+
+
 def test_filters(spark):
     assert one(spark, filters.fenced_only(F.lit("```json\n{}\n```")))
     assert not one(spark, filters.fenced_only(F.lit("```json\n{}\n```\ntext")))
