@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.functions.binding import let
 from quillspark.functions.text import stripped
 
 #: Line ends as a text editor's line splitter knows them.
@@ -13,8 +14,7 @@ LINE_END = "\r\n|[\n\r\\x0B\\x0C\\x1C-\\x1E\\x85\\u2028\\u2029]"
 
 def lines(text: Column) -> Column:
     """The lines of a text; no empty one after a last line end."""
-    found = F.split(text, LINE_END)
-    return F.when(F.size(found) == 0, found).when(F.try_element_at(found, F.lit(-1)) == "", F.slice(found, 1, F.size(found) - 1)).otherwise(found)
+    return let(F.split(text, LINE_END), lambda f: F.when(F.try_element_at(f, F.lit(-1)) == "", F.slice(f, 1, F.greatest(F.size(f) - 1, F.lit(0)))).otherwise(f))
 
 
 def _fence_end(text: Column) -> Column:
@@ -26,9 +26,8 @@ def _fence_end(text: Column) -> Column:
 
 def body(text: Column) -> Column:
     """What follows the frontmatter; the whole text if there is none."""
-    end = _fence_end(text)
-    parts = F.split(text, "\n")
-    return F.when(end.isNull(), text).otherwise(F.array_join(F.slice(parts, end + 2, F.greatest(F.size(parts) - end - 1, F.lit(0))), "\n"))
+    rest = lambda end, parts: F.array_join(F.slice(parts, end + 2, F.greatest(F.size(parts) - end - 1, F.lit(0))), "\n")
+    return let(_fence_end(text), lambda end: F.when(end.isNull(), text).otherwise(let(F.split(text, "\n"), lambda parts: rest(end, parts))))
 
 
 def body_by_split(text: Column) -> Column:
@@ -44,8 +43,7 @@ def frontmatter(text: Column) -> Column:
     its own line; double quotes are taken off, nothing else; a later key replaces an
     earlier one of that name.
     """
-    end = _fence_end(text)
-    head = F.when(end.isNull(), F.array().cast("array<string>")).otherwise(F.slice(F.split(text, "\n"), 2, end - 1))
+    head = let(_fence_end(text), lambda end: F.when(end.isNull(), F.array().cast("array<string>")).otherwise(F.slice(F.split(text, "\n"), F.lit(2), F.greatest(end - 1, F.lit(0)))))
     kind = "struct<key:string,scalar:boolean,items:array<string>>"
     start = F.array().cast(f"array<{kind}>")
 
@@ -64,7 +62,7 @@ def frontmatter(text: Column) -> Column:
         return F.when(is_item, with_item).when(key != "", F.concat(acc, F.array(entry))).otherwise(acc)
 
     entries = F.aggregate(head, start, step)
-    final = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.greatest(F.size(entries), F.lit(1))), lambda o: o["key"] == e["key"]))
+    final = let(entries, lambda es: F.filter(es, lambda e, i: ~F.exists(F.slice(es, i + 2, F.greatest(F.size(es), F.lit(1))), lambda o: o["key"] == e["key"])))
     return F.map_from_entries(F.transform(final, lambda e: F.struct(e["key"], e["items"])))
 
 
@@ -85,17 +83,20 @@ def user_zone(text: Column, start: str, end: str) -> Column:
     return F.when((a > 0) & (b >= a + len(start)), F.substring(text, a + len(start), b - a - len(start)))
 
 
-def content_lines(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """(key, line_no, line, ord) without frontmatter and fenced code; ord counts the lines that are left.
+def content(text: Column) -> Column:
+    """Array of (n, line): the lines without frontmatter and fenced code, numbered from 1.
 
     A line that starts with ``` or ~~~ switches the fence and isn't content itself.
-    Worked out in the row with array functions: no shuffle, whatever the length.
     """
-    every = F.transform(lines(F.col(text)), lambda x, i: F.struct((i + 1).alias("n"), x.alias("line"), x.rlike("^\\s*(```|~~~)").alias("fence"), (stripped(x) == "---").alias("rule")))
-    closing = F.array_min(F.transform(F.filter(F.col("__l"), lambda z: (z["n"] > 1) & z["rule"]), lambda z: z["n"]))
-    start = F.when(F.try_element_at(F.col("__l"), F.lit(1))["rule"], F.coalesce(closing, F.lit(0))).otherwise(0)
-    fences = F.transform(F.filter(F.col("__l"), lambda z: z["fence"] & (z["n"] > F.col("__start"))), lambda z: z["n"])
-    inside = F.size(F.filter(F.col("__fences"), lambda f: f <= F.col("l.n"))) % 2
-    exploded = docs.select(key, every.alias("__l")).withColumn("__start", start).withColumn("__fences", fences).select(key, "__start", "__fences", F.explode("__l").alias("l"))
-    kept = exploded.where((F.col("l.n") > F.col("__start")) & ~F.col("l.fence") & (inside == 0))
-    return kept.select(key, F.col("l.n").alias("line_no"), F.col("l.line").alias("line"))
+    every = F.transform(lines(text), lambda x, i: F.struct((i + 1).alias("n"), x.alias("line"), x.rlike("^\\s*(```|~~~)").alias("fence"), (stripped(x) == "---").alias("rule")))
+    shut = lambda l: F.coalesce(F.array_min(F.transform(F.filter(l, lambda z: (z["n"] > 1) & z["rule"]), lambda z: z["n"])), F.lit(0))  # noqa: E731, E741
+    start = lambda l: F.when(F.try_element_at(l, F.lit(1))["rule"], shut(l)).otherwise(0)  # noqa: E731, E741
+    fences = lambda l, s: F.transform(F.filter(l, lambda z: z["fence"] & (z["n"] > s)), lambda z: z["n"])  # noqa: E731, E741
+    kept = lambda l, s, fs: F.filter(l, lambda z: (z["n"] > s) & ~z["fence"] & (F.size(F.filter(fs, lambda f: f <= z["n"])) % 2 == 0))  # noqa: E731, E741
+    whole = let(every, lambda l: let(start(l), lambda s: let(fences(l, s), lambda fs: kept(l, s, fs))))  # noqa: E741
+    return F.transform(whole, lambda z: F.struct(z["n"].alias("n"), z["line"].alias("line")))
+
+
+def content_lines(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """(key, line_no, line) of the content. Worked out in the row with array functions: no shuffle, whatever the length."""
+    return docs.select(key, F.explode(content(F.col(text))).alias("l")).select(key, F.col("l.n").alias("line_no"), F.col("l.line").alias("line"))

@@ -5,14 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.functions.binding import let
 from quillspark.functions.text import tokens
 
 
-def let(value: Column, f) -> Column:
-    """f(value), with the value worked out once however often f uses it."""
-    return F.transform(F.array(value), f)[0]
-
-
 def cosine(a: Column, b: Column) -> Column:
     """0 if either norm is 0."""
     dot = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.markdown import lines
 from quillspark.functions.text import stripped
-from quillspark.functions.vectors import let
+from quillspark.functions.binding import let
 
 
 def check_window(window: int) -> int:
@@ -48,20 +48,22 @@ def _rfind(text: Column, needle: str) -> Column:
 def first_window(body: Column, window: int, outline: bool = True) -> Column:
     """the first ``4 * window`` characters; a tenth may go to an outline; a cut falls behind the last sentence or line end of the last 400."""
     budget = 4 * window
-    heads = headers(body) if outline else F.lit("")
-    room = F.least(F.length(heads), F.lit(budget // 10))
-    part = F.substring(body, F.lit(1), budget - room)
-    tail = F.right(part, F.lit(400))
-    cut = F.greatest(_rfind(tail, ". "), _rfind(tail, "\n"))
-    trimmed = F.when((F.length(body) > budget - room) & (cut > 0), F.substring(part, F.lit(1), F.length(part) - 400 + cut + 1)).otherwise(part)
-    return F.when(room > 0, F.concat(trimmed, F.lit("\n\n## Outline\n"), F.substring(heads, F.lit(1), room))).otherwise(trimmed)
+
+    def cut(part: Column, over: Column) -> Column:
+        at = let(F.right(part, F.lit(400)), lambda tail: F.greatest(_rfind(tail, ". "), _rfind(tail, "\n")))
+        return let(at, lambda k: F.when(over & (k > 0), F.substring(part, F.lit(1), F.length(part) - 400 + k + 1)).otherwise(part))
+
+    def with_heads(heads: Column, room: Column) -> Column:
+        trimmed = let(F.substring(body, F.lit(1), budget - room), lambda part: cut(part, F.length(body) > budget - room))
+        return F.concat(trimmed, F.when(room > 0, F.concat(F.lit("\n\n## Outline\n"), F.substring(heads, F.lit(1), room))).otherwise(""))
+
+    return let(headers(body) if outline else F.lit(""), lambda heads: let(F.least(F.length(heads), F.lit(budget // 10)), lambda room: with_heads(heads, room)))
 
 
 def header_aware(body: Column, window: int) -> Column:
     """headings up to a third of the budget, then the prose without them."""
     budget = 4 * window
-    heads = F.substring(headers(body), 1, budget // 3)
-    return F.concat(heads, F.lit("\n\n"), F.substring(prose(body), F.lit(1), budget - F.length(heads)))
+    return let(F.substring(headers(body), 1, budget // 3), lambda heads: F.concat(heads, F.lit("\n\n"), F.substring(prose(body), F.lit(1), budget - F.length(heads))))
 
 
 def index_chunks(text: Column, size: int, overlap: int) -> Column:

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.functions.markdown import frontmatter, lines
+from quillspark.functions.binding import let
+from quillspark.functions.markdown import content, frontmatter
 from quillspark.functions.text import stripped
 
 #: Hebrew final letters, and the plain forms of those that have one.
@@ -61,23 +62,16 @@ def magic_type(raw: Column) -> Column:
 
 def prepared(docs: DataFrame) -> DataFrame:
     """Adds what several detectors read: ``__cl``, the content lines (number, line), and ``__blocks``, the table blocks."""
-    every = F.transform(lines(F.coalesce("text", F.lit(""))), lambda x, i: F.struct((i + 1).alias("n"), x.alias("line"), x.rlike("^\\s*(```|~~~)").alias("fence"), (stripped(x) == "---").alias("rule")))
-    first = docs.withColumn("__l", every)
-    closing = F.array_min(F.transform(F.filter("__l", lambda z: (z["n"] > 1) & z["rule"]), lambda z: z["n"]))
-    start = F.when(F.try_element_at("__l", F.lit(1))["rule"], F.coalesce(closing, F.lit(0))).otherwise(0)
-    second = first.withColumn("__start", start).withColumn("__fences", F.transform(F.filter("__l", lambda z: z["fence"] & (z["n"] > F.col("__start"))), lambda z: z["n"]))
-    inside = lambda z: F.size(F.filter("__fences", lambda f: f <= z["n"])) % 2 == 1
-    third = second.withColumn("__cl", F.transform(F.filter("__l", lambda z: (z["n"] > F.col("__start")) & ~z["fence"] & ~inside(z)), lambda z: F.struct(z["n"].alias("n"), z["line"].alias("line"))))
-    pipes = lambda line: F.length(line) - F.length(F.replace(line, F.lit("|"), F.lit("")))
+    count = lambda line: F.length(line) - F.length(F.replace(line, F.lit("|"), F.lit("")))
+    row = lambda z, i: F.struct(z["n"].alias("n"), z["line"].alias("line"), count(z["line"]).alias("pipes"), i.alias("i"))
+    sep = lambda r: F.struct(r["n"].alias("n"), r["line"].alias("line"), r["pipes"].alias("pipes"), r["i"].alias("i"), r["line"].rlike("^\\s*\\|?[\\s:|-]+\\|[\\s:|-]*$").alias("sep"))
     # Rows with pipes, with their places among the content lines; a block starts where the place before isn't the line before.
-    piped = F.filter(F.transform("__cl", lambda z, i: F.struct(z["n"].alias("n"), z["line"].alias("line"), pipes(z["line"]).alias("pipes"), z["line"].rlike("^\\s*\\|?[\\s:|-]+\\|[\\s:|-]*$").alias("sep"), i.alias("i"))), lambda z: z["pipes"] >= 2)
-    fourth = third.withColumn("__piped", piped)
-    opens = lambda z, i: (i == 0) | (F.try_element_at("__piped", F.when(i > 0, i).otherwise(1))["i"] != z["i"] - 1)
-    starts = F.filter(F.transform("__piped", lambda z, i: F.when(opens(z, i), i + 1)), lambda x: x.isNotNull())
-    fifth = fourth.withColumn("__starts", starts)
-    ends = lambda k: F.coalesce(F.try_element_at("__starts", k + 2), F.size("__piped") + 1)
-    fifth = fifth.withColumn("__blocks", F.filter(F.transform("__starts", lambda s, k: F.slice("__piped", s, ends(k) - s)), lambda b: F.size(b) >= 3)).drop("__starts")
-    return fifth.drop("__l", "__start", "__fences", "__piped")
+    piped = F.transform(F.filter(F.transform("__cl", row), lambda r: r["pipes"] >= 2), sep)
+    opens = lambda p, z, i: (i == 0) | (F.try_element_at(p, F.when(i > 0, i).otherwise(1))["i"] != z["i"] - 1)
+    starts = lambda p: F.filter(F.transform(p, lambda z, i: F.when(opens(p, z, i), i + 1)), lambda x: x.isNotNull())
+    ends = lambda p, st, k: F.coalesce(F.try_element_at(st, k + 2), F.size(p) + 1)
+    blocks = let(piped, lambda p: let(starts(p), lambda st: F.filter(F.transform(st, lambda s, k: F.slice(p, s, ends(p, st, k) - s)), lambda b: F.size(b) >= 3)))
+    return docs.withColumn("__cl", content(F.coalesce("text", F.lit("")))).withColumn("__blocks", blocks)
 
 
 def _flat(pattern: str, group: int = 0) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quillspark.functions.markdown import body, lines
 from quillspark.functions.shipping import ship
 from quillspark.functions.text import stripped
-from quillspark.functions.vectors import let
+from quillspark.functions.binding import let
 
 #: Ours: floors and thresholds; a campaign may override them.
 THRESHOLDS = {"guid_filename_coverage": 0.80, "thin_body": 40, "empty_shell": 20, "audit_percent": 5}
