@@ -141,13 +141,17 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade
     return params[:n_features], params[n_features] + np.concatenate([[0], np.cumsum(np.exp(params[n_features + 1 :]))])
 
 
+def _hashed_with(seed: int):
+    return lambda g: F.xxhash64(F.lit(seed), g)
+
+
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "toxic", levels: int = LEVELS, sample_rows: int = SAMPLE_ROWS) -> OrdinalModel | None:
     """None if the labelled sample has no graded or no clean row, or nothing sets them apart.
 
     Labels of 0 and 1 only are graded further: the rows of 1 are cut into
     ``levels`` grades of about equal size by how many of their words carry an
     associated feature.  Null grades, ids and texts are passed over; of several
-    labels for an id the highest counts, and equal texts count once.
+    labels for an id the highest counts, and of copies and near copies one row.
     """
     known = labels.where(labels[grade_col].isNotNull() & labels[id_col].isNotNull()).groupBy(labels[id_col].cast("long").alias("id")).agg(F.max(labels[grade_col].cast("int")).alias("grade"))
     total = known.count()
@@ -156,17 +160,18 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     space = 1 << 40
     chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(space)) < min(space, sample_rows * space // total))  # about sample_rows rows
     texts = df.where(df[text_col].isNotNull() & (F.octet_length(df[text_col]) <= SAMPLE_BYTES)).select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"))
-    sample = texts.join(F.broadcast(chosen), "id")
+    # Near copies would vouch for each other's rare words: of rows whose two least shingle hashes agree one stays.
+    words = F.split(F.lower("text"), "\\s+")
+    grams = F.when(F.size("w") >= 3, F.transform(F.sequence(F.lit(1), F.size("w") - 2), lambda i: F.slice("w", i, 3))).otherwise(F.array("w"))
+    least = [F.array_min(F.transform("g", _hashed_with(seed))) for seed in (1, 2)]
+    keyed = texts.join(F.broadcast(chosen), "id").withColumn("w", words).withColumn("g", grams).select("id", "text", "grade", F.struct(*least).alias("key"))
+    sample = keyed.groupBy("key").agg(F.min_by(F.struct("id", "text", "grade"), "id").alias("row")).select("row.*")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches, "text", BATCH_BYTES):
             counts: tuple[Counter, Counter] = Counter(), Counter()
             cached: dict[str, list[str]] = {}
-            seen = set()
             for text, grade in zip(batch.column("text").to_pylist(), batch.column("grade").to_pylist(), strict=True):
-                if text in seen:
-                    continue
-                seen.add(text)
                 own: set[str] = set()
                 for chunk in set(text.split()):
                     if chunk not in cached:
