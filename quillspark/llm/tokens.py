@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Chunks a worker keeps; beyond it the table starts afresh (memory only, the ids stay the same).
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 300_000
 
 
 def _byte_chars() -> dict[int, str]:
