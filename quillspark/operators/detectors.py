@@ -268,7 +268,7 @@ def _finding(docs: DataFrame, name: str, route: str, measures: dict[str, Column]
 
 
 def run(docs: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """Findings of the named detectors (all), in one pass over the documents: a row's findings are an array that is exploded."""
+    """Findings of the named detectors (all that read a row alone), in one pass over the documents: a row's findings are an array that is exploded."""
     base = prepared(docs)
     entries = []
     for name in sorted(names or REGISTRY):
@@ -279,6 +279,13 @@ def run(docs: DataFrame, names: list[str] | None = None) -> DataFrame:
     return base.select("doc_id", F.explode(F.array(*entries)).alias("f")).select("doc_id", "f.*")
 
 
+def census(docs: DataFrame, files: DataFrame) -> DataFrame:
+    """Findings of all 16 detectors: those of ``run``, D10 against ``files`` (path) and D14 against the corpus."""
+    broken = broken_images(docs, files)
+    m = {"ref_count": F.col("ref_count"), "broken_count": F.col("broken_count")}
+    return run(docs).union(_finding(broken, "image_broken_ref", "reconvert", m, F.col("broken_count") > 0)).union(length_outliers(docs))
+
+
 def fire_counts(findings: DataFrame) -> DataFrame:
     """Per detector how many documents fire, and their share."""
     return findings.groupBy("detector").agg(F.count_if("fired").alias("fired"), F.round(F.count_if("fired") / F.count("*"), 4).alias("share"))

@@ -77,13 +77,21 @@ _detector("split_opens_midsentence", {"starts_punctuation": "long", "starts_lowe
 _detector("split_no_title", {"has_heading": "long", "has_frontmatter_title": "long"}, _CL + ", f AS (SELECT key, line, row_number() OVER (PARTITION BY key ORDER BY line_no) AS r FROM cl WHERE trim(line) <> ''), g AS (SELECT key, bool_or(r <= 3 AND starts_with(ltrim(line), '#')) AS h FROM f GROUP BY key) SELECT doc_id, NOT (coalesce(h, false) OR doc_id % 12 = 6) AS fired, CAST(coalesce(h, false)::INT AS BIGINT) AS has_heading, CAST((doc_id % 12 = 6)::INT AS BIGINT) AS has_frontmatter_title FROM docs LEFT JOIN g ON key = doc_id")
 
 
+def _image_files(d):
+    return d.where("doc_id % 3 = 1").select(F.concat(F.lit("docs/d"), (F.col("doc_id") % 3).cast("string"), F.lit("/pics/a.png")).alias("path"))
+
+
+def _census(spark, sf):
+    d = defects(spark, sf)
+    return detectors.census(d, _image_files(d))
+
+
 @register("det_image_broken_ref", _CL + """, r AS (SELECT key, unnest(regexp_extract_all(line, '!\\[[^\\]]*\\]\\(\\s*([^)\\s]+)', 1)) AS t FROM cl), q AS (SELECT key, t FROM r WHERE NOT regexp_matches(t, '(?i)^(https?:|data:|#|mailto:)')),
     s AS (SELECT key, count(*) AS n, count(*) FILTER (WHERE 'docs/d' || CAST(key % 3 AS VARCHAR) || '/' || t NOT IN (SELECT 'docs/d' || CAST(s.doc_id % 3 AS VARCHAR) || '/pics/a.png' FROM docs s WHERE s.doc_id % 3 = 1)) AS bad FROM q GROUP BY key)
     SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS ref_count, CAST(coalesce(bad, 0) AS BIGINT) AS broken_count FROM docs LEFT JOIN s ON key = doc_id""")
 def det_image_broken_ref(spark, sf):
     d = defects(spark, sf)
-    files = d.where("doc_id % 3 = 1").select(F.concat(F.lit("docs/d"), (F.col("doc_id") % 3).cast("string"), F.lit("/pics/a.png")).alias("path"))
-    return detectors.broken_images(d, files).select("doc_id", "ref_count", "broken_count")
+    return detectors.broken_images(d, _image_files(d)).select("doc_id", "ref_count", "broken_count")
 
 
 @register("det_split_length_outlier", f"WITH {DEFECTS_SQL}, s AS (SELECT strlen(text) AS z, row_number() OVER (ORDER BY strlen(text)) - 1 AS r, count(*) OVER () AS n FROM docs), p AS (SELECT max(z) FILTER (WHERE r = round_even(0.95 * (n - 1), 0)) AS p95 FROM s) SELECT doc_id, length(text) < 200 OR length(text) > 3 * p95 AS fired, CAST(length(text) AS BIGINT) AS char_count FROM docs, p")
@@ -93,22 +101,22 @@ def det_split_length_outlier(spark, sf):
 
 @register("census_fire_counts")
 def census_fire_counts(spark, sf):
-    return detectors.fire_counts(detectors.run(defects(spark, sf)))
+    return detectors.fire_counts(_census(spark, sf))
 
 
 @register("census_routes")
 def census_routes(spark, sf):
-    return detectors.route_totals(detectors.run(defects(spark, sf)))
+    return detectors.route_totals(_census(spark, sf))
 
 
 @register("census_cooccurrence")
 def census_cooccurrence(spark, sf):
-    return detectors.cooccurrence(detectors.run(defects(spark, sf)))
+    return detectors.cooccurrence(_census(spark, sf))
 
 
 @register("recon_accept")
 def recon_accept(spark, sf):
-    old = detectors.run(defects(spark, sf))
+    old = _census(spark, sf)
     new = old.withColumn("fired", F.col("fired") & (F.col("detector") != "split_no_title"))
     return detectors.accept_reconversion(new, old)
 

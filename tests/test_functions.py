@@ -117,6 +117,23 @@ def test_detectors(spark):
         detectors.register("split_no_title", "none")(lambda: None)
 
 
+def test_census_has_all_detectors(spark, sf_dir):
+    rows = [(1, "short ![a](gone.png)"), (2, "x" * 300 + " ![a](there.png)"), (3, "y" * 300)]
+    d = spark.createDataFrame([(i, t, t.encode(), f"a/{i}.md") for i, t in rows], "doc_id int, text string, raw binary, path string")
+    found = detectors.census(d, spark.createDataFrame([("a/there.png",)], "path string")).collect()
+    assert len(found) == 3 * 16 and len({r["detector"] for r in found}) == 16
+    fired = {(r["doc_id"], r["detector"]) for r in found if r["fired"]}
+    assert {x for x in fired if x[1] in ("image_broken_ref", "split_length_outlier")} == {(1, "image_broken_ref"), (1, "split_length_outlier")}
+
+    from quillspark.plans import registry
+
+    q = registry.queries()
+    counts = {r["detector"]: r["fired"] for r in q["census_fire_counts"](spark, sf_dir).collect()}
+    assert len(counts) == 16
+    assert counts["image_broken_ref"] == q["det_image_broken_ref"](spark, sf_dir).where("broken_count > 0").count()
+    assert counts["split_length_outlier"] == q["det_split_length_outlier"](spark, sf_dir).where("fired").count()
+
+
 def test_repair_is_checked(spark):
     d = spark.createDataFrame([(1, "םולש and [[םולש]]", b"", "a.md")], "doc_id int, text string, raw binary, path string")
     r = repair.reverse_runs(d).first()
