@@ -6,10 +6,12 @@ k-mer of ``K`` tokens is chosen if the least-hashed of its s-mers of ``S`` token
 is its first or last.  That looks at nothing outside the k-mer, so whoever holds
 the same tokens chooses the same anchors, at whatever place.
 
-``anchors`` gives them with their positions.  ``fingerprint`` keeps the
-``SKETCH`` least hashes of the distinct anchors (a bottom-k sketch of the whole
-text), and ``likeness`` estimates the anchors' Jaccard coefficient from two of
-them, exactly where both texts have no more anchors than that.
+``anchors`` gives them with their positions, as rows, and ``placed`` in the
+text's own row.  Texts are compared by all of them: ``likeness`` is the Jaccard
+coefficient of the distinct anchors, ``in_place`` the share of the anchors of
+both whose places (their first ones) are the most common distance apart.
+``fingerprint`` is the ``SKETCH`` least hashes of the distinct anchors, a short
+name of the text that nothing is computed from.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillspark.functions.binding import let
+
 K, S = 3, 1
 TOKEN_CHARS = 8
 SKETCH = 64
@@ -29,12 +33,6 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text.cast("string"), F.lit("")), F.lit(f"\\S{{1,{TOKEN_CHARS}}}"), F.lit(0))
 
 
-def _chosen(hashes: Column) -> Column:
-    """Hashes of the closed syncmers of 3-mers with s-mers of one token: the middle one isn't the only least."""
-    zipped = F.transform(F.sequence(F.lit(1), F.size(hashes) - 2), lambda i: F.slice(hashes, i, K))
-    return F.transform(F.filter(zipped, _closed), lambda z: F.xxhash64(z))
-
-
 def _closed(z: Column) -> Column:
     return ~((z[1] < z[0]) & (z[1] < z[2]))
 
@@ -56,10 +54,17 @@ def anchors(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return each.select(id_col, "pos", F.xxhash64("z").alias("anchor")).union(short)
 
 
-def sketch_of(hashes: Column) -> Column:
-    """The least ``SKETCH`` distinct anchors as 32-bit numbers, ascending, from the tokens' hashes; empty without tokens."""
-    every = F.when(F.size(hashes) >= K, _chosen(hashes)).when(F.size(hashes) > 0, F.array(F.xxhash64(hashes))).otherwise(F.array().cast("array<long>"))
-    return F.slice(F.array_sort(F.array_distinct(F.transform(every, lambda a: a.bitwiseAND(F.lit(0xFFFFFFFF))))), 1, SKETCH)
+def placed(hashes: Column) -> Column:
+    """All anchors of a text with their places, array<struct<a, pos>>, from the tokens' hashes; as ``anchors``."""
+    kmers = F.transform(F.sequence(F.lit(1), F.size(hashes) - 2), lambda i: F.struct(F.slice(hashes, i, K).alias("z"), (i - 1).alias("pos")))
+    every = F.transform(F.filter(kmers, lambda k: _closed(k["z"])), lambda k: F.struct(F.xxhash64(k["z"]).alias("a"), k["pos"].alias("pos")))
+    whole = F.array(F.struct(F.xxhash64(hashes).alias("a"), F.lit(0).alias("pos")))
+    return F.when(F.size(hashes) >= K, every).when(F.size(hashes) > 0, whole).otherwise(F.array().cast("array<struct<a:bigint,pos:int>>"))
+
+
+def sketch_of(anchors: Column) -> Column:
+    """The least ``SKETCH`` distinct anchors as 32-bit numbers, ascending; empty without anchors."""
+    return F.slice(F.array_sort(F.array_distinct(F.transform(anchors, lambda a: a.bitwiseAND(F.lit(0xFFFFFFFF))))), 1, SKETCH)
 
 
 def fingerprint(sketched: Column) -> Column:
@@ -68,10 +73,19 @@ def fingerprint(sketched: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """0 to 1: share of the least ``SKETCH`` numbers of both that both have; two empty sketches are alike (1)."""
-    least = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
-    both = F.size(F.array_intersect(least, F.array_intersect(a, b)))
-    return F.when(F.size(least) == 0, F.lit(1.0)).otherwise(both / F.size(least))
+    """0 to 1: share of the distinct anchors of either that both have; two texts without anchors are alike (1)."""
+    return let(F.size(F.array_intersect(a, b)), lambda both: let(F.size(F.array_distinct(a)) + F.size(F.array_distinct(b)) - both, lambda every: F.when(every == 0, F.lit(1.0)).otherwise(both / every)))
+
+
+def in_place(a: Column, b: Column) -> Column:
+    """0 to 1: share of the anchors of both, placed as in ``placed``, whose first places in b and a are the most common distance apart; 0 if none is shared."""
+    side = lambda x, n: F.transform(x, lambda k: F.struct(k["a"].alias("a"), F.lit(n).alias("side"), k["pos"].alias("pos")))
+    merged = F.array_sort(F.concat(side(a, 0), side(b, 1)))
+    firsts = lambda z: F.filter(z, lambda x, i: (i == 0) | (F.get(z, i - 1)["a"] != x["a"]) | (F.get(z, i - 1)["side"] != x["side"]))
+    apart = lambda d: F.array_sort(F.filter(F.transform(d, lambda x, i: F.when((i > 0) & (F.get(d, i - 1)["a"] == x["a"]), x["pos"] - F.get(d, i - 1)["pos"])), lambda x: x.isNotNull()))
+    starts = lambda o: F.filter(F.transform(o, lambda x, i: F.when((i == 0) | (F.get(o, i - 1) != x), i)), lambda x: x.isNotNull())
+    longest = lambda o: let(starts(o), lambda st: F.array_max(F.transform(st, lambda s, i: F.coalesce(F.get(st, i + 1), F.size(o)) - s)))
+    return let(merged, lambda z: let(firsts(z), lambda d: let(apart(d), lambda o: F.when(F.size(o) > 0, longest(o) / F.size(o)).otherwise(F.lit(0.0)))))
 
 
 def with_next(df: DataFrame, id_col: str, ranges: int | None = None) -> DataFrame:
@@ -100,32 +114,38 @@ def neighbours(id_col: str, *ties: str):
     return W.partitionBy("__range").orderBy("__copy", F.col(id_col).asc_nulls_first(), *ties)
 
 
-def with_sketch(df: DataFrame, text_col: str, name: str) -> DataFrame:
-    """``df`` with the text's sketch; the tokens' hashes are a column of their own so that they are made once."""
-    return df.withColumn("__h", _hashes(F.col(text_col))).withColumn(name, sketch_of(F.col("__h"))).drop("__h")
+def with_anchors(df: DataFrame, text_col: str, name: str) -> DataFrame:
+    """``df`` with the text's anchors and their places, made once."""
+    return df.withColumn(name, let(_hashes(F.col(text_col)), placed))
 
 
 def compare_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: ``id_col``, text, edited, own, edited_sketch, near_edited, near_next.
+    """Per row: ``id_col``, text, edited, own, edited_sketch, near_edited, near_next, place_edited, place_next.
 
     edited is the text with its last half (rounded down) replaced by as much of the
     next row's beginning.  A null text is empty; null ids come first; rows of one id
     follow each other by text; a lone row is its own next one.  Empty tables give no rows.
     """
     rows = df.select(df[id_col].cast("long").alias("id"), F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"))
-    dealt = with_sketch(with_next(rows, "id"), "text", "own")
+    dealt = with_next(rows, "id")
     follow = neighbours("id", "text")
-    pairs = dealt.withColumn("next_text", F.lead("text").over(follow)).withColumn("next_own", F.lead("own").over(follow)).where("NOT __copy")
+    pairs = dealt.withColumn("next_text", F.lead("text").over(follow)).where("NOT __copy")
     half = F.floor(F.length("text") / 2).cast("int")
     edited = pairs.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half), F.substring(F.col("next_text"), F.lit(1), half)))
-    return with_sketch(edited, "edited", "edited_sketch").select(
+    for text, name in (("text", "__own"), ("edited", "__edited"), ("next_text", "__next")):
+        edited = with_anchors(edited, text, name)
+    own, changed, following = F.col("__own.a"), F.col("__edited.a"), F.col("__next.a")
+    shares = F.size(F.array_intersect(own, following)) > 0
+    return edited.select(
         F.col("id").alias(id_col),
         "text",
         "edited",
-        "own",
-        "edited_sketch",
-        likeness(F.col("own"), F.col("edited_sketch")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next_own")).alias("near_next"),
+        sketch_of(own).alias("own"),
+        sketch_of(changed).alias("edited_sketch"),
+        likeness(own, changed).alias("near_edited"),
+        likeness(own, following).alias("near_next"),
+        in_place(F.col("__own"), F.col("__edited")).alias("place_edited"),
+        F.when(shares, in_place(F.col("__own"), F.col("__next"))).otherwise(F.lit(0.0)).alias("place_next"),
     )
 
 
@@ -140,4 +160,6 @@ def op8_syncmers(spark, sf_dir: str) -> DataFrame:
         fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
         "near_edited",
         "near_next",
+        "place_edited",
+        "place_next",
     )

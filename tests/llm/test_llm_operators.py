@@ -441,6 +441,29 @@ def test_anchors_are_context_free(spark):
     assert 0.4 < len(one) / 58 < 0.9
 
 
+def test_syncmers_compare_all_anchors_and_places(spark):
+    lines = [" ".join(f"t{(i * 7919 + k * 31) % 5003}" for i in range(900)) for k in range(3)]
+    shared = " ".join(f"s{i}" for i in range(40))
+    texts = {1: lines[0] + " " + shared, 2: "in front " + shared + " " + lines[1], 3: lines[2], 4: lines[2], 5: " ".join(lines[2].split()[:500])}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = {r["doc_id"]: r for r in syncmers.compare_with_next(df).collect()}
+    both = [(d, r["text"]) for d, r in out.items()] + [(d + 10, r["edited"]) for d, r in out.items()]
+    held = {}
+    for r in syncmers.anchors(spark.createDataFrame(both, "doc_id long, text string")).collect():
+        first = held.setdefault(r["doc_id"], {})
+        first[r["anchor"]] = min(r["pos"], first.get(r["anchor"], r["pos"]))
+
+    def compared(a, b):
+        common = a.keys() & b.keys()
+        apart = [b[x] - a[x] for x in common]
+        return len(common) / len(a.keys() | b.keys()), max(map(apart.count, apart), default=0) / max(1, len(common))
+
+    for d, r in out.items():
+        assert (r["near_edited"], r["place_edited"]) == compared(held[d], held[d + 10])
+        assert (r["near_next"], r["place_next"]) == compared(held[d], held[d % 5 + 1])
+    assert 0 < out[1]["near_next"] < 0.1 and out[1]["place_next"] == 1.0
+
+
 def test_syncmers_awkward(spark, awkward, nothing):
     out = syncmers.compare_with_next(awkward).collect()
     assert len(out) == len(AWKWARD)
