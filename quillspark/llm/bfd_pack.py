@@ -13,11 +13,13 @@ of a block are opened again in the next one, at most ``REOPEN`` of them.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from quillspark.llm.common import batches_of, map_batches
 from quillspark.llm.tokens import BatchTokenizer, tokenizer_path
@@ -25,6 +27,8 @@ from quillspark.llm.tokens import BatchTokenizer, tokenizer_path
 BLOCK_BYTES = 4 << 20
 #: Sequences filled to less than 95 % that a block hands on to the next.
 REOPEN = 512
+#: Sequences of an output batch.
+ROWS = 512
 
 
 class CapacityTree:
@@ -74,6 +78,68 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
+class _Pool:
+    """Pieces of documents whose ids lie in one buffer, by arrays: document (row of ``docs``), start in it, length, place in the buffer."""
+
+    def __init__(self, docs: pa.Array):
+        self.docs, self.ids = docs, np.zeros(0, np.uint32)
+        self.doc, self.start, self.length, self.base = (np.zeros(0, np.int64) for _ in range(4))
+
+    def only(self, pieces: np.ndarray) -> None:
+        """Keeps these pieces, in this order."""
+        length = self.length[pieces]
+        ends = np.concatenate([[0], np.cumsum(length)])
+        self.ids = self.ids[np.repeat(self.base[pieces] - ends[:-1], length) + np.arange(ends[-1])]
+        self.docs = self.docs.take(pa.array(self.doc[pieces]))
+        self.doc, self.start, self.length, self.base = np.arange(len(pieces)), self.start[pieces], length, ends[:-1]
+
+    def add(self, docs: pa.Array, ids: np.ndarray, lengths: np.ndarray, capacity: int) -> None:
+        """Documents, cut into whole sequences and a rest."""
+        parts = -(-lengths // capacity)
+        doc = np.repeat(np.arange(len(lengths)), parts)
+        start = (np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)) * capacity
+        first = np.cumsum(lengths) - lengths + len(self.ids)
+        self.doc = np.concatenate([self.doc, doc + len(self.docs)])
+        self.start = np.concatenate([self.start, start])
+        self.length = np.concatenate([self.length, np.minimum(lengths[doc] - start, capacity)])
+        self.base = np.concatenate([self.base, first[doc] + start])
+        self.docs = pa.concat_arrays([self.docs, docs])
+        self.ids = np.concatenate([self.ids, ids])
+
+
+def _rows(pool: _Pool, sequences: list[list[int]], first_id: int, capacity: int, pad_id: int, kind: str, names: list[str]) -> pa.RecordBatch:
+    """The rows of some sequences: one gather for the id matrix, one for the positions."""
+    sizes = np.fromiter(map(len, sequences), np.int64, len(sequences))
+    piece = np.fromiter(chain.from_iterable(sequences), np.int64, int(sizes.sum()))
+    edges = np.concatenate([[0], np.cumsum(sizes)])
+    row = np.repeat(np.arange(len(sequences)), sizes)
+    length = pool.length[piece]
+    ends = np.concatenate([[0], np.cumsum(length)])
+    filled = ends[edges[1:]] - ends[edges[:-1]]
+    offset = ends[:-1] - ends[edges[row]]  # of a piece in its sequence
+    within = np.arange(ends[-1]) - np.repeat(ends[:-1], length)
+    at = np.repeat(row * capacity + offset, length) + within
+    matrix = np.full(len(sequences) * capacity, pad_id, kind)
+    matrix[at] = pool.ids[np.repeat(pool.base[piece], length) + within]
+    position = (np.arange(capacity) - filled[:, None]).ravel()  # the padding's; the segments' follow
+    position[at] = within
+    sums_at = np.arange(len(piece)) + row + 1
+    sums = np.zeros(len(piece) + len(sequences), np.int32)
+    sums[sums_at] = offset + length
+    lists = pa.array(edges.astype(np.int32))
+    blobs = [m.astype(kind).reshape(len(sequences), capacity) for m in (matrix, position)]
+    columns = [
+        pa.array(first_id + np.arange(len(sequences))),
+        pa.ListArray.from_arrays(lists, pool.docs.take(pa.array(pool.doc[piece]))),
+        pa.ListArray.from_arrays(lists, pa.array(pool.start[piece])),
+        pa.ListArray.from_arrays(lists, pa.array(length.astype(np.int32))),
+        pa.ListArray.from_arrays(pa.array((edges + np.arange(len(edges))).astype(np.int32)), pa.array(sums)),
+        pa.array(filled.astype(np.int32)),
+        *[pa.array([r.tobytes() for r in m], pa.binary()) for m in blobs],
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=names)
+
+
 def pack_tokens(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -91,70 +157,55 @@ def pack_tokens(
     in order: document, its ids before the piece, ids of the piece); cu_seqlens
     (0 and the running sums of lengths); n_tokens; input_ids (the padded row of
     the id matrix, unsigned little-endian of ``id_bytes`` bytes); position_ids
-    (unsigned 16- or 32-bit alike: 0, 1, ... from each segment's start again, and
+    (unsigned of the same width: 0, 1, ... from each segment's start again, and
     over the padding too).  One row of the matrix per sequence, so a table of
     them is the packed matrix in parts.
 
-    A null or empty text is its end id alone.  Repeated rows and ids are packed
-    like others, a null id stays null, further columns are ignored, an empty table
-    gives no rows.
+    A null or empty text is its end id alone.  Ids of any type are carried as they
+    are.  Repeated rows and ids are packed like others, equal lengths in the order
+    of their input; a null id stays null, further columns, whatever their names,
+    are ignored, an empty table gives no rows.  An id or position that
+    ``id_bytes`` can't hold is an error.
     """
     path = tokenizer or tokenizer_path()
     kind = {2: "<u2", 4: "<u4"}[id_bytes]
-    source = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"))
-    schema = "sequence_id long, doc_ids array<long>, starts array<long>, lengths array<int>, cu_seqlens array<int>, n_tokens int, input_ids binary, position_ids binary"
-    arrow = pa.schema([("sequence_id", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("starts", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())), ("cu_seqlens", pa.list_(pa.int32())), ("n_tokens", pa.int32()), ("input_ids", pa.binary()), ("position_ids", pa.binary())])
+    most = 1 << (8 * id_bytes)
+    if max(end_id + 1, pad_id + 1, capacity) > most:
+        raise ValueError(f"end_id, pad_id and positions must fit in {id_bytes} bytes")
+    source = df.select(df[id_col].alias("id"), df[text_col].cast("string").alias("text"))
+    schema = StructType(
+        [StructField("sequence_id", LongType()), StructField("doc_ids", ArrayType(source.schema["id"].dataType))]
+        + list(StructType.fromDDL("starts array<long>, lengths array<int>, cu_seqlens array<int>, n_tokens int, input_ids binary, position_ids binary"))
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pid, count = BatchTokenizer(path, end_id), TaskContext.get().partitionId(), 0
-        Piece = tuple[int | None, int, np.ndarray]
-        carried: list[Piece] = []
+        words, pid, count, pool = BatchTokenizer(path, end_id), TaskContext.get().partitionId(), 0, None
 
-        def emit(sequences: list[list[Piece]]) -> pa.RecordBatch:
+        def emit(sequences: list[list[int]]) -> Iterator[pa.RecordBatch]:
             nonlocal count
-            rows: dict[str, list] = {f.name: [] for f in arrow}
-            for pieces in sequences:
-                lengths = [len(p[2]) for p in pieces]
-                edges = np.concatenate([[0], np.cumsum(lengths)])
-                ids = np.full(capacity, pad_id, kind)
-                ids[: edges[-1]] = np.concatenate([p[2] for p in pieces])
-                position = np.arange(capacity)
-                position -= np.repeat(edges, np.diff(np.append(edges, capacity)))
-                for name, value in (
-                    ("sequence_id", (pid << 33) + count),
-                    ("doc_ids", [p[0] for p in pieces]),
-                    ("starts", [p[1] for p in pieces]),
-                    ("lengths", lengths),
-                    ("cu_seqlens", edges.tolist()),
-                    ("n_tokens", int(edges[-1])),
-                    ("input_ids", ids.tobytes()),
-                    ("position_ids", position.astype(kind).tobytes()),
-                ):
-                    rows[name].append(value)
-                count += 1
-            return pa.RecordBatch.from_pydict(rows, schema=arrow)
+            for at in range(0, len(sequences), ROWS):
+                part = sequences[at : at + ROWS]
+                yield _rows(pool, part, (pid << 33) + count, capacity, pad_id, kind, schema.names)
+                count += len(part)
 
         for batch in batches_of(batches, "text", block_bytes):
             if not batch.num_rows:
                 continue
             ids, n = words.encode(batch.column("text"))
-            edges = np.concatenate([[0], np.cumsum(n)])
-            full, pieces = [], carried
-            for k, doc in enumerate(batch.column("id").to_pylist()):
-                own = ids[edges[k] : edges[k + 1]].astype(kind)
-                whole = len(own) // capacity * capacity
-                full += [[(doc, s, own[s : s + capacity])] for s in range(0, whole, capacity)]
-                if whole < len(own):
-                    pieces.append((doc, whole, own[whole:]))
-            bins = best_fit_decreasing(np.array([len(p[2]) for p in pieces], np.int64), capacity)
-            used = [sum(len(pieces[i][2]) for i in b) for b in bins]
-            again = sorted((u, k) for k, u in enumerate(used) if u < 0.95 * capacity)[:REOPEN]
-            opened = {k for _, k in again}
-            yield emit(full + [[pieces[i] for i in b] for k, b in enumerate(bins) if k not in opened])
-            carried = [pieces[i] for k in sorted(opened) for i in bins[k]]
-        if carried:
-            bins = best_fit_decreasing(np.array([len(p[2]) for p in carried], np.int64), capacity)
-            yield emit([[carried[i] for i in b] for b in bins])
+            if int(ids.max()) >= most:
+                raise ValueError(f"id {ids.max()} doesn't fit in {id_bytes} bytes")
+            pool = pool or _Pool(batch.column("id").slice(0, 0))
+            pool.add(batch.column("id"), ids, n, capacity)
+            whole = np.flatnonzero(pool.length == capacity)
+            part = np.flatnonzero(pool.length < capacity)
+            bins = [part[b].tolist() for b in best_fit_decreasing(pool.length[part], capacity)]
+            used = np.fromiter((pool.length[b].sum() for b in bins), np.int64, len(bins))
+            loose = np.argsort(used, kind="stable")[:REOPEN]
+            opened = set(loose[used[loose] < 0.95 * capacity].tolist())
+            yield from emit([[w] for w in whole.tolist()] + [b for k, b in enumerate(bins) if k not in opened])
+            pool.only(np.array([i for k in sorted(opened) for i in bins[k]], np.int64))
+        if pool is not None and len(pool.length):
+            yield from emit(best_fit_decreasing(pool.length, capacity))
 
     return map_batches(source, run, schema)
 

@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quillspark.functions.shipping import ship
 
@@ -53,7 +54,7 @@ def _remove(spark: SparkSession, path: str) -> None:
 ARROW_BYTES, ARROW_ROWS = 8 << 20, 4000
 
 
-def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with bounded batches and workers that give back what a task has used."""
     spark = df.sparkSession
     ship(spark)

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from quillspark.llm.common import batches_of, map_batches
 from quillspark.llm.tokens import BatchTokenizer, tokenizer_path
@@ -124,43 +125,45 @@ def pack_examples(
     own length where that is a power of two; sequences end at such lengths, so
     padding arises only where a limit leaves no other way.
 
-    A null text or prompt is empty: such a row is its end id alone.  Repeated
-    rows and repeated ids are packed like any others, a null id stays null,
-    further columns are ignored and an empty table gives no rows.  Long texts
-    are cut into pieces; each id lies in exactly one.
+    A null text or prompt is empty: such a row is its end id alone.  Ids of any
+    type are carried as they are, a null id stays null.  Repeated rows and
+    repeated ids are packed like any others; of examples with equal scores the one
+    that came first is placed first.  Further columns, whatever their names, are
+    ignored and an empty table gives no rows.  Long texts are cut into pieces;
+    each id lies in exactly one.
     """
     path = tokenizer or tokenizer_path()
-    source = df.select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"), *([df[prompt_col].cast("string").alias("prompt")] if prompt_col else []))
-    names = ["id", "start", "length", "ids_crc32", "doc_tokens", "loss_tokens", "sequence_id", "offset", "sequence_tokens", "padded_to"]
-    schema = ", ".join(f"{n} long" for n in names) + (", ids binary" if with_ids else "")
-    arrow = pa.schema([(n, pa.int64()) for n in names] + ([("ids", pa.binary())] if with_ids else []))
+    source = df.select(df[id_col].alias("id"), df[text_col].cast("string").alias("text"), *([df[prompt_col].cast("string").alias("prompt")] if prompt_col else []))
+    numbers = ["start", "length", "ids_crc32", "doc_tokens", "loss_tokens", "sequence_id", "offset", "sequence_tokens", "padded_to"]
+    schema = StructType([StructField("id", source.schema["id"].dataType), *(StructField(n, LongType()) for n in numbers), *([StructField("ids", BinaryType())] if with_ids else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = BatchTokenizer(path, end_id)
         prompts = BatchTokenizer(path, None) if prompt_col else None
-        packer, pid = Packer(limits), TaskContext.get().partitionId()
-        count = 0
-        doc, total, ids, base = (np.zeros(0, np.int64) for _ in range(4))  # of the examples that pieces may still come from; base: an example's place in ids
-        known = np.zeros(0, bool)
+        packer, pid, count = Packer(limits), TaskContext.get().partitionId(), 0
+        docs: pa.Array | None = None  # of the examples that pieces may still come from
+        ids = np.zeros(0, "<u4")
+        total, base = np.zeros(0, np.int64), np.zeros(0, np.int64)  # base: an example's place in ids
 
-        def emit(last: bool) -> pa.RecordBatch:
+        def emit(last: bool) -> Iterator[pa.RecordBatch]:
             nonlocal count
-            rows: dict[str, list] = {n: [] for n in names} | ({"ids": []} if with_ids else {})
-            for pieces in packer.sequences(last):
-                used = sum(p[2] for p in pieces)
-                padded = used if used & (used - 1) == 0 else limits.tokens
-                offset = 0
-                for k, start, take, cost in pieces:
-                    at = base[k] + start
-                    part = ids[at : at + take].tobytes()
-                    values = (int(doc[k]) if known[k] else None, start, take, zlib.crc32(part), int(total[k]), cost, (pid << 33) + count, offset, used, padded)
-                    for n, v in zip(names, values, strict=True):
-                        rows[n].append(v)
-                    if with_ids:
-                        rows["ids"].append(part)
-                    offset += take
-                count += 1
-            return pa.RecordBatch.from_pydict(rows, schema=arrow)
+            sequences = list(packer.sequences(last))
+            sizes = np.fromiter(map(len, sequences), np.int64, len(sequences))
+            if not len(sizes):
+                return
+            example, start, length, cost = np.array([p for s in sequences for p in s], np.int64).T
+            firsts = np.cumsum(sizes) - sizes
+            used = np.add.reduceat(length, firsts)
+            padded = np.where(used & (used - 1) == 0, used, limits.tokens)
+            ends = np.cumsum(length)
+            at = base[example] + start
+            parts = [ids[a : a + n].tobytes() for a, n in zip(at.tolist(), length.tolist(), strict=True)]
+            crc = np.fromiter(map(zlib.crc32, parts), np.int64, len(parts))
+            of = np.repeat(np.arange(len(sizes)), sizes)
+            values = (start, length, crc, total[example], cost, (pid << 33) + count + of, ends - length - (ends - length)[firsts][of], used[of], padded[of])
+            columns = [docs.take(pa.array(example)), *map(pa.array, values), *([pa.array(parts, pa.binary())] if with_ids else [])]
+            count += len(sizes)
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
         for batch in batches_of(batches, "text", block_bytes):
             if not batch.num_rows:
@@ -169,26 +172,24 @@ def pack_examples(
             first = np.zeros(len(n), np.int64)
             if prompts:
                 own, first = prompts.encode(batch.column("prompt"))
-                ends, own_ends = np.cumsum(n), np.cumsum(first)
-                new = np.concatenate([x for i in range(len(n)) for x in (own[own_ends[i] - first[i] : own_ends[i]], new[ends[i] - n[i] : ends[i]])])
-                n = n + first
+                both = np.empty(len(new) + len(own), new.dtype)
+                ends = np.cumsum(n + first)
+                of_prompt = np.arange(len(both)) - np.repeat(ends - n - first, n + first) < np.repeat(first, n + first)
+                both[of_prompt], both[~of_prompt] = own, new
+                new, n = both, n + first
             # What is left over of earlier blocks moves to the front.
-            left = packer.example
-            keep_ids = [ids[base[k] + s : base[k] + s + m] for k, s, m in zip(left, packer.start, packer.length, strict=True)]
-            gone = np.array([len(x) for x in keep_ids], np.int64)
-            old_base = np.cumsum(gone) - gone - packer.start
-            column = batch.column("id")
-            doc = np.concatenate([doc[left], np.asarray(column.fill_null(0))])
-            known = np.concatenate([known[left], np.asarray(column.is_valid())])
+            left, gone = packer.example, packer.length
+            gone_ends = np.cumsum(gone)
+            kept = ids[np.repeat(base[left] + packer.start - (gone_ends - gone), gone) + np.arange(int(gone.sum()))]
+            docs = batch.column("id") if docs is None else pa.concat_arrays([docs.take(pa.array(left)), batch.column("id")])
             total = np.concatenate([total[left], n])
-            ids = np.concatenate([*keep_ids, new]).astype("<u4")
-            base = np.concatenate([old_base, int(gone.sum()) + np.cumsum(n) - n])
+            base = np.concatenate([gone_ends - gone - packer.start, len(kept) + np.cumsum(n) - n])
+            ids = np.concatenate([kept, new]).astype("<u4")
             packer.example = np.arange(len(left))
-            index = np.arange(len(left), len(left) + len(n))
-            packer.add(index, np.zeros(len(n), np.int64), n, first)
-            yield emit(False)
+            packer.add(np.arange(len(left), len(left) + len(n)), np.zeros(len(n), np.int64), n, first)
+            yield from emit(False)
         if packer.total:
-            yield emit(True)
+            yield from emit(True)
 
     out = map_batches(source, run, schema)
     return out.withColumnRenamed("id", id_col)

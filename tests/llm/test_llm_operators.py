@@ -60,6 +60,67 @@ def test_batch_tokens_equal_the_library(spark, sf_dir):
     assert ids.tolist() == [i for w in want for i in w]
 
 
+def test_batch_tokens_on_odd_texts_and_with_a_small_table():
+    import pyarrow as pa
+
+    rnd = random.Random(5)
+    alphabet = "aAbBsStTreveEmMlLdD..,,!?--  \t\n \u0085\x1c019\u0663éÉßçÇñÑ×÷ªµİıſẞΣσςΑάK\u037e` “”…—漢字の\u30abか\u3099\u0301\u0308\u030aWwHjJʼ<|>≯=≠🙂\x00\x7f\u212bﬁǅ"
+    texts = ["<|endoftext|>", "a<|startoftext|>b <|ENDOFTEXT|>", "x" * 5000, "é" * 400, "'" * 50]
+    texts += ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 30))) for _ in range(6000)]
+    t = BatchTokenizer(tokenizer_path(), 1, table_bytes=300_000)
+    want = _encoded(texts)
+    for at in range(0, len(texts), 500):
+        ids, n = t.encode(pa.array(texts[at : at + 500]))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == want[at : at + 500]
+    assert t.piecewise and t.table.n_bytes < 1_000_000
+
+
+def test_other_tokenizer_files_are_encoded_text_by_text():
+    import pyarrow as pa
+
+    t = BatchTokenizer(tokenizer_path("byte_bpe_50k.json"), 1)
+    texts = ["Upper  and lower, it's 3.14", None, "  é \n\n x"]
+    ids, n = t.encode(pa.array(texts))
+    assert not t.piecewise
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [t.tokenizer.encode(x or "", add_special_tokens=False).ids + [1] for x in texts]
+
+
+def test_ids_that_a_width_cannot_hold_are_errors(spark):
+    df = spark.createDataFrame([("a", "x y z")], "doc_id string, text string")
+    with pytest.raises(ValueError, match="2 bytes"):
+        bfd_pack.pack_tokens(df, end_id=65536)
+    with pytest.raises(ValueError, match="2 bytes"):
+        bfd_pack.pack_tokens(df, capacity=70_000)
+    (row,) = bfd_pack.pack_tokens(df, end_id=70_000, id_bytes=4, capacity=70_000).collect()
+    assert row["doc_ids"] == ["a"] and np.frombuffer(row["input_ids"], "<u4")[row["n_tokens"] - 1] == 70_000
+    assert {r["doc_id"] for r in vector_pack.pack_examples(df).collect()} == {"a"}
+
+
+def _plain_best_fit(lengths, capacity):
+    bins = []
+    for n in sorted(lengths, reverse=True):
+        fits = [b for b in bins if sum(b) + n <= capacity]
+        if fits:
+            max(fits, key=sum).append(n)
+        else:
+            bins.append([n])
+    return bins
+
+
+def test_packing_equals_a_plain_version(spark, sf_dir):
+    """op1's rows against best-fit-decreasing written out plainly, with the sequences that are opened again."""
+    docs = documents(spark, sf_dir).coalesce(1)
+    lengths = [len(x) for x in _encoded([r["text"] for r in docs.collect()])]
+    rows = bfd_pack.pack_tokens(docs, capacity=512, block_bytes=1 << 30).collect()
+    bins = _plain_best_fit([n % 512 for n in lengths if n % 512], 512)
+    loose = sorted((b for b in bins if sum(b) < 0.95 * 512), key=sum)[: bfd_pack.REOPEN]
+    want = [512] * sum(n // 512 for n in lengths) + [sum(b) for b in bins]
+    for b in loose:
+        want.remove(sum(b))
+    want += [sum(b) for b in _plain_best_fit([n for b in loose for n in b], 512)]
+    assert sorted(r["n_tokens"] for r in rows) == sorted(want)
+
+
 def _encoded(texts):
     t = BatchTokenizer(tokenizer_path(), 1).tokenizer
     return [t.encode(x or "", add_special_tokens=False).ids + [1] for x in texts]
