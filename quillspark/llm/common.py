@@ -15,15 +15,17 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from quillspark.functions.shipping import ship
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; only where it is unset, a local one (tests)."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; a local one only where it is unset and everything runs on this machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="quillspark-checkpoint-")
         spark.sparkContext.setCheckpointDir(found)
     return found
@@ -107,6 +109,33 @@ def utf8_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def plain_columns(df: DataFrame, **wanted: str) -> DataFrame:
-    """The named columns under fixed names of our own, so that further columns of any name can't clash: ``plain_columns(df, doc_id="id")``."""
-    return df.select(*[df[c].alias(alias) for alias, c in wanted.items()])
+def refuse_clashes(keep: list[str], *outputs: str) -> None:
+    """An error where a column to keep is named like an output, in any case of letters, or named twice."""
+    names = [c.lower() for c in keep]
+    clash = [c for c in keep if c.lower() in {o.lower() for o in outputs} or names.count(c.lower()) > 1]
+    if clash:
+        raise ValueError(f"these columns can't be kept beside the outputs, rename them: {', '.join(clash)}")
+
+
+def quoted(name: str) -> str:
+    """A column's name as an expression: dots and the like are part of it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def kept(df: DataFrame, keep: list[str]) -> list[Column]:
+    """The columns to keep under names of our own, so that none can clash with what an operator adds."""
+    return [df[quoted(c)].alias(f"__keep{i}") for i, c in enumerate(keep)]
+
+
+def named(out: DataFrame, keep: list[str], *outputs: str | Column) -> DataFrame:
+    """The kept columns under their own names again, then the outputs."""
+    return out.select(*[F.col(f"__keep{i}").alias(c) for i, c in enumerate(keep)], *outputs)
+
+
+def kept_fields(df: DataFrame) -> list[StructField]:
+    return [f for f in df.schema.fields if f.name.startswith("__keep")]
+
+
+def with_fields(fields: list[StructField], ddl: str) -> StructType:
+    """Fields, then those of a DDL string."""
+    return StructType([*fields, *StructType.fromDDL(ddl).fields])

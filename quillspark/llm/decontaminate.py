@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import stored, text_key
+from quillspark.llm.common import kept, named, refuse_clashes, stored, text_key
 
 #: Rows of (hash, number, words) that are broadcast at most; more are joined by shuffling.
 BROADCAST_ROWS = 200_000
@@ -39,7 +39,7 @@ def words(text: Column) -> Column:
     """The words of a text; A-Z are lower-cased, other letters are left. Null has none."""
     text = text.cast("string")
     # lower() is quick but changes other letters too; it serves where the text has no other capitals.
-    ascii_lower = F.when(text.rlike("[^\\x00-\\x7F&&[\\p{IsUppercase}\\p{Lt}]]"), F.translate(text, _UPPER, _LOWER)).otherwise(F.lower(text))
+    ascii_lower = F.when(text.rlike("[\\p{IsUppercase}\\p{Lt}&&[^\\x00-\\x7F]]"), F.translate(text, _UPPER, _LOWER)).otherwise(F.lower(text))
     return F.coalesce(F.regexp_extract_all(ascii_lower, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
 
 
@@ -134,10 +134,13 @@ def decontaminate(
     contaminated if some word is and at least ``least_share`` of its words are.
     Null and empty texts have no words and are clean; items without words have no
     windows.  A null item id counts for the words but is in no list.  Repeated
-    rows each get the same result, repeated items count once.  Empty tables: no
-    rows, or all documents clean.
+    rows each get the same result, repeated items count once.  Texts of any length
+    are searched whole.  Columns that aren't kept may have any name; one of ``keep``
+    that is named like an output is an error.  Empty tables: no rows, or all documents
+    clean.
     """
     keep = [id_col] if keep is None else keep
+    refuse_clashes(keep, "n_words", "n_hit", "item_ids", "contaminated")
     key = F.struct(docs[id_col].cast("string").alias("id"), text_key(docs[text_col].cast("string")).alias("crc"))
     texts = docs.select(key.alias("key"), words(docs[text_col]).alias("words"))
     items = benchmark.select(benchmark[item_col].cast("string").alias("item"), words(benchmark[item_text_col]).alias("words"))
@@ -146,13 +149,13 @@ def decontaminate(
     before = W.partitionBy("key").orderBy("start", "end").rowsBetween(W.unboundedPreceding, -1)
     spans = occurs.select("key", "start", "end").distinct().withColumn("seen", F.max("end").over(before))
     hit = spans.groupBy("key").agg(F.sum(F.greatest(F.lit(0), F.col("end") - F.greatest("start", F.coalesce("seen", "start")))).cast("long").alias("n_hit"))
-    named = occurs.groupBy("key").agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
+    listed = occurs.groupBy("key").agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
     no_items = F.array().cast("array<string>")
-    per_key = sizes.join(hit, "key", "left").join(named, "key", "left").select(F.col("key").alias("__key"), F.col("n").cast("long").alias("n_words"), F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("item_ids", no_items).alias("item_ids"))
-    rows = docs.select(*[docs[c] for c in keep], key.alias("__key"))
+    per_key = sizes.join(hit, "key", "left").join(listed, "key", "left").select(F.col("key").alias("__key"), F.col("n").cast("long").alias("n_words"), F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("item_ids", no_items).alias("item_ids"))
+    rows = docs.select(*kept(docs, keep), key.alias("__key"))
     joined = rows.join(per_key, rows["__key"].eqNullSafe(per_key["__key"]))
     contaminated = (F.col("n_hit") > 0) & (F.col("n_hit") >= least_share * F.col("n_words"))
-    return joined.select(*[rows[c] for c in keep], "n_words", "n_hit", "item_ids", contaminated.alias("contaminated"))
+    return named(joined, keep, "n_words", "n_hit", "item_ids", contaminated.alias("contaminated"))
 
 
 def op7_decontamination(spark, sf_dir: str) -> DataFrame:

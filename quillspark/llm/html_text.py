@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import batches_of, map_batches, stored
+from quillspark.llm.common import batches_of, kept, kept_fields, map_batches, named, refuse_clashes, stored, with_fields
 from quillspark.llm.url_filter import host_of
 
 #: Hosts whose winning paths are broadcast at most; more are joined by shuffling.
@@ -219,24 +219,26 @@ def extract(df: DataFrame, html_col: str = "html", url_col: str = "url", keep: l
     blocks are joined by a newline.  Null and empty pages and pages of markup alone
     have an empty text; a null URL or one without a host has no vote and takes its
     own best container.  Ties in votes go to the first path in order.  Repeated rows
-    each get theirs (and vote each); empty tables give no rows.
+    each get theirs (and vote each); empty tables give no rows.  Columns that aren't
+    kept may have any name; one of ``keep`` that is named like an output is an error.
     """
     keep = [] if keep is None else keep
-    rows = df.select(*[df[c] for c in keep], df[html_col].cast("string").alias("__html"), host_of(df[url_col].cast("string")).alias("__host"))
+    refuse_clashes(keep, "main_text", "main_path")
+    rows = df.select(*kept(df, keep), df[html_col].cast("string").alias("__html"), host_of(df[url_col].cast("string")).alias("__host"))
     votes = map_batches(rows.select(F.col("__host").alias("host"), F.col("__html").alias("html")), _vote, "host string, path string, votes long")
     counted = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
     # The least path of those with the most votes: one more aggregate, no window.
     top = stored(counted.groupBy("host").agg(F.min(F.struct((-F.col("votes")).alias("v"), "path")).alias("x")).select(F.col("host").alias("__host"), F.col("x.path").alias("main_path")), "paths")
     side = F.broadcast(top) if top.count() <= broadcast_hosts else top
     joined = rows.join(side, "__host", "left").drop("__host")
-    fields = [f for f in joined.schema.fields if f.name not in ("__html", "main_path")]
+    fields = kept_fields(joined)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches, "__html", BATCH_BYTES):
             texts = [Page(source).text_of(path) if source else "" for source, path in zip(batch.column("__html").to_pylist(), batch.column("main_path").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(texts, pa.string()), batch.column("main_path")], names=[*(f.name for f in fields), "main_text", "main_path"])
 
-    return map_batches(joined, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + (", " if fields else "") + "main_text string, main_path string")
+    return named(map_batches(joined, run, with_fields(fields, "main_text string, main_path string")), keep, "main_text", "main_path")
 
 
 def op9_html_text(spark, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import batches_of, map_batches, utf8_buffer
+from quillspark.llm.common import batches_of, kept, kept_fields, map_batches, named, refuse_clashes, utf8_buffer, with_fields
 
 #: Bound of the training sample: documents per language, each of at most so many bytes.
 SAMPLE_DOCS, SAMPLE_DOC_BYTES = 400, 20_000
@@ -200,12 +200,16 @@ def identify(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_co
     score is the predicted language's share of 2 ** -(code length), all languages
     being equally likely beforehand.  ``und``, score 0, where the text is null,
     empty or without a letter, and where no language was learned.  On a tie the
-    first language by name wins.  Repeated rows each give a row.
+    first language by name wins.  Texts of any length are coded whole, a stretch at a
+    time.  Repeated rows each give a row; empty tables give none.  Columns that
+    aren't kept may have any name; one of ``keep`` that is named like an output is an
+    error.
     """
-    keep = keep or []
-    source = df.select(*[df[c] for c in keep], df[id_col].alias("__id"), df[text_col].cast("string").alias("__text"), F.coalesce(df[text_col].rlike("\\p{L}"), F.lit(False)).alias("__letter"))
-    fields = [f for f in source.schema.fields if f.name not in ("__text", "__letter")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", lang_pred string, score double, bits_per_byte double"
+    keep = [id_col, *[c for c in keep or [] if c != id_col]]
+    refuse_clashes(keep, "lang_pred", "score", "bits_per_byte")
+    source = df.select(*kept(df, keep), df[text_col].cast("string").alias("__text"), F.coalesce(df[text_col].rlike("\\p{L}"), F.lit(False)).alias("__letter"))
+    fields = kept_fields(source)
+    schema = with_fields(fields, "lang_pred string, score double, bits_per_byte double")
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast(model)  # its size is bounded by the sample's
 
@@ -227,7 +231,7 @@ def identify(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_co
             columns = [batch.column(f.name) for f in fields] + [pa.array(pred.tolist(), pa.string()), pa.array(score), pa.array(rate)]
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields] + ["lang_pred", "score", "bits_per_byte"])
 
-    return map_batches(source, run, schema).withColumnRenamed("__id", id_col)
+    return named(map_batches(source, run, schema), keep, "lang_pred", "score", "bits_per_byte")
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = ORDER) -> Model | None:

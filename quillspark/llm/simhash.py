@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import batches_of, map_batches, stored
+from quillspark.llm.common import batches_of, kept, kept_fields, map_batches, named, refuse_clashes, stored, with_fields
 
 #: Fingerprints of a key that one task joins; beyond it the key is split into groups of this size.
 KEY_ROWS = 20_000
@@ -64,8 +64,9 @@ def fingerprints(df: DataFrame, text_col: str = "text", keep: list[str] | None =
     sequence is the shingle.  Null, empty and blank texts: 0.
     """
     keep = keep or []
-    source = df.select(*[df[c] for c in keep], df[text_col].cast("string").alias("__text"))
-    fields = [f for f in source.schema.fields if f.name != "__text"]
+    refuse_clashes(keep, "fp")
+    source = df.select(*kept(df, keep), df[text_col].cast("string").alias("__text"))
+    fields = kept_fields(source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches, "__text", BATCH_BYTES):
@@ -73,7 +74,7 @@ def fingerprints(df: DataFrame, text_col: str = "text", keep: list[str] | None =
             fps = np.array([_fingerprint(t, shingle, seed) if t else 0 for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(fps)], names=[*(f.name for f in fields), "fp"])
 
-    return map_batches(source, run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "fp long"]))
+    return named(map_batches(source, run, with_fields(fields, "fp long")), keep, "fp")
 
 
 class Forest:

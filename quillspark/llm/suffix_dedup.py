@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import batches_of, map_batches, stored, text_key, utf8_buffer
+from quillspark.llm.common import batches_of, kept, kept_fields, map_batches, named, refuse_clashes, stored, text_key, utf8_buffer, with_fields
 
 LENGTH, ANCHOR = 100, 20
 #: Different segments of an anchor that are put in one collection.
@@ -414,11 +414,15 @@ def remove_repeats(
     matches; none crosses documents.  "Earlier" is by id, then for rows that share
     an id by a checksum of the text, then by start.  A null text is empty; a null
     id comes before all others.  Repeated rows (same id and text) count as one
-    document: each gets that document's result.  Empty tables give no rows.
+    document: each gets that document's result.  Very long texts are searched in
+    stretches that share all but one byte of a window, so nothing is missed.  Columns
+    that aren't kept may have any name; one of ``keep`` that is named like an output is
+    an error.  Empty tables give no rows.
     """
     if not 8 <= anchor <= length or 2 * length - anchor >= 255:
         raise ValueError("anchor must be 8 or more and length at most 127 + anchor / 2")
     keep = [id_col] if keep is None else keep
+    refuse_clashes(keep, "kept", "n_bytes", "span_starts", "span_ends")
     key_id, key_crc = F.coalesce(df[id_col].cast("long"), F.lit(NO_ID)), text_key(df[text_col].cast("string"))
     docs = df.select(key_id.alias("id"), key_crc.alias("crc"), df[text_col].cast("string").alias("text"))
     found = map_batches(docs.where(F.octet_length("text") >= length), _find_segments(length, anchor), _SEGMENT_SQL)
@@ -438,11 +442,11 @@ def remove_repeats(
         windows = stored(settle(map_batches(with_text(crowded), _cut_out(True, length), _SEGMENT_SQL)).where("rank > 1 OR n < 0"), "windows")
         gone = gone.union(windows.where("n < 0").selectExpr("id", "crc", "start AS s", "start - n AS e")).union(windows.where("n > 0").selectExpr("id", "crc", "start AS s", f"start + {length} AS e"))
     per_doc = gone.groupBy("id", "crc").agg(F.collect_list(F.struct("s", "e")).alias("__gone")).select(F.col("id").alias("__id"), F.col("crc").alias("__crc"), "__gone")
-    rows = df.select(*[df[c] for c in keep], key_id.alias("__id"), key_crc.alias("__crc"), df[text_col].cast("string").alias("__text"))
+    rows = df.select(*kept(df, keep), key_id.alias("__id"), key_crc.alias("__crc"), df[text_col].cast("string").alias("__text"))
     joined = rows.join(per_doc.hint("shuffle_hash"), ["__id", "__crc"], "left").drop("__id", "__crc")
-    fields = [f for f in joined.schema.fields if f.name not in ("__text", "__gone")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", kept binary, n_bytes long, span_starts array<int>, span_ends array<int>"
-    return map_batches(joined, _remove([f.name for f in fields]), schema)
+    fields = kept_fields(joined)
+    schema = with_fields(fields, "kept binary, n_bytes long, span_starts array<int>, span_ends array<int>")
+    return named(map_batches(joined, _remove([f.name for f in fields]), schema), keep, "kept", "n_bytes", "span_starts", "span_ends")
 
 
 def op3_suffix_dedup(spark, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import batches_of, map_batches
+from quillspark.llm.common import batches_of, kept, kept_fields, map_batches, named, refuse_clashes, with_fields
 
 #: Bounds of the fit: labelled rows that are read (about; by their ids' hash), features, bytes of a sampled text.
 SAMPLE_ROWS, MAX_FEATURES, SAMPLE_BYTES = 20_000, 4096, 200_000
@@ -231,12 +231,15 @@ def grade(df: DataFrame, model: OrdinalModel | None, text_col: str = "text", kee
     """Per row: the columns ``keep``, severity (expected grade), grade (the highest k with P(grade >= k) >= 1/2; 1 at least where P(grade >= 1) reaches the fitted cut) and toxic (grade >= 1).
 
     Null, empty and featureless texts get the severity of no feature; without a
-    model all is 0.  Repeated rows each get theirs; empty tables give no rows.
+    model all is 0.  Texts of any length count whole.  Repeated rows each get theirs;
+    empty tables give no rows.  Columns that aren't kept may have any name; one of
+    ``keep`` that is named like an output is an error.
     """
     spark = df.sparkSession
     keep = [] if keep is None else keep
-    source = df.select(*[df[c] for c in keep], df[text_col].cast("string").alias("__text"))
-    fields = [f for f in source.schema.fields if f.name != "__text"]
+    refuse_clashes(keep, "severity", "grade", "toxic")
+    source = df.select(*kept(df, keep), df[text_col].cast("string").alias("__text"))
+    fields = kept_fields(source)
     shared = spark.sparkContext.broadcast((model.vocabulary, model.weights, model.thresholds, model.cut) if model else None)  # at most MAX_FEATURES entries
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,7 +256,7 @@ def grade(df: DataFrame, model: OrdinalModel | None, text_col: str = "text", kee
                 severity, level = tail.sum(axis=1), np.maximum((tail >= 0.5).sum(axis=1), tail[:, 0] >= own.cut).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(severity), pa.array(level), pa.array(level > 0)], names=[*(f.name for f in fields), "severity", "grade", "toxic"])
 
-    return map_batches(source, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + (", " if fields else "") + "severity double, grade int, toxic boolean")
+    return named(map_batches(source, run, with_fields(fields, "severity double, grade int, toxic boolean")), keep, "severity", "grade", "toxic")
 
 
 def op10_ordinal_toxicity(spark, sf_dir: str) -> DataFrame:

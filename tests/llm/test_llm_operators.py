@@ -212,6 +212,12 @@ def test_url_rules(spark):
         "ftp://b.org/es/y": ("b.org", "/es/y", "org/es/", "block"),
         "http://ads.com/en/1": ("ads.com", "/en/1", "com/en/", "block"),
         "http://ads.shop/x": ("ads.shop", "/x", None, "block"),
+        "http://a.fr/LOGIN": ("a.fr", "/LOGIN", None, "block"),
+        "http://a.com/x/ADS/Banner/y": ("a.com", "/x/ADS/Banner/y", None, "block"),
+        "http://blog.adult-x.example.fr/q": ("blog.adult-x.example.fr", "/q", None, "block"),
+        "http://adultx.example.fr/logins": ("adultx.example.fr", "/logins", None, "allow"),
+        "http://a.fr/EN/": ("a.fr", "/EN/", None, "allow"),
+        "http://a.com/EN/": ("a.com", "/EN/", None, "allow"),
         "http://host?a=/en/": ("host", "", None, "allow"),
         "no scheme": ("", "", None, "allow"),
         "": ("", "", None, "allow"),
@@ -219,15 +225,43 @@ def test_url_rules(spark):
         None: ("", "", None, "allow"),
     }
     rows = [(i, u) for i, u in enumerate(urls)] + [(99, "https://a.com/en/"), (None, "https://a.com/en/")]
-    df = spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("clash")).withColumn("rule", F.lit("clash"))
+    df = spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("clash")).withColumn("rule", F.lit("clash")).withColumn("token", F.lit("clash")).withColumn("h", F.lit(1))
     rules = url_filter.rule_table(spark, [url_filter.prefix_rule(*r) for r in url_filter.PREFIX_RULES] + list(url_filter.PATTERN_RULES))
     for bound in (10**6, 0):
-        out = url_filter.judge_urls(df, rules, keep=["page_id", "url"], broadcast_rules=bound).collect()
+        out = url_filter.judge_urls(df, rules, keep=["page_id", "url"], broadcast_bytes=bound).collect()
         assert len(out) == len(rows)
         for r in out:
             name = None if r["rule"] and r["rule"].startswith("pattern:") else r["rule"]
             assert (r["host"], r["path"], name, r["verdict"]) == urls[r["url"]], r
+        assert url_filter.judge_urls(df, rules, keep=["page_id", "token", "h"], broadcast_bytes=bound).count() == len(rows)
     assert url_filter.judge_urls(df.where("false"), rules, keep=["page_id"]).count() == 0
+    with pytest.raises(ValueError, match="Host"):
+        url_filter.judge_urls(df.withColumnRenamed("host", "Host"), rules, keep=["page_id", "Host"])
+
+
+def test_patterns_need_their_tokens_and_the_index_misses_nothing(spark):
+    """Random URLs made of the rules' own parts: whoever matches holds all tokens, and the result is that of trying every rule."""
+    import re
+
+    written = ["||ads.", "|ads.x^", "^login|", "*ads^x*", "ads", "^a^*b^", "/x/ads*", "||shop.fr/ads^x|", "-x-"]
+    rules = [*url_filter.PATTERN_RULES, *(url_filter.pattern_rule(w, "allow" if i % 2 else "block") for i, w in enumerate(written))]
+    assert [url_filter.pattern_rule(w).tokens for w in written] == [("ads",), ("ads", "x"), ("login",), (), (), ("a",), ("x",), ("shop", "fr", "ads", "x"), ("x",)]
+    rnd = random.Random(3)
+    parts = ["ads", "x", "a", "b", "login", "shop", "fr", "adult", "banner", ".", "/", "-", "_", "ADS", "é", "1", "spam", "farm"]
+    urls = ["http://" + "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 9))) for _ in range(800)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    table = url_filter.rule_table(spark, rules)
+    for bound in (10**6, 0):
+        out = url_filter.judge_urls(df, table, keep=["page_id"], broadcast_bytes=bound).collect()
+        seen = set()
+        for r in out:
+            place = "".join(c.lower() if c.isascii() else c for c in r["host"] + r["path"])
+            match = [x for x in rules if re.search(x.pattern.replace("\\z", "\\Z"), place)]
+            assert all(set(x.tokens) <= set(re.findall(url_filter.TOKEN, place)) for x in match)
+            want = max(match, key=lambda x: (x.rank, x.name), default=None)
+            assert (r["rule"], r["verdict"]) == ((want.name, want.action) if want else (None, "allow"))
+            seen.add(r["rule"])
+        assert len(seen) >= 5
 
 
 # --- suffix dedup -----------------------------------------------------------------------------------------------------------
