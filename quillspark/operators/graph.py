@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Written to ``spark.checkpoint.dir`` and read again; a folder of our own only where that is unset (tests)."""
+    """Written to ``spark.checkpoint.dir`` and read again; where that is unset, to a folder of our own if everything runs on this machine."""
     spark: SparkSession = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="quillspark-checkpoint-")
         spark.sparkContext.setCheckpointDir(base)
     path = f"{base.rstrip('/')}/graph-{uuid.uuid4().hex}"
@@ -82,6 +84,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if seen == last:
             break
         last = seen
+    else:
+        raise RuntimeError(f"the components did not settle in {max_rounds} rounds")
     stars = now.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component")
     return stars.union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()).union(edges.select(F.explode(F.array("src", "dst")).alias("node")).distinct().join(now.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "node", "left_anti").select("node", F.col("node").alias("component")))
 
@@ -106,19 +110,22 @@ def cohesion(edges: DataFrame, labels: DataFrame) -> DataFrame:
     return size.join(inner, "label", "left").select("label", "nodes", F.coalesce("edges", F.lit(0).cast("long")).alias("edges"), F.round(F.when(possible > 0, F.coalesce("edges", F.lit(0)) / possible).otherwise(1.0), 4).alias("cohesion"))
 
 
-def betweenness(edges: DataFrame, sources: DataFrame | None = None, max_depth: int = 64) -> DataFrame:
+def betweenness(edges: DataFrame, sources: DataFrame | None = None) -> DataFrame:
     """(node, betweenness) of the undirected graph, from shortest paths that start in ``sources`` (all nodes if None).
 
     Brandes' two passes by levels: forwards the number of shortest paths per (source,
     node), backwards each node's share of them.  Rows are sources x nodes reached, so
-    a large graph is given a set of sources; the sum is then over that set.
+    a large graph is given a set of sources; the sum is then over that set.  The
+    levels end with the longest shortest path.
     """
     both = cut_lineage(edges.select("src", "dst").union(edges.select("dst", "src")).where("src <> dst").distinct())
     nodes = both.select(F.col("src").alias("node")).distinct()
     start = (sources if sources is not None else nodes).select(F.col("node").alias("s"))
     fresh = cut_lineage(start.select("s", F.col("s").alias("node"), F.lit(1.0).alias("paths"), F.lit(0).alias("depth")))
     levels, seen = [fresh], fresh.select("s", "node")
-    for depth in range(1, max_depth + 1):
+    depth = 0
+    while True:
+        depth += 1
         step = fresh.join(both, fresh["node"] == both["src"]).groupBy("s", F.col("dst").alias("node")).agg(F.sum("paths").alias("paths"))
         fresh = cut_lineage(step.join(seen, ["s", "node"], "left_anti").withColumn("depth", F.lit(depth)))
         if fresh.isEmpty():
@@ -176,14 +183,15 @@ def changed(now: DataFrame, before: DataFrame) -> DataFrame:
     return now.join(before, ["path", "sha"], "left_anti")
 
 
-def flatten_tree(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
-    """(id, depth, order) of a forest (id, parent, ord), depth first; order is the path of ordinals."""
+def flatten_tree(nodes: DataFrame, max_depth: int = 10_000) -> DataFrame:
+    """(id, depth, order) of a forest (id, parent, ord), depth first; order is the path of ordinals. A deeper one is an error."""
     level = nodes.where("parent IS NULL").select("id", F.lit(0).alias("depth"), F.array("ord").alias("order"))
     out, depth = level, 0
-    while depth < max_depth:
+    while True:
         depth += 1
         level = cut_lineage(nodes.join(level.select(F.col("id").alias("parent"), F.col("order").alias("above")), "parent").select("id", F.lit(depth).alias("depth"), F.concat("above", F.array("ord")).alias("order")))
         if level.isEmpty():
-            break
+            return out
+        if depth > max_depth:
+            raise RuntimeError(f"the forest has more than {max_depth} levels")
         out = out.unionByName(level)
-    return out

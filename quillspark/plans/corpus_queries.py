@@ -245,12 +245,19 @@ def filt_whole_json(spark, sf):
     return _t(spark, sf, "events").where("props IS NOT NULL").select("event_id", filters.is_json(F.col("props")).alias("is_json"))
 
 
-@register("filt_guid_coverage", """WITH d AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '123e4567-e89b-12d3-a456-426614174000 scan_' || CAST(doc_id AS VARCHAR) || '.pdf' WHEN 1 THEN 'see 123e4567-e89b-12d3-a456-426614174000 ' || text ELSE text END AS text FROM documents),
-    s AS (SELECT doc_id, length(regexp_replace(text, '\\s', '', 'g')) AS dense, length(regexp_replace(regexp_replace(regexp_replace(text, '[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}', '', 'g'), '[\\w.-]+\\.(?:pdf|docx?|xlsx?|pptx?|png|jpe?g|gif|zip|txt|csv|html?)\\b', '', 'g'), '\\s', '', 'g')) AS rest FROM d)
-    SELECT doc_id, CASE WHEN dense > 0 THEN round((dense - rest) / dense, 4) ELSE 0 END AS coverage FROM s""")
+_GUID = "123e4567-e89b-12d3-a456-426614174000"
+_SPANS = f"CASE doc_id % 6 WHEN 0 THEN '{_GUID} scan_' || CAST(doc_id AS STRING) || '.pdf' WHEN 1 THEN 'see {_GUID} ' || text WHEN 2 THEN '{_GUID}.pdf' WHEN 3 THEN 'a.txt-{_GUID} x_{_GUID}.v2.docx, ' || text ELSE text END"
+
+
+# The twin goes through the runs of a file name's characters: in a run what goes up to its last ending is a name, the rest holds GUIDs.
+@register("filt_guid_coverage", f"""WITH d AS (SELECT doc_id, {_SPANS} AS text FROM documents),
+    r AS (SELECT doc_id, unnest(regexp_extract_all(text, '[\\w.-]+')) AS run FROM d),
+    n AS (SELECT doc_id, run, regexp_extract(run, '^[\\w.-]+\\.(?:pdf|docx?|xlsx?|pptx?|png|jpe?g|gif|zip|txt|csv|html?)\\b') AS name FROM r),
+    c AS (SELECT doc_id, sum(length(name) + 36 * len(regexp_extract_all(substr(run, length(name) + 1), '[0-9a-fA-F]{{8}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{12}}'))) AS covered FROM n GROUP BY doc_id),
+    s AS (SELECT doc_id, length(regexp_replace(text, '\\s', '', 'g')) AS dense FROM d)
+    SELECT doc_id, CASE WHEN dense > 0 THEN round(coalesce(covered, 0) / dense, 4) ELSE 0 END AS coverage FROM s LEFT JOIN c USING (doc_id)""")
 def filt_guid_coverage(spark, sf):
-    d = _t(spark, sf, "documents").selectExpr("doc_id", "CASE doc_id % 4 WHEN 0 THEN '123e4567-e89b-12d3-a456-426614174000 scan_' || CAST(doc_id AS STRING) || '.pdf' WHEN 1 THEN 'see 123e4567-e89b-12d3-a456-426614174000 ' || text ELSE text END AS text")
-    return d.select("doc_id", filters.span_coverage(F.col("text")).alias("coverage"))
+    return _t(spark, sf, "documents").selectExpr("doc_id", f"{_SPANS} AS text").select("doc_id", filters.span_coverage(F.col("text")).alias("coverage"))
 
 
 @register("filt_routing", """WITH d AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) <> doc_id AS dup, CASE doc_id % 5 WHEN 0 THEN ' IN' WHEN 1 THEN 'out' ELSE 'hm' END AS v, doc_id % 13 = 0 AS prot FROM documents)

@@ -48,13 +48,26 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """A ledger of JSON lines; blank ones are skipped. ``seq`` is the line's place by file and offset order."""
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    return lines.select(F.from_json("value", LEDGER).alias("e")).select("e.*").withColumn("seq", F.monotonically_increasing_id())
+    """A ledger of JSON lines; blank ones are skipped. ``seq`` orders the events as they were appended.
+
+    It compares the number of the append (null and first for files that others wrote),
+    the file's time and name, the place of its block and the line in it; a file's block
+    is read by one task from front to back.
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).where(F.trim("value") != "")
+    number = F.try_to_number(F.nullif(F.regexp_extract("_metadata.file_path", "/append-(\\d{12})/", 1), F.lit("")), F.lit("999999999999")).cast("long")
+    seq = F.struct(number.alias("append"), F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    return lines.select(F.from_json("value", LEDGER).alias("e"), seq.alias("seq")).select("e.*", "seq")
 
 
 def append_ledger(events: DataFrame, path: str) -> None:
-    events.write.mode("append").json(path)
+    """Appends the events, in their order, as the ledger's next numbered part."""
+    spark = events.sparkSession
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(top)] if fs.exists(top) else []
+    number = max((int(n.removeprefix("append-")) for n in names if n.startswith("append-")), default=0) + 1
+    events.write.mode("append").json(f"{path.rstrip('/')}/append-{number:012d}")
 
 
 def write_chunks(chunks: DataFrame, path: str) -> None:
