@@ -50,13 +50,14 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """A ledger of JSON lines; blank ones are skipped. ``seq`` orders the events as they were appended.
 
-    It compares the number of the append (null and first for files that others wrote),
-    the file's time and name, the place of its block and the line in it; a file's block
-    is read by one task from front to back.
+    It compares the number of the append (null, hence first, for files that others
+    wrote, which go by their time), the file's name (the parts of an append are
+    numbered), the place of its block and the line in it; a block is read by one task
+    from front to back.
     """
     lines = spark.read.option("recursiveFileLookup", "true").text(path).where(F.trim("value") != "")
     number = F.try_to_number(F.nullif(F.regexp_extract("_metadata.file_path", "/append-(\\d{12})/", 1), F.lit("")), F.lit("999999999999")).cast("long")
-    seq = F.struct(number.alias("append"), F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    seq = F.struct(number.alias("append"), F.when(number.isNull(), F.col("_metadata.file_modification_time")).alias("at"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
     return lines.select(F.from_json("value", LEDGER).alias("e"), seq.alias("seq")).select("e.*", "seq")
 
 
