@@ -4,19 +4,20 @@ A byte goes if it lies in a string of ``length`` bytes that also starts earlier.
 Windows of that length are dealt out by content: each window's anchor is its
 least-hashed ``ANCHOR``-gram, so equal windows have equal anchors, wherever they
 are, and the windows of one anchor's occurrence are a run, a *segment* of fewer
-than ``2 * length`` bytes.  Segments meet by anchor.  Equal segments are settled
-by their hash before anything else (an occurrence that isn't the first is
-removed whole), in every chunk of input already.  What remains are anchors with
-different segments around them: those segments' texts, one of each, are the
-documents of a collection, and the collection's Burrows-Wheeler transform is
-built column by column (Bauer, Cox, Rosone 2013; Cox, Garofalo, Rosone, Sciortino
-2016): each round inserts one symbol of every segment, from its end, and
-updates transform, longest common prefixes and suffix numbers, which are read and
-written as sequential files.  Runs of common prefixes of ``length`` or more are
-the equal windows; all but the first of each are removed.
-
-An anchor with more than ``HOT`` different segments isn't built in one task: its
-segments are cut into single windows, which are dealt out by their own hash.
+than ``2 * length`` bytes.  Segments meet by anchor, and hashes decide nothing
+else than who meets.  The texts of all segments whose anchor occurs again are the
+documents of a collection, equal ones as one document with several places, and the
+collection's Burrows-Wheeler transform is built column by column (Bauer, Cox,
+Rosone 2013; Cox, Garofalo, Rosone, Sciortino 2016): each round inserts one symbol
+of every document, from its end, and updates transform, longest common prefixes
+and suffix numbers, which lie in a file that is read and written front to back.
+Runs of common prefixes of ``length`` or more are the equal windows; all their
+places but the first are removed.  Equal segments of a chunk of input are compared
+byte by byte before, and only the first goes on.
+
+An anchor that a sample shows to be frequent is dealt into groups of about ``HOT``
+segments.  What a group keeps meets again by anchor, and where that is still more
+than ``HOT`` segments, by the hash of single windows; the transform decides there too.
 """
 
 from __future__ import annotations
@@ -33,16 +34,18 @@ from pyspark.sql import functions as F
 from quillspark.llm.common import batches_of, kept, kept_fields, map_batches, named, refuse_clashes, stored, text_key, utf8_buffer, with_fields
 
 LENGTH, ANCHOR = 100, 20
-#: Different segments of an anchor that are put in one collection.
-HOT = 20_000
-#: Bytes of segments in a collection, if no single anchor has more.
+#: Segments of an anchor that meet in one task (about); more are dealt into groups first.
+HOT = 4096
+#: Documents (about) in which frequent anchors are looked for, and how often one must occur there at least. The sample changes who meets where, never what is found.
+SAMPLE_DOCS, FREQUENT = 5_000, 10
+#: Bytes of segments in a collection, if no single group has more.
 COLLECTION_BYTES = 2 << 20
 #: Windows that are looked at together when a collection is trimmed.
 STRETCH = 16
 #: Windows of a chunk whose anchors are searched at a time.
 CHUNK_BYTES = 2 << 20
-#: A column file stays in memory up to this size, then goes to disk like any spill of a task.
-COLUMN_BYTES = 32 << 20
+#: The transform's file stays in memory up to this size, then goes to disk like any spill of a task; rows that are read at a time.
+FILE_BYTES, BLOCK_ROWS = 32 << 20, 1 << 18
 NO_ID = -(1 << 63)
 _END = 255  # never in UTF-8
 
@@ -110,8 +113,8 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, anchor
     return doc, start - offsets[doc], (stop - start + 1) | (at[start] - start) << 8, h[at[start]], _span_hash(words, start, stop, length)
 
 
-_SEGMENT = pa.schema([("anchor", pa.int64()), ("seg", pa.int64()), ("id", pa.int64()), ("crc", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
-_SEGMENT_SQL = "anchor long, seg long, id long, crc long, start int, n int"
+_SEGMENT = pa.schema([("anchor", pa.int64()), ("id", pa.int64()), ("crc", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
+_SEGMENT_SQL = "anchor long, id long, crc long, start int, n int"
 
 
 def _intervals(keys: tuple[np.ndarray, ...], start: np.ndarray, stop: np.ndarray) -> tuple[tuple[np.ndarray, ...], np.ndarray, np.ndarray]:
@@ -130,17 +133,28 @@ def _intervals(keys: tuple[np.ndarray, ...], start: np.ndarray, stop: np.ndarray
     return tuple(k[at] for k in keys), start[at], (reach - lift)[np.append(at[1:], len(start)) - 1]
 
 
-def _settled(anchor: np.ndarray, seg: np.ndarray, ids: np.ndarray, crc: np.ndarray, start: np.ndarray, n: np.ndarray, length: int) -> pa.RecordBatch:
-    """Of equal segments of a chunk only the first goes on; the others' bytes go on as intervals (n < 0: minus their size)."""
-    order = np.lexsort((start, crc, ids, seg, anchor))
-    a, s, i, c, p, m = (x[order] for x in (anchor, seg, ids, crc, start, n))
-    head = np.concatenate([[True], (a[1:] != a[:-1]) | (s[1:] != s[:-1])]) if len(a) else np.zeros(0, bool)
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... for size[0] numbers, then the same of the next."""
+    ends = np.cumsum(size)
+    return np.repeat(first - ends + size, size) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+def _settled(data: np.ndarray, at: np.ndarray, anchor: np.ndarray, seg: np.ndarray, ids: np.ndarray, crc: np.ndarray, start: np.ndarray, n: np.ndarray, length: int) -> pa.RecordBatch:
+    """Of equal segments of a chunk, held against each other byte by byte, only the first goes on; the others' bytes go on as intervals (n < 0: minus their size). ``at``: places in data."""
+    order = np.lexsort((start, crc, ids, n, seg, anchor))
+    t, a, s, i, c, p, m = (x[order] for x in (at, anchor, seg, ids, crc, start, n))
+    head = np.concatenate([[True], (a[1:] != a[:-1]) | (s[1:] != s[:-1]) | (m[1:] != m[:-1])]) if len(a) else np.zeros(0, bool)
     of = np.flatnonzero(head)[np.cumsum(head) - 1] if len(a) else np.zeros(0, np.int64)
-    first = (i == i[of]) & (c == c[of]) & (p == p[of])
-    gone = ~first
+    gone = (i != i[of]) | (c != c[of]) | (p != p[of])
+    like = np.flatnonzero(gone)
+    if len(like):
+        size = (m[like] & 255) + length - 1
+        differ = data[_ranges(t[like], size)] != data[_ranges(t[of[like]], size)]
+        gone[like[np.add.reduceat(differ, np.cumsum(size) - size, dtype=np.int64) > 0]] = False
+    first = ~gone
     (gi, gc), gs, ge = _intervals((i[gone], c[gone]), p[gone], p[gone] + (m[gone] & 255) + length - 1)
     spread = _mix(gi.astype(np.uint64) * _ODD[0] + gs.astype(np.uint64)).view(np.int64)
-    columns = ((a[first], spread), (s[first], np.zeros(len(gi), np.int64)), (i[first], gi), (c[first], gc), (p[first].astype(np.int32), gs.astype(np.int32)), (m[first].astype(np.int32), (gs - ge).astype(np.int32)))
+    columns = ((a[first], spread), (i[first], gi), (c[first], gc), (p[first].astype(np.int32), gs.astype(np.int32)), (m[first].astype(np.int32), (gs - ge).astype(np.int32)))
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in columns], schema=_SEGMENT)
 
 
@@ -151,116 +165,166 @@ def _find_segments(length: int, anchor: int):
                 continue
             data, offsets = utf8_buffer(batch.column("text"))
             ids, crc = np.asarray(batch.column("id")), np.asarray(batch.column("crc"))
-            if len(data) <= CHUNK_BYTES or batch.num_rows > 1:
-                doc, start, n, a, s = segments(data, offsets, length, anchor)
-                yield _settled(a.view(np.int64), s.view(np.int64), ids[doc], crc[doc], start, n, length)
-            else:  # one very long text, in stretches that share all but one byte of a window
-                for at in range(0, len(data) - length + 1, CHUNK_BYTES):
-                    part = data[at : at + CHUNK_BYTES + length - 1]
-                    _, start, n, a, s = segments(part, np.array([0, len(part)]), length, anchor)
-                    zero = np.zeros(len(start), np.int64)
-                    yield _settled(a.view(np.int64), s.view(np.int64), ids[zero], crc[zero], start + at, n, length)
+            # One very long text is taken in stretches that share all but one byte of a window.
+            stretches = [0] if len(data) <= CHUNK_BYTES or batch.num_rows > 1 else range(0, len(data) - length + 1, CHUNK_BYTES)
+            for at in stretches:
+                part = data if len(stretches) == 1 else data[at : at + CHUNK_BYTES + length - 1]
+                own = offsets if len(stretches) == 1 else np.array([0, len(part)])
+                doc, start, n, a, s = segments(part, own, length, anchor)
+                yield _settled(part, own[doc] + start, a.view(np.int64), s.view(np.int64), ids[doc], crc[doc], start + at, n, length)
 
     return run
 
 
-def settle(found: DataFrame) -> DataFrame:
-    """Adds ``rank`` (1: no equal segment starts earlier) and ``kinds`` (different segments of the anchor); one shuffle, by anchor."""
-    dealt = found.repartition("anchor")
-    equal = W.partitionBy("anchor", "seg").orderBy("id", "crc", "start")
-    ranked = dealt.withColumn("rank", F.rank().over(equal))
-    ranked = ranked.withColumn("lead", ((F.col("rank") == 1) & F.lag("seg", 1).over(equal).isNull()).cast("long"))
-    return ranked.withColumn("kinds", F.sum("lead").over(W.partitionBy("anchor"))).drop("lead")
+def frequent_anchors(docs: DataFrame, length: int, anchor: int, hot: int) -> DataFrame:
+    """(anchor, parts) of anchors that have more than ``hot`` segments, by a sample of the documents; at most a few thousand."""
+    n = docs.count()
+    share = min(1.0, SAMPLE_DOCS / max(1, n))
+    some = docs.sample(False, share, 7) if share < 1 else docs
+    seen = map_batches(some.where(F.octet_length("text") >= length), _find_segments(length, anchor), _SEGMENT_SQL).where("n > 0").groupBy("anchor").count()
+    found = seen.where(F.col("count") >= max(FREQUENT, hot * share)).select("anchor", F.ceil(F.col("count") / (hot * share)).cast("int").alias("parts"))
+    return docs.sparkSession.createDataFrame(found.collect(), "anchor long, parts int")
 
 
-class ColumnFile:
-    """A column of the growing transform, written and read front to back."""
+def meet(found: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Adds ``grp`` (who meets) and ``hot`` (is it a part of a frequent anchor only); leaves out segments that meet no other. One shuffle."""
+    dealt = found.join(F.broadcast(frequent), "anchor", "left").withColumn("hot", F.col("parts").isNotNull())
+    group = F.when(F.col("hot"), F.xxhash64("anchor", F.pmod(F.xxhash64("id", "crc", "start"), F.col("parts")))).otherwise(F.col("anchor"))
+    dealt = dealt.withColumn("grp", group).drop("parts").repartition("grp")
+    return dealt.withColumn("c", F.count("*").over(W.partitionBy("grp"))).where("n < 0 OR c > 1 OR hot").drop("c")
 
-    def __init__(self, dtype: type):
-        self.dtype, self.file = dtype, None
 
-    def write(self, values: np.ndarray) -> None:
-        if self.file is not None:
-            self.file.close()
-        self.file = tempfile.SpooledTemporaryFile(max_size=COLUMN_BYTES)  # noqa: SIM115 - private to the task attempt, like its spills
-        for at in range(0, len(values), 1 << 22):
-            self.file.write(memoryview(values[at : at + (1 << 22)]))
+class RowFile:
+    """The rows of the growing transform as 64-bit numbers (symbol, common prefix, suffix length, document), written and read front to back."""
 
-    def read(self, n: int) -> np.ndarray:
-        self.file.seek(0)
-        out, at = np.empty(n, self.dtype), 0
-        view = memoryview(out).cast("B")
-        while at < len(view) and (got := self.file.readinto(view[at : at + (1 << 24)])):
-            at += got
-        return out
+    def __init__(self, limit: int):
+        self.file = tempfile.SpooledTemporaryFile(max_size=limit)  # noqa: SIM115 - private to the task attempt, like its spills
 
-    def close(self) -> None:
-        if self.file is not None:
-            self.file.close()
+    def write(self, rows: np.ndarray) -> None:
+        self.file.write(memoryview(np.ascontiguousarray(rows)).cast("B"))
 
+    def blocks(self, block: int) -> Iterator[np.ndarray]:
+        self.file.seek(0)
+        while got := self.file.read(8 * block):
+            yield np.frombuffer(got, "<u8")
 
-def column_wise(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(segment, suffix length, common prefix with the row before) of all suffixes of a collection in sorted order.
-
-    Segments hold fewer than 255 bytes, none of them 255.  Ends sort first and by
-    segment number, and match nothing.  Round j inserts the suffixes of length j: a
+    def close(self) -> None:
+        self.file.close()
+
+
+def _packed(symbol: np.ndarray, prefix: np.ndarray | int, size: int, doc: np.ndarray) -> np.ndarray:
+    return symbol.astype(np.uint64) | np.asarray(prefix, np.uint64) << np.uint64(8) | np.uint64(size << 16) | doc.astype(np.uint64) << np.uint64(24)
+
+
+class _Places:
+    """First pass of a round: rows are read front to back; the suffixes to insert get their places and common prefixes, what comes after them its new one."""
+
+    def __init__(self, counts: np.ndarray, size: int):
+        self.below, self.size = np.cumsum(counts) - counts, size
+        self.seen = np.zeros(256, np.int64)
+        self.least = np.full(256, 255, np.uint8)  # common prefixes since a symbol's last row
+        self.after_new = np.zeros(256, bool)
+        self.parts: list[tuple[np.ndarray, ...]] = []
+
+    def read(self, rows: np.ndarray) -> None:
+        fields = rows.view(np.uint8).reshape(-1, 8)
+        symbol, prefix, new = np.ascontiguousarray(fields[:, 0]), np.ascontiguousarray(fields[:, 1]), fields[:, 2] == self.size - 1
+        order = np.argsort(symbol, kind="stable")
+        by_symbol = symbol[order]
+        order = order[: int(np.searchsorted(by_symbol, _END))]
+        low = prefix.min()
+        if not len(order):
+            self.least = np.minimum(self.least, low)
+            return
+        by_symbol = by_symbol[: len(order)]
+        heads = np.flatnonzero(np.concatenate([[True], by_symbol[1:] != by_symbol[:-1]]))
+        kinds, runs = by_symbol[heads], np.diff(np.append(heads, len(order)))
+        fresh = new[order]
+        touched = fresh.copy()
+        touched[1:] |= fresh[:-1]
+        touched[heads] = fresh[heads] | self.after_new[kinds]
+        t = np.flatnonzero(touched)
+        at, is_head = order[t], np.zeros(len(order), bool)
+        is_head[heads] = True
+        inner = ~is_head[t]
+        value = np.zeros(len(t), np.uint8)
+        if inner.any():
+            ends = np.empty(2 * int(inner.sum()), np.int64)
+            ends[0::2], ends[1::2] = order[t[inner] - 1] + 1, at[inner] + 1
+            value[inner] = np.minimum.reduceat(np.append(prefix, np.uint8(0)), ends)[0::2] + 1
+        if not inner.all():
+            first, own = at[~inner], by_symbol[t[~inner]]
+            front = np.minimum(np.minimum.accumulate(prefix)[first], self.least[own])
+            value[~inner] = np.where(self.seen[own] > 0, front + 1, 0)
+        run_of = np.repeat(heads, runs)[t]
+        rank = self.below[by_symbol[t]] + self.seen[by_symbol[t]] + t - run_of
+        self.parts.append((rank, fresh[t], value, rows[at] >> np.uint64(24)))
+        tails = order[heads + runs - 1]
+        since = np.append(np.minimum.accumulate(prefix[::-1])[::-1], np.uint8(255))
+        self.least = np.minimum(self.least, low)
+        self.least[kinds] = since[tails + 1]
+        self.after_new[kinds] = new[tails]
+        self.seen[kinds] += runs
+
+    def sorted(self) -> tuple[np.ndarray, ...]:
+        if not self.parts:
+            return tuple(np.zeros(0, k) for k in (np.int64, bool, np.uint8, np.uint64))
+        columns = [np.concatenate(x) for x in zip(*self.parts, strict=True)]
+        order = np.argsort(columns[0], kind="stable")
+        return tuple(c[order] for c in columns)
+
+
+def column_wise(data: np.ndarray, offsets: np.ndarray, block: int = BLOCK_ROWS, file_bytes: int = FILE_BYTES) -> Iterator[np.ndarray]:
+    """All suffixes of a collection in sorted order, in blocks of rows: common prefix with the row before in bits 8 to 15, suffix length in 16 to 23, document above.
+
+    Documents hold fewer than 255 bytes, none of them 255.  Ends sort first and by
+    document number, and match nothing.  Round j inserts the suffixes of length j: a
     row's place is the rank of its first symbol in the transform so far, and its
     common prefix is one more than the least between that symbol and its
-    predecessor there.
+    predecessor there.  A round reads the file twice and writes it once; besides a
+    block, a round's new rows are all it holds.
     """
-    m = len(offsets) - 1
-    sizes = np.diff(offsets)
-    files = {name: ColumnFile(kind) for name, kind in (("bwt", np.uint8), ("lcp", np.uint8), ("seg", np.int32), ("len", np.uint8))}
-    n = m
-    files["bwt"].write(np.where(sizes > 0, data[np.maximum(offsets[1:] - 1, 0)] if len(data) else 0, _END).astype(np.uint8))
-    files["lcp"].write(np.zeros(m, np.uint8))
-    files["seg"].write(np.arange(m, dtype=np.int32))
-    files["len"].write(np.zeros(m, np.uint8))
-    new = np.ones(m, bool)
+    m, sizes = len(offsets) - 1, np.diff(offsets)
+    last = np.where(sizes > 0, data[np.maximum(offsets[1:] - 1, 0)] if len(data) else _END, _END).astype(np.uint8)
+    now = RowFile(file_bytes)
+    for at in range(0, m, block):
+        now.write(_packed(last[at : at + block], 0, 0, np.arange(at, min(m, at + block))))
+    counts = np.bincount(last, minlength=256)
     for j in range(1, int(sizes.max(initial=0)) + 1):
-        bwt = files["bwt"].read(n)
-        live = n - int(np.count_nonzero(bwt == _END))
-        order = np.argsort(bwt, kind="stable")[:live]
-        rank = np.flatnonzero(new[order])
-        if not len(rank):
+        places = _Places(counts, j)
+        for rows in now.blocks(block):
+            places.read(rows)
+        rank, fresh, value, doc = places.sorted()
+        if not fresh.any():
             break
-        segs = files["seg"].read(n)
-        own = segs[order[rank]]
-        touched = np.unique(np.concatenate([rank, rank[rank + 1 < live] + 1]))
-        at, before = order[touched], order[np.maximum(touched - 1, 0)]
-        same = (touched > 0) & (bwt[at] == bwt[before])
-        lcp = files["lcp"].read(n)
-        value = np.zeros(len(touched), np.uint8)
-        if same.any():
-            ends = np.empty(2 * int(same.sum()), np.int64)
-            ends[0::2], ends[1::2] = before[same] + 1, at[same] + 1
-            value[same] = np.minimum.reduceat(np.append(lcp, np.uint8(0)), ends)[0::2] + 1
-        place = m + rank
-        old = np.ones(m + live, bool)
-        old[place] = False
+        own = doc[fresh].astype(np.int64)
         left = sizes[own] - j
-
-        def merged(column: np.ndarray, fresh: np.ndarray, old: np.ndarray = old, place: np.ndarray = place) -> np.ndarray:
-            out = np.empty(len(old), column.dtype)
-            out[old], out[place] = column, fresh
-            return out
-
-        files["bwt"].write(merged(bwt, np.where(left > 0, data[np.maximum(offsets[own] + left - 1, 0)], _END).astype(np.uint8)))
-        files["seg"].write(merged(segs, own))
-        files["len"].write(merged(files["len"].read(n), np.full(len(rank), j, np.uint8)))
-        out = merged(lcp, np.zeros(len(rank), np.uint8))
-        out[m + touched] = value
-        files["lcp"].write(out)
-        new = ~old
-        n = m + live
-    result = files["seg"].read(n), files["len"].read(n), files["lcp"].read(n)
-    for f in files.values():
-        f.close()
-    return result
-
-
-def trimmed(data: np.ndarray, offsets: np.ndarray, anchors: np.ndarray, places: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """(bytes, offsets, segment, bytes left out in front) of what segments may share with another of their anchor.
+        symbol = np.where(left > 0, data[np.maximum(offsets[own] + left - 1, 0)], _END).astype(np.uint8)
+        counts += np.bincount(symbol, minlength=256)
+        rows_new, place = _packed(symbol, value[fresh], j, own), m + rank[fresh]
+        before = place - np.arange(len(place))  # the row of the file that each goes in front of
+        moved = m + rank[~fresh]
+        changed, to = moved - np.searchsorted(place, moved), value[~fresh].astype(np.uint64) << np.uint64(8)
+        then, at, lo, clo = RowFile(file_bytes), 0, 0, 0
+        for rows in now.blocks(block):
+            hi, chi = (int(np.searchsorted(x, at + len(rows))) for x in (before, changed))
+            rows = rows.copy()
+            rows[changed[clo:chi] - at] = (rows[changed[clo:chi] - at] & ~np.uint64(0xFF00)) | to[clo:chi]
+            out, old = np.empty(len(rows) + hi - lo, np.uint64), np.ones(len(rows) + hi - lo, bool)
+            target = place[lo:hi] - at - lo
+            old[target] = False
+            out[old], out[target] = rows, rows_new[lo:hi]
+            then.write(out)
+            at, lo, clo = at + len(rows), hi, chi
+        then.write(rows_new[lo:])
+        now.close()
+        now = then
+    yield from now.blocks(block)
+    now.close()
+
+
+def trimmed(data: np.ndarray, offsets: np.ndarray, anchors: np.ndarray, places: np.ndarray, whole: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """(bytes, offsets, segment, bytes left out in front) of what segments may share with another of their group; of those in ``whole`` everything.
 
     Windows are taken in stretches of ``STRETCH`` by their distance to the anchor.
     All windows of a stretch hold the bytes between its last window's start and its
@@ -279,95 +343,141 @@ def trimmed(data: np.ndarray, offsets: np.ndarray, anchors: np.ndarray, places:
         for step in [*range(0, core - 8, 8), core - 8]:
             h = _mix((h ^ words[np.clip(at + step, 0, len(words) - 1)]) * _ODD[0] + _ODD[1])
         _, code, count = np.unique(h, return_inverse=True, return_counts=True)
-        stay = own[(count[code] > 1) | ~inside]
+        stay = own[(count[code] > 1) | ~inside | whole[own]]
         # Window starts of the stretch, as places in the segment.
         lo[stay] = np.minimum(lo[stay], np.maximum(places[stay] - q * STRETCH - STRETCH + 1, 0))
         hi[stay] = np.maximum(hi[stay], np.minimum(places[stay] - q * STRETCH, n[stay] - 1))
     kept = np.flatnonzero(hi >= lo)
     size = hi[kept] - lo[kept] + length
     ends = np.concatenate([[0], np.cumsum(size)])
-    take = np.repeat(offsets[kept] + lo[kept] - ends[:-1], size) + np.arange(ends[-1])
-    return data[take], ends, kept, lo[kept]
+    return data[_ranges(offsets[kept] + lo[kept], size)], ends, kept, lo[kept]
 
 
-def repeated_windows(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, crc: np.ndarray, start: np.ndarray, length: int) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray, np.ndarray]:
-    """((id, crc), start, end) of what the windows cover that aren't the first of their kind in a collection."""
-    seg, size, lcp = column_wise(data, offsets)
-    group = np.cumsum(lcp < length)
-    shared = (lcp >= length) | np.append(lcp[1:] >= length, False)
-    seg, size, group = seg[shared].astype(np.int64), size[shared].astype(np.int64), group[shared]
-    at = start[seg] + np.diff(offsets)[seg] - size
-    i, c = ids[seg], crc[seg]
-    order = np.lexsort((at, c, i, group))
-    i, c, at, group = i[order], c[order], at[order], group[order]
-    head = np.flatnonzero(np.diff(group, prepend=-1))
-    of = np.repeat(head, np.diff(np.append(head, len(group))))
-    later = (i != i[of]) | (c != c[of]) | (at != at[of])
-    return _intervals((i[later], c[later]), at[later], at[later] + length)
+def repeated_windows(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, start, group) of all windows of a collection, equal ones in one group, from the blocks of its transform."""
+    docs, sizes, groups, group = [], [], [], 0
+    for rows in column_wise(data, offsets):
+        fields = rows.view(np.uint8).reshape(-1, 8)
+        own = np.cumsum(fields[:, 1] < length) + group
+        group = int(own[-1])
+        windows = np.flatnonzero(fields[:, 2] >= length)
+        docs.append((rows[windows] >> np.uint64(24)).astype(np.int64))
+        sizes.append(fields[windows, 2].astype(np.int64))
+        groups.append(own[windows])
+    doc, size, group = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (docs, sizes, groups))
+    return doc, np.diff(offsets)[doc] - size, group
 
 
-def _cut_out(cut_windows: bool, length: int):
-    """Segment texts out of documents; with cut_windows their single windows, settled in the chunk, instead."""
+def _cut_out(length: int):
+    """Segment texts out of documents."""
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("anchor", pa.int64()), ("id", pa.int64()), ("crc", pa.int64()), ("start", pa.int32()), ("at", pa.int32()), ("data", pa.binary())])
         for batch in batches_of(batches, "text", CHUNK_BYTES):
             data, offsets = utf8_buffer(batch.column("text"))
             wanted = batch.column("wanted")
             flat = wanted.flatten()
             per = np.asarray(pa.compute.list_value_length(wanted)).astype(np.int64)
             doc = np.repeat(np.arange(batch.num_rows), per)
-            a, p, n = (np.asarray(flat.field(k)).astype(np.int64) for k in range(3))
-            ids, crc = np.asarray(batch.column("id"))[doc], np.asarray(batch.column("crc"))[doc]
-            first = offsets[doc] + p
-            place, n = n >> 8, n & 255
-            if not cut_windows:
-                raw = data.tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(ids), pa.array(crc), pa.array(p.astype(np.int32)), pa.array(place.astype(np.int32)), pa.array([raw[s:e] for s, e in zip(first.tolist(), (first + n + length - 1).tolist(), strict=True)], pa.binary())], schema=schema)
-                continue
-            each = np.repeat(np.arange(len(n)), n)
-            step = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-            words, at = _words(data), first[each] + step
-            h = _span_hash(words, at, at, length)
-            g = _mix(h ^ words[at] * _ODD[2] ^ words[at + length // 2])
-            yield _settled(g.view(np.int64), h.view(np.int64), ids[each], crc[each], p[each] + step, np.ones(len(each), np.int64), length)
+            start, n = (np.asarray(flat.field(k)).astype(np.int64) for k in ("start", "n"))
+            first, raw = offsets[doc] + start, data.tobytes()
+            cut = [raw[s:e] for s, e in zip(first.tolist(), (first + (n & 255) + length - 1).tolist(), strict=True)]
+            ids, crc = (batch.column(k).take(pa.array(doc)) for k in ("id", "crc"))
+            yield pa.RecordBatch.from_arrays([flat.field("grp"), flat.field("anchor"), flat.field("hot"), ids, crc, flat.field("start"), pa.array((n >> 8).astype(np.int32)), pa.array(cut, pa.binary())], schema=_PIECE)
 
     return texts
 
 
-def _build(length: int, collection_bytes: int):
-    schema = pa.schema([("id", pa.int64()), ("crc", pa.int64()), ("s", pa.int32()), ("e", pa.int32())])
+_PIECE = pa.schema([("grp", pa.int64()), ("anchor", pa.int64()), ("hot", pa.bool_()), ("id", pa.int64()), ("crc", pa.int64()), ("start", pa.int32()), ("at", pa.int32()), ("data", pa.binary())])
+_PIECE_SQL = "grp long, anchor long, hot boolean, id long, crc long, start int, at int, data binary"
+#: Removed bytes (s to e), or with data what a part of a frequent anchor keeps.
+_BUILT = pa.schema([("id", pa.int64()), ("crc", pa.int64()), ("s", pa.int32()), ("e", pa.int32()), ("anchor", pa.int64()), ("at", pa.int32()), ("data", pa.binary())])
+_BUILT_SQL = "id long, crc long, s int, e int, anchor long, at int, data binary"
+
+
+def _decided(table: pa.Table, length: int) -> pa.RecordBatch:
+    """What the transform of a collection says of its segments; rows are sorted by group."""
+    column = pa.concat_arrays(table.column("data").chunks).cast(pa.large_binary())
+    of = {k: np.asarray(table.column(k)).astype(np.int64) for k in ("grp", "anchor", "id", "crc", "start", "at")}
+    hot = np.asarray(table.column("hot"))
+    same = np.asarray(column.dictionary_encode().indices).astype(np.int64)
+    order = np.lexsort((of["start"], of["crc"], of["id"], same, of["grp"]))
+    grp, anchor, ids, crc, start, place = (of[k][order] for k in ("grp", "anchor", "id", "crc", "start", "at"))
+    same, hot = same[order], hot[order]
+    # Equal segments of a group are one document of the collection; its first place leads.
+    head = np.flatnonzero(np.concatenate([[True], (same[1:] != same[:-1]) | (grp[1:] != grp[:-1])]))
+    text = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(grp))))
+    lead = head[text]
+    later = (ids != ids[lead]) | (crc != crc[lead]) | (start != start[lead])
+    whole = (np.bincount(text, later, len(head)) > 0) | hot[head]
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    raw, first = np.frombuffer(column.buffers()[2], np.uint8), offsets[:-1][order[head]]
+    size = (offsets[1:] - offsets[:-1])[order[head]]
+    data, ends = raw[_ranges(first, size)], np.concatenate([[0], np.cumsum(size)])
+    cut, cut_ends, own, moved = trimmed(data, ends, grp[head], place[head], whole, length)
+    doc, at, group = repeated_windows(cut, cut_ends, length)
+    at, doc = at + moved[doc], own[doc]
+    i, c, p = ids[head[doc]], crc[head[doc]], start[head[doc]] + at
+    by = np.lexsort((p, c, i, group))
+    heads = np.flatnonzero(np.diff(group[by], prepend=-1))
+    first_of = np.empty(len(by), np.int64)
+    first_of[by] = by[np.repeat(heads, np.diff(np.append(heads, len(by))))]
+    gone = (i != i[first_of]) | (c != c[first_of]) | (p != p[first_of])
+    # Places behind a document's first one go with all its windows.
+    least, most = np.full(len(head), 1 << 30), np.full(len(head), -1)
+    np.minimum.at(least, doc, at)
+    np.maximum.at(most, doc, at)
+    more = np.flatnonzero(later & (most[text] >= 0))
+    (ri, rc), rs, re = _intervals((np.concatenate([i[gone], ids[more]]), np.concatenate([c[gone], crc[more]])), np.concatenate([p[gone], start[more] + least[text[more]]]), np.concatenate([p[gone] + length, start[more] + most[text[more]] + length]))
+    # What a part of a frequent anchor keeps: runs of windows that stay.
+    stay = np.flatnonzero(~gone & hot[head[doc]])
+    stay = stay[np.lexsort((at[stay], doc[stay]))]
+    d, a = doc[stay], at[stay]
+    begin = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (a[1:] != a[:-1] + 1)])) if len(d) else np.zeros(0, np.int64)
+    stop = np.append(begin[1:], len(d)) - 1
+    d, a, z = d[begin], a[begin], a[stop] - a[begin] + length if len(d) else np.zeros(0, np.int64)
+    base, blob = ends[d] + a, data.tobytes()
+    none = np.zeros(len(rs), np.int64)
+    columns = ((ri, ids[head[d]]), (rc, crc[head[d]]), (rs, start[head[d]] + a), (re, start[head[d]] + a + z), (none, anchor[head[d]]), (none, place[head[d]] - a))
+    arrays = [pa.array(np.concatenate(x)).cast(f.type) for x, f in zip(columns, _BUILT, strict=False)]
+    return pa.RecordBatch.from_arrays([*arrays, pa.array([None] * len(rs) + [blob[x : x + y] for x, y in zip(base.tolist(), z.tolist(), strict=True)], pa.binary())], schema=_BUILT)
 
+
+def _build(length: int, collection_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by anchor; whole anchors are gathered to a collection."""
+        """Rows come sorted by group; whole groups are gathered to a collection."""
         held: list[pa.RecordBatch] = []
         size = 0
-
-        def built(table: pa.Table) -> pa.RecordBatch:
-            column = table.column("data").combine_chunks().cast(pa.large_binary())
-            if isinstance(column, pa.ChunkedArray):
-                column = column.chunk(0)
-            offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-            data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
-            ids, crc, start = (np.asarray(table.column(k)).astype(np.int64) for k in ("id", "crc", "start"))
-            data, offsets, kept, moved = trimmed(data, offsets - offsets[0], np.asarray(table.column("anchor")), np.asarray(table.column("at")).astype(np.int64), length)
-            (i, c), s, e = repeated_windows(data, offsets, ids[kept], crc[kept], start[kept] + moved, length)
-            return pa.RecordBatch.from_arrays([pa.array(i), pa.array(c), pa.array(s.astype(np.int32)), pa.array(e.astype(np.int32))], schema=schema)
-
         for whole in batches:
             for batch in (whole.slice(at, 4096) for at in range(0, whole.num_rows, 4096)):
                 held.append(batch)
                 size += batch.column("data").nbytes
                 if size >= collection_bytes:
                     table = pa.Table.from_batches(held)
-                    anchors = np.asarray(table.column("anchor"))
-                    cut = int(np.searchsorted(anchors, anchors[-1], side="left"))
+                    groups = np.asarray(table.column("grp"))
+                    cut = int(np.searchsorted(groups, groups[-1], side="left"))
                     if cut:
-                        yield built(table.slice(0, cut))
+                        yield _decided(table.slice(0, cut), length)
                         table = table.slice(cut)
-                    held, size = table.to_batches(), table.nbytes
+                    held, size = table.to_batches(), table.column("data").nbytes
         if held:
-            yield built(pa.Table.from_batches(held))
+            yield _decided(pa.Table.from_batches(held), length)
+
+    return run
+
+
+def _window_keys(length: int):
+    """(key, id, crc, start) of every window of segments, key being its hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches_of(batches, "data", CHUNK_BYTES):
+            column = batch.column("data").cast(pa.large_binary())
+            offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+            data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+            n = np.diff(offsets) - length + 1
+            each, at = np.repeat(np.arange(len(n)), n), _ranges(offsets[:-1] - offsets[0], n)
+            step = at - (offsets[:-1] - offsets[0])[each]
+            key = _span_hash(_words(data), at, at, length).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(key), batch.column("id").take(pa.array(each)), batch.column("crc").take(pa.array(each)), pa.array((np.asarray(batch.column("s"))[each] + step).astype(np.int32))], names=["anchor", "id", "crc", "start"])
 
     return run
 
@@ -425,22 +535,30 @@ def remove_repeats(
     refuse_clashes(keep, "kept", "n_bytes", "span_starts", "span_ends")
     key_id, key_crc = F.coalesce(df[id_col].cast("long"), F.lit(NO_ID)), text_key(df[text_col].cast("string"))
     docs = df.select(key_id.alias("id"), key_crc.alias("crc"), df[text_col].cast("string").alias("text"))
+    frequent = frequent_anchors(docs, length, anchor, hot)
     found = map_batches(docs.where(F.octet_length("text") >= length), _find_segments(length, anchor), _SEGMENT_SQL)
-    known = stored(settle(found).where("rank > 1 OR n < 0 OR kinds > 1"), "segments")
-    gone = known.where("n < 0").selectExpr("id", "crc", "start AS s", "start - n AS e").union(known.where("n > 0 AND rank > 1").selectExpr("id", "crc", "start AS s", f"start + (n & 255) + {length - 1} AS e"))
-    leading = known.where("n > 0 AND rank = 1 AND kinds > 1")
+    known = stored(meet(found, frequent), "segments")
+    gone = known.where("n < 0").selectExpr("id", "crc", "start AS s", "start - n AS e")
 
     def with_text(some: DataFrame) -> DataFrame:
-        wanted = some.groupBy("id", "crc").agg(F.collect_list(F.struct("anchor", "start", "n")).alias("wanted"))
-        return docs.join(wanted.hint("shuffle_hash"), ["id", "crc"])
-
-    pieces = map_batches(with_text(leading.where(F.col("kinds") <= hot)), _cut_out(False, length), "anchor long, id long, crc long, start int, at int, data binary")
-    built = map_batches(pieces.repartition("anchor").sortWithinPartitions("anchor"), _build(length, collection_bytes), "id long, crc long, s int, e int")
-    gone = gone.union(built)
-    crowded = leading.where(F.col("kinds") > hot)
-    if not crowded.isEmpty():
-        windows = stored(settle(map_batches(with_text(crowded), _cut_out(True, length), _SEGMENT_SQL)).where("rank > 1 OR n < 0"), "windows")
-        gone = gone.union(windows.where("n < 0").selectExpr("id", "crc", "start AS s", "start - n AS e")).union(windows.where("n > 0").selectExpr("id", "crc", "start AS s", f"start + {length} AS e"))
+        wanted = some.groupBy("id", "crc").agg(F.collect_set(F.struct("grp", "anchor", "hot", "start", "n")).alias("wanted"))
+        return map_batches(docs.join(wanted.hint("shuffle_hash"), ["id", "crc"]), _cut_out(length), _PIECE_SQL)
+
+    def decided(pieces: DataFrame) -> DataFrame:
+        return map_batches(pieces.repartition("grp").sortWithinPartitions("grp"), _build(length, collection_bytes), _BUILT_SQL)
+
+    built = decided(with_text(known.where("n > 0")))
+    if not frequent.isEmpty():
+        built = stored(built, "parts")
+        left = built.where("data IS NOT NULL")
+        crowd = stored(left.groupBy("anchor").count().where(F.col("count") > hot).select("anchor"), "crowd")
+        again = left.join(crowd, "anchor", "left_anti").selectExpr("anchor AS grp", "anchor", "false AS hot", "id", "crc", "s AS start", "at", "data")
+        gone = gone.union(decided(again).select("id", "crc", "s", "e"))
+        if not crowd.isEmpty():
+            windows = map_batches(left.join(crowd, "anchor", "left_semi"), _window_keys(length), "anchor long, id long, crc long, start int").withColumn("n", F.lit(1))
+            windows = stored(meet(windows, frequent.where("false")), "windows")
+            gone = gone.union(decided(with_text(windows)).select("id", "crc", "s", "e"))
+    gone = gone.union(built.where("data IS NULL").select("id", "crc", "s", "e"))
     per_doc = gone.groupBy("id", "crc").agg(F.collect_list(F.struct("s", "e")).alias("__gone")).select(F.col("id").alias("__id"), F.col("crc").alias("__crc"), "__gone")
     rows = df.select(*kept(df, keep), key_id.alias("__id"), key_crc.alias("__crc"), df[text_col].cast("string").alias("__text"))
     joined = rows.join(per_doc.hint("shuffle_hash"), ["__id", "__crc"], "left").drop("__id", "__crc")

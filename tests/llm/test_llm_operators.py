@@ -298,7 +298,7 @@ def test_repeats_equal_brute_force(spark):
         rows.append((i, kinds[i % 6]))
     want = brute_repeats(rows)
     df = spark.createDataFrame(rnd.sample(rows, len(rows)), "doc_id long, text string").repartition(5)
-    for hot in (20_000, 3):
+    for hot in (20_000, 30, 3):  # no frequent anchors; such as shrink when their parts meet again; and such as don't
         assert _digest(suffix_dedup.remove_repeats(df, hot=hot, collection_bytes=20_000).collect()) == want
 
 
@@ -317,17 +317,46 @@ def test_repeats_awkward(spark, awkward, nothing, monkeypatch):
     assert suffix_dedup.remove_repeats(nothing).count() == 0
 
 
-def test_column_wise_sorts_suffixes():
+@pytest.mark.parametrize(("block", "file_bytes"), [(1 << 18, 1 << 25), (7, 0), (64, 100)])
+def test_column_wise_sorts_suffixes(block, file_bytes):
+    """Any block size, and files on disk from the first byte on."""
     rnd = random.Random(1)
-    texts = [bytes(rnd.choice(b"ab") for _ in range(rnd.randint(1, 30))) for _ in range(40)]
+    texts = [bytes(rnd.choice(b"ab") for _ in range(rnd.randint(1, 30))) for _ in range(40)] + [b"", b"abab"]
     data = np.frombuffer(b"".join(texts), np.uint8)
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    seg, size, lcp = suffix_dedup.column_wise(data, offsets)
+    rows = np.concatenate(list(suffix_dedup.column_wise(data, offsets, block, file_bytes)))
+    seg, size, lcp = (rows >> np.uint64(24)).astype(int), (rows >> np.uint64(16)).astype(int) & 255, (rows >> np.uint64(8)).astype(int) & 255
     keys = [(texts[s][len(texts[s]) - n :], s) for s, n in zip(seg.tolist(), size.tolist(), strict=True)]
-    assert keys == sorted(keys)
+    assert keys == sorted(keys) and len(keys) == len(data) + len(texts)
     for (a, _), (b, _), n in zip(keys, keys[1:], lcp[1:].tolist(), strict=False):
         common = next((k for k in range(min(len(a), len(b))) if a[k] != b[k]), min(len(a), len(b)))
         assert n == common
+    assert not list(suffix_dedup.column_wise(np.zeros(0, np.uint8), np.zeros(1, np.int64), block, file_bytes))
+
+
+def test_hashes_alone_decide_nothing(spark, monkeypatch):
+    """With hashes of no use, so that everything meets and looks equal, the result is the same."""
+    rnd = random.Random(8)
+    same = "".join(rnd.choice("abcdefgh ") for _ in range(160))
+    rows = [(i, "".join(rnd.choice("abcdefgh ") for _ in range(rnd.randint(100, 220)))) for i in range(40)] + [(50 + i, "x" * i + same) for i in range(4)]
+    want = brute_repeats(rows)
+    data = np.frombuffer("".join(t for _, t in rows).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for _, t in rows])])
+    doc, start, n, a, s = suffix_dedup.segments(data, offsets)
+    # One hash for all: a chunk's segments are told apart by their bytes, a collection's windows by the transform.
+    equal = np.zeros(len(doc), np.int64)
+    import pyarrow as pa
+
+    kept = suffix_dedup._settled(data, offsets[doc] + start, equal, equal, doc, equal, start, n, 100)
+    lone = kept.filter(pa.compute.greater(kept.column("n"), 0)).to_pydict()
+    cut = [bytes(data[offsets[d] + p : offsets[d] + p + (m & 255) + 99]) for d, p, m in zip(lone["id"], lone["start"], lone["n"], strict=True)]
+    zero = [0] * len(cut)
+    table = pa.table({"grp": zero, "anchor": zero, "hot": [False] * len(cut), "id": lone["id"], "crc": zero, "start": lone["start"], "at": [m >> 8 for m in lone["n"]], "data": cut}, schema=suffix_dedup._PIECE)
+    spans = [(r["id"], r["s"], r["e"]) for r in suffix_dedup._decided(table, 100).to_pylist()] + [(i, p, p - m) for i, p, m in zip(*(kept.to_pydict()[k] for k in ("id", "start", "n")), strict=True) if m < 0]
+    got = {k: set() for k in range(len(rows))}
+    for d, b, e in spans:
+        got[d] |= set(range(b, e))
+    assert [len(g) for g in got.values()] == [w[1] for w in want.values()]
 
 
 # --- language ---------------------------------------------------------------------------------------------------------------
