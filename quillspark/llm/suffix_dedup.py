@@ -45,7 +45,7 @@ STRETCH = 16
 #: Windows of a chunk whose anchors are searched at a time.
 CHUNK_BYTES = 2 << 20
 #: The transform's file stays in memory up to this size, then goes to disk like any spill of a task; rows that are read at a time.
-FILE_BYTES, BLOCK_ROWS = 32 << 20, 1 << 18
+FILE_BYTES, BLOCK_ROWS = 32 << 20, 1 << 21
 NO_ID = -(1 << 63)
 _END = 255  # never in UTF-8
 
@@ -195,21 +195,39 @@ def meet(found: DataFrame, frequent: DataFrame) -> DataFrame:
 
 
 class RowFile:
-    """The rows of the growing transform as 64-bit numbers (symbol, common prefix, suffix length, document), written and read front to back."""
+    """The rows of the growing transform as 64-bit numbers (symbol, common prefix, suffix length, document), written and read front to back; on disk beyond ``limit`` bytes."""
 
     def __init__(self, limit: int):
-        self.file = tempfile.SpooledTemporaryFile(max_size=limit)  # noqa: SIM115 - private to the task attempt, like its spills
+        self.limit, self.held, self.bytes, self.file = limit, [], 0, None
 
     def write(self, rows: np.ndarray) -> None:
-        self.file.write(memoryview(np.ascontiguousarray(rows)).cast("B"))
+        self.bytes += rows.nbytes
+        if self.file is None and self.bytes > self.limit:
+            self.file = tempfile.TemporaryFile()  # noqa: SIM115 - private to the task attempt, like its spills
+            for part in self.held:
+                self.file.write(memoryview(part).cast("B"))
+            self.held = []
+        if self.file is not None:
+            self.file.write(memoryview(np.ascontiguousarray(rows)).cast("B"))
+        elif len(rows):
+            self.held.append(rows)
 
     def blocks(self, block: int) -> Iterator[np.ndarray]:
+        if self.file is None:
+            if len(self.held) > 1:
+                self.held = [np.concatenate(self.held)]
+            for part in self.held:
+                for at in range(0, len(part), block):
+                    yield part[at : at + block]
+            return
         self.file.seek(0)
         while got := self.file.read(8 * block):
-            yield np.frombuffer(got, "<u8")
+            yield np.frombuffer(bytearray(got), "<u8")
 
     def close(self) -> None:
-        self.file.close()
+        self.held = []
+        if self.file is not None:
+            self.file.close()
 
 
 def _packed(symbol: np.ndarray, prefix: np.ndarray | int, size: int, doc: np.ndarray) -> np.ndarray:
@@ -226,45 +244,44 @@ class _Places:
         self.after_new = np.zeros(256, bool)
         self.parts: list[tuple[np.ndarray, ...]] = []
 
-    def read(self, rows: np.ndarray) -> None:
+    def read(self, rows: np.ndarray, more: bool) -> None:
+        """``more``: rows follow that will ask for what was last."""
         fields = rows.view(np.uint8).reshape(-1, 8)
         symbol, prefix, new = np.ascontiguousarray(fields[:, 0]), np.ascontiguousarray(fields[:, 1]), fields[:, 2] == self.size - 1
-        order = np.argsort(symbol, kind="stable")
-        by_symbol = symbol[order]
-        order = order[: int(np.searchsorted(by_symbol, _END))]
-        low = prefix.min()
+        sizes = np.bincount(symbol, minlength=256)
+        order = np.argsort(symbol, kind="stable")[: len(rows) - int(sizes[_END])]
+        sizes[_END] = 0
+        kinds = np.flatnonzero(sizes)
+        heads = (np.cumsum(sizes) - sizes)[kinds]
+        low = prefix.min() if more else 0
         if not len(order):
             self.least = np.minimum(self.least, low)
             return
-        by_symbol = by_symbol[: len(order)]
-        heads = np.flatnonzero(np.concatenate([[True], by_symbol[1:] != by_symbol[:-1]]))
-        kinds, runs = by_symbol[heads], np.diff(np.append(heads, len(order)))
         fresh = new[order]
         touched = fresh.copy()
         touched[1:] |= fresh[:-1]
         touched[heads] = fresh[heads] | self.after_new[kinds]
         t = np.flatnonzero(touched)
-        at, is_head = order[t], np.zeros(len(order), bool)
-        is_head[heads] = True
-        inner = ~is_head[t]
+        at = order[t]
+        run = np.searchsorted(heads, t, side="right") - 1
+        own, inner = kinds[run], heads[run] != t
         value = np.zeros(len(t), np.uint8)
         if inner.any():
             ends = np.empty(2 * int(inner.sum()), np.int64)
             ends[0::2], ends[1::2] = order[t[inner] - 1] + 1, at[inner] + 1
             value[inner] = np.minimum.reduceat(np.append(prefix, np.uint8(0)), ends)[0::2] + 1
-        if not inner.all():
-            first, own = at[~inner], by_symbol[t[~inner]]
-            front = np.minimum(np.minimum.accumulate(prefix)[first], self.least[own])
-            value[~inner] = np.where(self.seen[own] > 0, front + 1, 0)
-        run_of = np.repeat(heads, runs)[t]
-        rank = self.below[by_symbol[t]] + self.seen[by_symbol[t]] + t - run_of
+        met = np.flatnonzero(~inner & (self.seen[own] > 0))
+        if len(met):  # a symbol's first row of the block, after others in blocks before
+            value[met] = np.minimum(np.minimum.accumulate(prefix)[at[met]], self.least[own[met]]) + 1
+        rank = self.below[own] + self.seen[own] + t - heads[run]
         self.parts.append((rank, fresh[t], value, rows[at] >> np.uint64(24)))
-        tails = order[heads + runs - 1]
-        since = np.append(np.minimum.accumulate(prefix[::-1])[::-1], np.uint8(255))
-        self.least = np.minimum(self.least, low)
-        self.least[kinds] = since[tails + 1]
-        self.after_new[kinds] = new[tails]
-        self.seen[kinds] += runs
+        if more:
+            tails = order[heads + sizes[kinds] - 1]
+            since = np.append(np.minimum.accumulate(prefix[::-1])[::-1], np.uint8(255))
+            self.least = np.minimum(self.least, low)
+            self.least[kinds] = since[tails + 1]
+            self.after_new[kinds] = new[tails]
+        self.seen += sizes
 
     def sorted(self) -> tuple[np.ndarray, ...]:
         if not self.parts:
@@ -289,17 +306,18 @@ def column_wise(data: np.ndarray, offsets: np.ndarray, block: int = BLOCK_ROWS,
     now = RowFile(file_bytes)
     for at in range(0, m, block):
         now.write(_packed(last[at : at + block], 0, 0, np.arange(at, min(m, at + block))))
-    counts = np.bincount(last, minlength=256)
+    counts, n = np.bincount(last, minlength=256), m
     for j in range(1, int(sizes.max(initial=0)) + 1):
-        places = _Places(counts, j)
+        places, left = _Places(counts, j), n
         for rows in now.blocks(block):
-            places.read(rows)
+            left -= len(rows)
+            places.read(rows, left > 0)
         rank, fresh, value, doc = places.sorted()
         if not fresh.any():
             break
         own = doc[fresh].astype(np.int64)
-        left = sizes[own] - j
-        symbol = np.where(left > 0, data[np.maximum(offsets[own] + left - 1, 0)], _END).astype(np.uint8)
+        rest = sizes[own] - j
+        symbol = np.where(rest > 0, data[np.maximum(offsets[own] + rest - 1, 0)], _END).astype(np.uint8)
         counts += np.bincount(symbol, minlength=256)
         rows_new, place = _packed(symbol, value[fresh], j, own), m + rank[fresh]
         before = place - np.arange(len(place))  # the row of the file that each goes in front of
@@ -307,8 +325,8 @@ def column_wise(data: np.ndarray, offsets: np.ndarray, block: int = BLOCK_ROWS,
         changed, to = moved - np.searchsorted(place, moved), value[~fresh].astype(np.uint64) << np.uint64(8)
         then, at, lo, clo = RowFile(file_bytes), 0, 0, 0
         for rows in now.blocks(block):
-            hi, chi = (int(np.searchsorted(x, at + len(rows))) for x in (before, changed))
-            rows = rows.copy()
+            chi, last_block = int(np.searchsorted(changed, at + len(rows))), at + len(rows) == n
+            hi = len(before) if last_block else int(np.searchsorted(before, at + len(rows)))
             rows[changed[clo:chi] - at] = (rows[changed[clo:chi] - at] & ~np.uint64(0xFF00)) | to[clo:chi]
             out, old = np.empty(len(rows) + hi - lo, np.uint64), np.ones(len(rows) + hi - lo, bool)
             target = place[lo:hi] - at - lo
@@ -316,9 +334,8 @@ def column_wise(data: np.ndarray, offsets: np.ndarray, block: int = BLOCK_ROWS,
             out[old], out[target] = rows, rows_new[lo:hi]
             then.write(out)
             at, lo, clo = at + len(rows), hi, chi
-        then.write(rows_new[lo:])
         now.close()
-        now = then
+        now, n = then, n + len(place)
     yield from now.blocks(block)
     now.close()
 
