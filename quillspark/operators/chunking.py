@@ -77,3 +77,14 @@ def page_plan(pages: Column, most: int = 100, part: int = 50) -> Column:
     """Sizes of the parts in which a document of so many pages is converted."""
     whole = F.transform(F.sequence(F.lit(0), F.greatest(pages - 1, F.lit(0)), F.lit(part)), lambda s: F.least(F.lit(part), pages - s).cast("int"))
     return F.when(pages <= most, F.array(pages.cast("int"))).otherwise(whole)
+
+
+MODES = ("first_window", "header_aware", "full")
+
+
+def chunk(body: Column, mode: str, window: int) -> Column:
+    """A document's chunk in one of the modes; ``full`` is the body itself. The window is checked first."""
+    window = check_window(window)
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {', '.join(MODES)}")
+    return {"first_window": first_window, "header_aware": header_aware}[mode](body, window) if mode != "full" else body

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -144,3 +146,22 @@ def gold_join(gold: DataFrame, predictions: DataFrame) -> DataFrame:
     """J8, by equality of ids (a deviation): the prediction, else the gold row's own; rows without either are dropped."""
     joined = gold.join(predictions.select("doc_id", F.col("pred").alias("found"), "bucket"), "doc_id", "left")
     return joined.select("doc_id", "truth", F.coalesce("found", "pred").alias("pred"), F.coalesce("bucket", F.lit("I_GUESSED")).alias("bucket")).where("pred IS NOT NULL")
+
+
+def chain(docs: DataFrame, gold: DataFrame, taxonomy: list[str], chunk: Callable[[Column], Column], embed: Callable[[Column], Column], judge: Callable[[DataFrame], Column], centroids: DataFrame, k: int) -> dict[str, DataFrame]:
+    """Chunk, retrieve, judge, export and calibrate one after the other: the tables of every step.
+
+    ``docs``: doc_id, text; ``gold``: doc_id, truth; ``centroids``: label, centroid.
+    ``embed`` and ``judge`` are the caller's models (X4): expressions, the latter over
+    doc_id, chunk and candidates (an array of label and score, best first), that gives a
+    verdict as JSON.  A document whose verdict is rejected has no prediction.
+    """
+    chunks = docs.select("doc_id", chunk(F.col("text")).alias("chunk"))
+    found = top_candidates(chunks.select("doc_id", embed(F.col("chunk")).alias("v")), centroids, "doc_id", "v", "label", k)
+    best = found.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("rank", "label", "score"))).alias("candidates"))
+    judged = chunks.join(best, "doc_id", "left")
+    judged = judged.select("doc_id", "chunk", judge(judged).alias("json")).withColumn("reason", reject_reason(F.col("json"), taxonomy))
+    valid = judged.where("reason IS NULL").select("doc_id", F.get_json_object("json", "$.primary_subdomain").alias("pred"), F.get_json_object("json", "$.confidence_bucket").alias("bucket"))
+    tasks = label_tasks(chunks.select("doc_id", "chunk"), found, valid.select("doc_id", F.col("pred").alias("primary")), "doc_id", "chunk")
+    graded = gold.join(valid, "doc_id").select("doc_id", "truth", "pred", "bucket")
+    return {"chunks": chunks, "candidates": found, "verdicts": judged.select("doc_id", "json", "reason"), "tasks": tasks, "graded": graded, "calibration": bucket_accuracy(graded)}

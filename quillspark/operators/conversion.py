@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -123,3 +125,46 @@ def parse_mail(files: DataFrame, raw: str = "raw") -> DataFrame:
 def report(rows: DataFrame) -> DataFrame:
     """How many files have each status."""
     return rows.groupBy("status").agg(F.count("*").alias("n"))
+
+
+def convert(files: DataFrame, existing: DataFrame, converters: dict[str, Callable[[Column], Column]], force: bool = False) -> DataFrame:
+    """The report of a conversion run: (path, status, reason, duplicate_of, converter, md).
+
+    ``files``: path, raw, mtime; ``existing``: path and mtime of outputs; ``converters``:
+    by converter an expression of the bytes that gives a struct of md and error (X4: the
+    caller's own; one that is missing fails its files).  Files go by path: those without
+    a converter are skipped, sections inside a notebook's folder belong to it, a content
+    that an earlier file had is a duplicate, and what has a newer output is up to date.
+    """
+    table = F.create_map(*[F.lit(x) for kv in CONVERTERS.items() for x in kv])
+    ext = extension(F.col("path"))
+    known = files.withColumn("sha", F.sha2("raw", 256)).withColumn("converter", F.when(ext == "onetoc2", "onenote").otherwise(F.try_element_at(table, ext)))
+    folders = files.where(ext == "onetoc2").select(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder")).distinct()
+    inner = subsumed(files.where(ext == "one"), folders).select("path", F.lit(True).alias("inner"))
+    known = known.join(inner, "path", "left")
+    open_ = F.col("converter").isNotNull() & F.col("inner").isNull()
+    # Notebooks don't take part in the comparison of contents.
+    first = known.where(open_ & (F.col("converter") != "onenote")).groupBy("sha").agg(F.min("path").alias("first"))
+    done = existing.select(F.col("path").alias("out_path"), F.col("mtime").alias("out_mtime"))
+    rows = known.join(first, "sha", "left").withColumn("out_path", mirrored_path(F.col("path"))).join(done, "out_path", "left")
+    copied = open_ & (F.col("converter") != "onenote") & (F.col("first") != F.col("path"))
+    fresh = F.coalesce(F.col("out_mtime") >= F.col("mtime"), F.lit(False)) & F.lit(not force)
+    reason = (
+        F.when(F.col("converter").isNull(), F.concat(F.lit("unsupported extension "), F.when(ext == "", F.lit("")).otherwise(F.concat(F.lit("."), ext))))
+        .when(F.col("inner"), "part of notebook dir (handled via .onetoc2)")
+        .when(copied, F.lit(None))
+        .when(fresh, "up to date")
+    )
+    tried = open_ & ~copied & ~fresh
+    empty = F.struct(F.lit(None).cast("string").alias("md"), F.lit("no converter").alias("error"))
+    result = F.lit(None).cast("struct<md:string,error:string>")
+    made = None
+    for name, f in sorted(converters.items()):
+        case = F.col("converter") == name
+        out = f(F.col("raw"))
+        one = F.struct(out["md"].cast("string").alias("md"), out["error"].cast("string").alias("error"))
+        made = F.when(case, one) if made is None else made.when(case, one)
+    made = empty if made is None else made.otherwise(empty)
+    rows = rows.withColumn("reason", reason).withColumn("copied", copied).withColumn("x", F.when(tried, made).otherwise(result))
+    status = F.when(F.col("copied"), "duplicate").when(F.col("reason").isNotNull(), "skipped").when(F.col("x.error").isNotNull(), "failed").otherwise("converted")
+    return rows.select("path", status.alias("status"), F.coalesce("reason", "x.error").alias("reason"), F.when(F.col("copied"), F.col("first")).alias("duplicate_of"), F.when(status == "converted", F.col("converter")).alias("converter"), F.when(status == "converted", F.col("x.md")).alias("md"))

@@ -32,32 +32,48 @@ def attachment_duplicates(files: DataFrame) -> DataFrame:
 def near_pairs(docs: DataFrame, key: str, words: str, version: str, size: str, shingle: int = 5, threshold: float = 0.9) -> DataFrame:
     """(loser, winner, similarity) of documents whose sets of word shingles have a Jaccard coefficient of ``threshold`` or more.
 
-    Prefix filter: at that threshold two sets of n shingles must share one of their
-    ``n - ceil(t n) + 1`` rarest, so only those are joined.  Copies of one set are
-    collapsed before the join and join again as members, so no group of copies is paired.
-    The newer version wins, then the longer document, then the smaller key.
+    Prefix filter: at that threshold two sets of n shingles must share one of the first
+    ``n - ceil(t n) + 1`` of each, in an order that is the same for all; it puts shingles
+    that a sample shows to be frequent last, so only rare ones meet.  The sample changes
+    what the join costs, never what it finds.  Only those few leave a document's row;
+    copies of one set are collapsed before and join again as members, so no group of
+    copies is paired.  The newer version wins, then the longer document, then the
+    smaller key.
     """
     n = F.size(words)
     grams = F.when(n >= shingle, F.array_distinct(F.transform(F.sequence(F.lit(1), n - shingle + 1), lambda i: F.xxhash64(F.slice(F.col(words), i, shingle))))).otherwise(F.array(F.xxhash64(F.col(words))))
-    sets = docs.where(n > 0).select(F.col(key).alias("k"), F.array_sort(grams).alias("g"), F.col(version).alias("v"), F.col(size).alias("z"))
-    sets = sets.withColumn("sig", F.sha2(F.array_join(F.col("g").cast("array<string>"), ",").cast("binary"), 256))
+    sets = docs.where(n > 0).select(F.col(key).alias("k"), F.sort_array(grams).alias("g"), F.col(version).alias("v"), F.col(size).alias("z"))
+    sets = sets.withColumn("sig", F.struct(F.xxhash64("g").alias("a"), F.xxhash64(F.lit(1), "g").alias("b")))
     order = F.struct((-F.col("v")).alias("v"), (-F.col("z")).alias("z"), F.col("k").alias("k"))
-    best = sets.groupBy("sig").agg(F.min(order).alias("o"), F.first("g").alias("g")).select("sig", F.col("o.k").alias("k"), "o", "g")
-    best = cut_lineage(best)
-    copies = sets.join(best.select("sig", F.col("k").alias("winner")), "sig").where("k <> winner").select(F.col("k").alias("loser"), "winner", F.lit(1.0).alias("similarity"))
-    df = best.select(F.explode("g").alias("t")).groupBy("t").agg(F.count("*").alias("df"))
-    ranked = best.select("k", "o", F.size("g").alias("n"), F.explode("g").alias("t")).join(df, "t")
-    ordered = ranked.groupBy("k", "o", "n").agg(F.array_sort(F.collect_list(F.struct("df", "t"))).alias("l"))
-    prefix = ordered.select("k", "o", "n", F.explode(F.slice("l", F.lit(1), (F.col("n") - F.ceil(F.col("n") * threshold) + 1).cast("int"))).alias("x")).select("k", "o", "n", F.col("x.t").alias("t"))
+    sets = cut_lineage(sets.withColumn("o", order))
+    first = sets.groupBy("sig").agg(F.min("o").alias("best"))
+    known = cut_lineage(sets.join(first, "sig").select("k", "o", "g", F.col("best.k").alias("winner")))
+    copies = known.where("k <> winner").select(F.col("k").alias("loser"), "winner", F.lit(1.0).alias("similarity"))
+    best = known.where("k = winner").select("k", "o", "g", F.size("g").alias("n"))
+    common = _frequent(best)
+    rare, late = F.array_except("g", common), F.array_intersect("g", common)
+    most = (F.col("n") - F.ceil(F.col("n") * threshold) + 1).cast("int")
+    ordered = F.concat(F.sort_array(rare), F.sort_array(late))
+    prefix = best.select("k", "o", "n", F.explode(F.slice(ordered, F.lit(1), most)).alias("t"))
     a, b = prefix.toDF("ka", "oa", "na", "t"), prefix.toDF("kb", "ob", "nb", "t")
     cand = a.join(b, "t").where((F.col("oa") < F.col("ob")) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb"))).select("ka", "kb").distinct()
     ga, gb = best.select(F.col("k").alias("ka"), F.col("g").alias("gx")), best.select(F.col("k").alias("kb"), F.col("g").alias("gy"))
-    both = cand.join(ga, "ka").join(gb, "kb")
-    inter = F.size(F.array_intersect("gx", "gy"))
-    sim = both.select(F.col("kb").alias("loser"), F.col("ka").alias("winner"), (inter / (F.size("gx") + F.size("gy") - inter)).alias("similarity")).where(F.col("similarity") >= threshold)
+    both = cand.join(ga, "ka").join(gb, "kb").withColumn("inter", F.size(F.array_intersect("gx", "gy")))
+    sim = both.select(F.col("kb").alias("loser"), F.col("ka").alias("winner"), (F.col("inter") / (F.size("gx") + F.size("gy") - F.col("inter"))).alias("similarity")).where(F.col("similarity") >= threshold)
     return copies.union(sim)
 
 
+#: Sets in the sample that tells frequent shingles (about), how many of them hold one, and how many shingles are put last at most.
+SAMPLE_SETS, FREQUENT, LAST = 5_000, 10, 1_000
+
+
+def _frequent(best: DataFrame) -> Column:
+    share = min(1.0, SAMPLE_SETS / max(1, best.count()))
+    seen = best.sample(False, share, 5).select(F.explode("g").alias("t")).groupBy("t").count().where(F.col("count") >= FREQUENT)
+    rows = seen.orderBy(F.desc("count"), "t").limit(LAST).collect()
+    return F.array(*[F.lit(r["t"]) for r in rows]).cast("array<bigint>")
+
+
 def upgrade_plan(previous: DataFrame, packaged: DataFrame, on_disk: DataFrame) -> DataFrame:
     """(path, action) between manifests (path, sha): orphans are deleted, drifted files backed up and laid anew, missing ones laid."""
     orphan = previous.select("path").exceptAll(packaged.select("path")).select("path", F.lit("delete_orphan").alias("action"))

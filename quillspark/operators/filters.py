@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions.markdown import body, lines
@@ -158,3 +160,63 @@ def false_reject_rate(audits: DataFrame) -> DataFrame:
 def report(decisions: DataFrame) -> DataFrame:
     """Decisions and gates with their counts."""
     return decisions.groupBy("decision", F.coalesce("gate", F.lit("-")).alias("gate")).agg(F.count("*").alias("n"))
+
+
+@dataclass(frozen=True)
+class Filter:
+    """A filter by id, lane (gate, evidence or judge) and version; thresholds are looked up by its id."""
+
+    name: str
+    lane: str
+    version: int = 1
+
+
+#: The filters in the order in which gates are asked; an id can't be taken twice.
+FILTERS: dict[str, Filter] = {}
+
+
+def register(name: str, lane: str, version: int = 1) -> Filter:
+    if name in FILTERS:
+        raise ValueError(f"filter {name!r} is registered twice")
+    if lane not in ("gate", "evidence", "judge"):
+        raise ValueError(f"no such lane: {lane}")
+    FILTERS[name] = Filter(name, lane, version)
+    return FILTERS[name]
+
+
+for _name in ("exact_duplicate", "near_duplicate", "whole_doc_json", "whole_doc_xml", "fenced_data_only", "guid_filename_coverage", "uuid_title_thin_body", "attachment_stub", "empty_shell"):
+    register(_name, "gate")
+for _name in ("hex_char_ratio", "numeric_table_heavy", "nav_page", "toc_page", "template_page", "macro_debris", "rtl_corruption", "encoding_slop", "archive_marker", "prose_density"):
+    register(_name, "evidence")
+for _name in ("domain_scope", "durable_knowledge"):
+    register(_name, "judge")
+
+
+def thresholds(overrides: dict[str, float] | None = None) -> dict[str, float]:
+    """The thresholds with a campaign's own; an unknown name is an error."""
+    unknown = set(overrides or ()) - set(THRESHOLDS)
+    if unknown:
+        raise KeyError(f"no such threshold: {', '.join(sorted(unknown))}")
+    return {**THRESHOLDS, **(overrides or {})}
+
+
+def registry_table(spark: SparkSession) -> DataFrame:
+    """(filter, lane, version, ord)."""
+    return spark.createDataFrame([(f.name, f.lane, f.version, i) for i, f in enumerate(FILTERS.values())], "filter string, lane string, version int, ord int")
+
+
+def evidence(text: Column) -> dict[str, Column]:
+    """What several measures say together: numeric_table_heavy (digits and table rows), nav_page (links against prose), toc_page (headings against prose)."""
+    m = measures(text)
+    return {
+        "numeric_table_heavy": F.round((m["digit_share"] + m["table_row_share"]) / 2, 4),
+        "nav_page": F.round(m["links_per_kchar"] * (1 - m["prose_density"]), 3),
+        "toc_page": F.round(m["heading_share"] * (1 - m["prose_density"]), 4),
+    }
+
+
+def rtl_corruption(findings: DataFrame) -> DataFrame:
+    """(doc_id, reversed_share, flagged_share, rtl_corruption) from the findings of the two detectors of reversed text; the evidence is the larger share."""
+    share = lambda name, key: F.max(F.when(F.col("detector") == name, F.col("measures")[key]))
+    both = findings.where(F.col("detector").isin("rtl_char_reversed", "rtl_order_reversed")).groupBy("doc_id").agg(share("rtl_char_reversed", "reversed_share").alias("reversed_share"), share("rtl_order_reversed", "flagged_share").alias("flagged_share"))
+    return both.withColumn("rtl_corruption", F.greatest("reversed_share", "flagged_share"))

@@ -32,11 +32,14 @@ def parse_cases(files: DataFrame, text: str) -> DataFrame:
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Index documents that hold a test item's text word for word; (doc_id, item_id).
 
-    Items and documents meet on the hash of an item's first five words, so no text is
-    compared with all items.
+    Items and documents meet on the hash of an item's first five words, or of all
+    where it has fewer, so no text is compared with all items.
     """
     words = lambda c: F.filter(F.split(F.lower(c), "\\s+"), lambda w: w != "")
-    i = items.select("item_id", words(F.col("text")).alias("iw")).where(F.size("iw") >= 5).select("item_id", "iw", F.xxhash64(F.slice("iw", 1, 5)).alias("h"))
-    d = docs.select("doc_id", words(F.col("text")).alias("dw")).where(F.size("dw") >= 5)
-    grams = d.select("doc_id", "dw", F.posexplode(F.transform(F.sequence(F.lit(1), F.size("dw") - 4), lambda k: F.xxhash64(F.slice("dw", k, 5)))).alias("pos", "h"))
+    i = items.select("item_id", words(F.col("text")).alias("iw")).where(F.size("iw") > 0).withColumn("k", F.least(F.size("iw"), F.lit(5)))
+    i = i.withColumn("h", F.xxhash64("k", F.slice("iw", F.lit(1), F.col("k"))))
+    d = docs.select("doc_id", words(F.col("text")).alias("dw"))
+    kinds = sorted(r["k"] for r in i.select("k").distinct().collect())  # five at most
+    starts = lambda k: F.when(F.size("dw") >= k, F.transform(F.sequence(F.lit(0), F.size("dw") - k), lambda p: F.struct(p.alias("pos"), F.xxhash64(F.lit(k), F.slice("dw", p + 1, F.lit(k))).alias("h")))).otherwise(F.array().cast("array<struct<pos:int,h:bigint>>"))
+    grams = d.select("doc_id", "dw", F.explode(F.concat(F.array().cast("array<struct<pos:int,h:bigint>>"), *[starts(k) for k in kinds])).alias("x")).select("doc_id", "dw", "x.pos", "x.h")
     return grams.join(i, "h").where(F.slice("dw", F.col("pos") + 1, F.size("iw")) == F.col("iw")).select("doc_id", "item_id").distinct()

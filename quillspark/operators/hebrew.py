@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.functions.binding import let
 from quillspark.functions.shipping import ship
 
 #: Letters that end a word, the margin and the least frequency of a fix.
@@ -61,27 +62,55 @@ def fix_words(words: DataFrame, dictionary: DataFrame, baseline: DataFrame | Non
     return joined.select("word", "ocr", d.alias("decision"), F.when(d == "fix", F.col("reversed")).otherwise(F.col("word")).alias("fixed"))
 
 
-def fix_texts(docs: DataFrame, dictionary: DataFrame, text: str, ocr: str, max_items: int = 2_000_000) -> DataFrame:
-    """Adds ``fixed`` and ``report``.
+def two_passes(docs: DataFrame, text: str, ocr: str, baseline: DataFrame | None = None, old: DataFrame | None = None) -> DataFrame:
+    """H6: (word, decision, fixed) of the scanned documents' words; only the others make the dictionary, on top of an older one."""
+    own = counts(docs.where(~F.col(ocr)), text)
+    scanned = docs.where(F.col(ocr)).select(F.explode(tokens(F.col(text))).alias("word")).distinct().withColumn("ocr", F.lit(True))
+    return fix_words(scanned, own if old is None else merged(old, own), baseline).select("word", "decision", "fixed")
+
+
+def _askable(text: Column) -> Column:
+    """All that a fix can ask for of a text: its words, its 2- and 3-grams, and their reversals; every word of a gram plain or turned, for word fixes come first."""
+    spellings = F.transform(tokens(text), lambda w: F.array_distinct(F.array(w, F.reverse(w))))
+    pair = lambda a, b: F.flatten(F.transform(a, lambda x: F.transform(b, lambda y: F.concat_ws(" ", x, y))))
+
+    def asked(s: Column) -> Column:
+        last = lambda n: F.size(s) - n
+        twos = F.when(last(2) >= 0, F.flatten(F.transform(F.sequence(F.lit(0), F.greatest(last(2), F.lit(0))), lambda i: pair(F.get(s, i), F.get(s, i + 1))))).otherwise(F.array().cast("array<string>"))
+        threes = F.when(last(3) >= 0, F.flatten(F.transform(F.sequence(F.lit(0), F.greatest(last(3), F.lit(0))), lambda i: pair(pair(F.get(s, i), F.get(s, i + 1)), F.get(s, i + 2))))).otherwise(F.array().cast("array<string>"))
+        phrases = F.concat(twos, threes)
+        turned = F.transform(phrases, lambda p: F.array_join(F.reverse(F.split(p, " ")), " "))
+        named = lambda items, kind: F.transform(items, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("item")))
+        return F.concat(named(F.flatten(s), "word"), named(F.array_distinct(F.concat(phrases, turned)), "phrase"))
+
+    return let(spellings, asked)
+
+
+def fix_texts(docs: DataFrame, dictionary: DataFrame, text: str, ocr: str, key: str = "doc_id") -> DataFrame:
+    """Adds ``repair``: fixed, fixed_words, fixed_phrases, ambiguous, hebrew_fixed.
 
     Phrases are decided from left to right, three words before two, so the rest of
-    a run depends on what was fixed before: an Arrow UDF.  Words that occur in no
-    document can't matter, so the dictionary goes to the workers reduced to ``max_items``
-    at most; a larger one is an error rather than a cut.
+    a run depends on what was fixed before: an Arrow UDF.  Every document gets the
+    frequencies of its own words and phrases and their reversals beside it, by joins;
+    no task or driver holds the dictionary.  Word fixes come first, so phrases of the
+    fixed words are asked for as well.  ``key`` tells documents apart.
     """
-    spark = docs.sparkSession
-    ship(spark)
-    rows = frequencies(dictionary).limit(max_items + 1).collect()
-    if len(rows) > max_items:
-        raise ValueError("the dictionary exceeds max_items")
-    shared = spark.sparkContext.broadcast(({r["item"]: r["freq"] for r in rows if r["kind"] == "word"}, {r["item"]: r["freq"] for r in rows if r["kind"] == "phrase"}))
+    ship(docs.sparkSession)
+    freq = frequencies(dictionary)
+    each = docs.select(F.col(key).alias("__key"), F.explode(_askable(F.col(text))).alias("x")).select("__key", "x.kind", "x.item").distinct()
+    held = each.join(freq, ["kind", "item"]).groupBy("__key").agg(F.collect_list(F.struct("kind", "item", "freq")).alias("__freq"))
+    joined = docs.join(held, docs[key] == held["__key"], "left").drop("__key")
 
     @F.pandas_udf("fixed string, fixed_words array<string>, fixed_phrases array<string>, ambiguous array<string>, hebrew_fixed boolean")
-    def repair(texts: pd.Series, scanned: pd.Series) -> pd.DataFrame:
-        words, phrases = shared.value
-        return pd.DataFrame([_repaired(t, bool(o), words, phrases) for t, o in zip(texts, scanned, strict=True)], columns=["fixed", "fixed_words", "fixed_phrases", "ambiguous", "hebrew_fixed"])
-
-    return docs.withColumn("repair", repair(F.col(text), F.col(ocr)))
+    def repair(texts: pd.Series, scanned: pd.Series, known: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t, o, f in zip(texts, scanned, known, strict=True):
+            words = {x["item"]: x["freq"] for x in (f if f is not None else ()) if x["kind"] == "word"}
+            phrases = {x["item"]: x["freq"] for x in (f if f is not None else ()) if x["kind"] == "phrase"}
+            rows.append(_repaired(t, bool(o), words, phrases))
+        return pd.DataFrame(rows, columns=["fixed", "fixed_words", "fixed_phrases", "ambiguous", "hebrew_fixed"])
+
+    return joined.withColumn("repair", repair(F.col(text), F.col(ocr), F.col("__freq"))).drop("__freq")
 
 
 def _judge(cur: float, rev: float) -> str:

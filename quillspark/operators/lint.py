@@ -35,25 +35,25 @@ def targets(docs: DataFrame) -> DataFrame:
     return docs.where(F.col("folder").isin(TARGET_FOLDERS)).select("stem").distinct()
 
 
-def broken_links(docs: DataFrame, known_external: tuple[str, ...] = ()) -> DataFrame:
+def broken_links(docs: DataFrame, known_external: tuple[str, ...] = (), found: DataFrame | None = None) -> DataFrame:
     """Links of wiki and index notes to no note and none of the names that are no note on purpose."""
-    found = links(link_sources(docs))
+    found = links(link_sources(docs)) if found is None else found
     if known_external:
         found = found.where(~F.col("target").isin(*known_external))
     return found.join(targets(docs).withColumnRenamed("stem", "target"), "target", "left_anti").select("path", "target", "pos")
 
 
-def _linked(docs: DataFrame) -> DataFrame:
-    return links(link_sources(docs)).select("target").distinct()
+def _linked(docs: DataFrame, found: DataFrame | None) -> DataFrame:
+    return (links(link_sources(docs)) if found is None else found).select("target").distinct()
 
 
-def orphans(docs: DataFrame) -> DataFrame:
+def orphans(docs: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """Wiki notes that no wiki or index note links to (a link to itself counts)."""
-    return in_wiki(docs).join(_linked(docs), F.col("stem") == F.col("target"), "left_anti").select("path", "stem")
+    return in_wiki(docs).join(_linked(docs, found), F.col("stem") == F.col("target"), "left_anti").select("path", "stem")
 
 
-def unreferenced_raw(docs: DataFrame) -> DataFrame:
-    return docs.where("folder = 'raw'").join(_linked(docs), F.col("stem") == F.col("target"), "left_anti").select("path", "stem")
+def unreferenced_raw(docs: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    return docs.where("folder = 'raw'").join(_linked(docs, found), F.col("stem") == F.col("target"), "left_anti").select("path", "stem")
 
 
 def missing_sources(docs: DataFrame) -> DataFrame:
@@ -67,12 +67,27 @@ def todo_markers(docs: DataFrame) -> DataFrame:
     return in_wiki(docs).where(F.contains("text", F.lit("<!-- TODO"))).select("path", "stem")
 
 
+def named_in(stems: DataFrame, text: DataFrame) -> DataFrame:
+    """Stems (stem) that a text (text: one long row, or several) holds somewhere, as a part of a word too; distinct.
+
+    The text's lines are dealt out, and every run of a length that some stem has meets
+    the stems by equality; a file name has at most 255 characters, so there are few lengths.
+    """
+    own = stems.select("stem").distinct()
+    lengths = sorted(r["n"] for r in own.select(F.length("stem").alias("n")).distinct().where("n > 0").collect())
+    lines_ = text.select(F.explode(F.split("text", "\n")).alias("line")).distinct()
+    runs = lambda n: F.when(F.length("line") >= n, F.transform(F.sequence(F.lit(1), F.length("line") - n + 1), lambda i: F.substring(F.col("line"), i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    every = F.array_distinct(F.concat(F.array().cast("array<string>"), *[runs(n) for n in lengths]))
+    return own.join(lines_.select(F.explode(every).alias("stem")).distinct(), "stem", "left_semi")
+
+
 def missing_log_entries(docs: DataFrame) -> DataFrame:
-    """Raw notes whose stem isn't in the log's text. The log is one row, looked up as a scalar."""
-    log = docs.where("folder = 'index' AND stem = 'log'").select(F.max("text").alias("log")).first()["log"]
-    if log is None:
+    """Raw notes whose stem isn't in the log's text."""
+    log = docs.where("folder = 'index' AND stem = 'log'")
+    if log.isEmpty():
         return docs.sparkSession.createDataFrame([("index/log.md", "log")], "path string, stem string")
-    return docs.where((F.col("folder") == "raw") & ~F.contains(F.lit(log), F.col("stem"))).select("path", "stem")
+    raw = docs.where("folder = 'raw'").select("path", "stem")
+    return raw.join(named_in(raw, log.select("text")), "stem", "left_anti").where("stem <> ''").select("path", "stem")
 
 
 def duplicate_stems(docs: DataFrame) -> DataFrame:
@@ -94,11 +109,12 @@ def unreachable(docs: DataFrame, start: str = "_map-of-content") -> DataFrame:
 
 
 def findings(docs: DataFrame) -> DataFrame:
-    """Every check's findings (check, subject, detail)."""
+    """Every check's findings (check, subject, detail). Links are read off the notes once."""
+    found = cut_lineage(links(link_sources(docs)))
     parts = [
-        broken_links(docs).select(F.lit("broken_link").alias("check"), F.col("path").alias("subject"), F.col("target").alias("detail")),
-        orphans(docs).select(F.lit("orphan"), "path", "stem"),
-        unreferenced_raw(docs).select(F.lit("unreferenced_raw"), "path", "stem"),
+        broken_links(docs, found=found).select(F.lit("broken_link").alias("check"), F.col("path").alias("subject"), F.col("target").alias("detail")),
+        orphans(docs, found).select(F.lit("orphan"), "path", "stem"),
+        unreferenced_raw(docs, found).select(F.lit("unreferenced_raw"), "path", "stem"),
         missing_sources(docs).select(F.lit("missing_sources"), "path", "stem"),
         missing_log_entries(docs).select(F.lit("no_log_entry"), "path", "stem"),
         unreachable(docs).select(F.lit("unreachable"), "path", "stem"),
@@ -131,7 +147,21 @@ def summary_exists(docs: DataFrame) -> DataFrame:
 def status(docs: DataFrame) -> DataFrame:
     """Per raw note whether it has a summary, is in the registry and is in the log."""
     raw = docs.where("folder = 'raw'").select("stem").distinct()
-    texts = {r["stem"]: r["text"] for r in docs.where("folder = 'index' AND stem IN ('log', 'registry')").groupBy("stem").agg(F.max("text").alias("text")).collect()}  # two notes
+    note = lambda name: named_in(raw, docs.where((F.col("folder") == "index") & (F.col("stem") == name)).select("text")).withColumn(name, F.lit(True))
     has = summary_exists(docs).withColumn("has", F.lit(True))
-    yes = lambda c: F.when(c, "yes").otherwise("NO")
-    return raw.join(has, "stem", "left").select("stem", yes(F.coalesce("has", F.lit(False))).alias("summary"), yes(F.contains(F.lit(texts.get("registry", "")), F.col("stem"))).alias("registry"), yes(F.contains(F.lit(texts.get("log", "")), F.col("stem"))).alias("log"))
+    yes = lambda c: F.when(F.coalesce(c, F.lit(False)), "yes").otherwise("NO")
+    joined = raw.join(has, "stem", "left").join(note("registry"), "stem", "left").join(note("log"), "stem", "left")
+    return joined.select("stem", yes(F.col("has")).alias("summary"), yes(F.col("registry")).alias("registry"), yes(F.col("log")).alias("log"))
+
+
+def notes_checked(docs: DataFrame) -> int:
+    """R2: how many distinct stems a lint looks at."""
+    return targets(docs).count()
+
+
+def check(docs: DataFrame, stamped: str | None, installed: str) -> DataFrame:
+    """One row (findings, todos, notes, drift, exit_status): 1 if there is a finding, a TODO marker or another framework version than stamped; no stamp is no drift."""
+    counted = findings(docs).agg(F.count_if(F.col("check") != "todo").alias("findings"), F.count_if(F.col("check") == "todo").alias("todos"))
+    drift = F.lit(stamped is not None and stamped != installed)
+    failed = (F.col("findings") > 0) | (F.col("todos") > 0) | drift
+    return counted.select("findings", "todos", F.lit(notes_checked(docs)).cast("long").alias("notes"), drift.alias("drift"), F.when(failed, 1).otherwise(0).alias("exit_status"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -96,3 +98,20 @@ def missing_vectors(chunks: DataFrame, vectors: DataFrame, key: str) -> DataFram
 def by_index(requested: DataFrame, returned: DataFrame) -> DataFrame:
     """Vectors mapped back by position; null where one is missing."""
     return requested.join(returned, "index", "left")
+
+
+def get(docs: DataFrame, key: str, value) -> DataFrame:  # noqa: ANN001
+    """V4: the document with an id; the filter reaches the scan. None or several are errors."""
+    found = docs.where(F.col(key) == F.lit(value))
+    n = found.limit(2).count()
+    if n != 1:
+        raise KeyError(f"{n or 'no'} document{'s' if n else ''} with {key} {value!r}")
+    return found
+
+
+def search(docs: DataFrame, key: str, text: str, query: list[str], k: int, vector: str | None = None, embed: Callable[[list[str]], list[float]] | None = None) -> DataFrame:
+    """V3, V7: keyword search alone where no model is given; with one, both rankings fused. A model that fails fails the query: nothing is left out silently."""
+    words = bm25(docs, key, text, query, k)
+    if embed is None:
+        return words
+    return fuse([words, vector_search(docs, key, vector, embed(query), k)], key, k)

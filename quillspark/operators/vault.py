@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,3 +57,25 @@ def accepted_text(text: Column, primary: Column, secondary: Column, trust: Colum
 def write_back(question: Column, answer: Column) -> Column:
     """An answer kept as a note of type analysis."""
     return F.concat(F.lit("---\ntitle: "), yaml_quoted(question), F.lit("\ntype: analysis\n---\n\n"), answer)
+
+
+def scaffold(owned: DataFrame, scaffold_only: DataFrame, existing: DataFrame) -> DataFrame:
+    """(path, tier) that a new vault lays down: the owned paths, then those of the scaffold alone; an error where the folder holds anything."""
+    if not existing.isEmpty():
+        raise FileExistsError("the vault exists and isn't empty")
+    return owned.select("path", F.lit("owned").alias("tier")).unionAll(scaffold_only.select("path", F.lit("scaffold_only").alias("tier")))
+
+
+#: Fixed values, the collections that are searched, with the folders they hold; tests are left out on purpose.
+COLLECTIONS = {"sources": "raw", "concepts": "wiki", "indices": "index"}
+
+
+def register_collections(docs: DataFrame, run: Callable[[str, DataFrame], bool] | None = None) -> DataFrame:
+    """(collection, folder, docs) of what is registered; ``run`` takes each collection's name and documents, and the first that it refuses is an error."""
+    top = F.regexp_extract("folder", "^([^/]*)", 1)
+    table = F.create_map(*[F.lit(x) for name, folder in COLLECTIONS.items() for x in (folder, name)])
+    known = docs.withColumn("collection", F.try_element_at(table, top)).where("collection IS NOT NULL")
+    for name in COLLECTIONS if run else ():
+        if not run(name, known.where(F.col("collection") == name)):
+            raise RuntimeError(f"registering {name} failed")
+    return known.groupBy("collection", top.alias("folder")).agg(F.count("*").alias("docs"))

@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from quillspark.plans import corpus_queries, quality_queries, vault_queries  # noqa: F401
+from quillspark.plans import command_queries, corpus_queries, quality_queries, vault_queries  # noqa: F401

@@ -229,9 +229,9 @@ def review_stratified(spark, sf):
     return classify.stratified(_t(spark, sf, "documents").select("doc_id", "source"), "doc_id", "source")
 
 
-@register("filt_hex_ratio", "SELECT doc_id, round(length(regexp_replace(text, '[^0-9A-Fa-f]', '', 'g')) / length(text), 4) AS hex_ratio, round(length(regexp_replace(text, '[^0-9]', '', 'g')) / length(text), 4) AS digit_share FROM documents WHERE text <> ''")
+@register("filt_hex_ratio", "SELECT doc_id, CASE WHEN length(text) > 0 THEN round(length(regexp_replace(text, '[^0-9A-Fa-f]', '', 'g')) / length(text), 4) ELSE 0.0 END AS hex_ratio, CASE WHEN length(text) > 0 THEN round(length(regexp_replace(text, '[^0-9]', '', 'g')) / length(text), 4) ELSE 0.0 END AS digit_share FROM documents")
 def filt_hex_ratio(spark, sf):
-    d = _t(spark, sf, "documents").where("text <> ''")
+    d = _t(spark, sf, "documents")
     return d.select("doc_id", filters.char_share(F.col("text"), "0-9A-Fa-f").alias("hex_ratio"), filters.char_share(F.col("text"), "0-9").alias("digit_share"))
 
 
@@ -240,9 +240,9 @@ def filt_audit_sample(spark, sf):
     return _t(spark, sf, "documents").where(filters.audited(F.col("doc_id"), 5)).select("doc_id")
 
 
-@register("filt_whole_json", "SELECT event_id, json_valid(props) AND regexp_matches(props, '^\\s*[\\[{]') AS is_json FROM events WHERE props IS NOT NULL")
+@register("filt_whole_json", "SELECT event_id, coalesce(json_valid(props) AND regexp_matches(props, '^\\s*[\\[{]'), false) AS is_json FROM events")
 def filt_whole_json(spark, sf):
-    return _t(spark, sf, "events").where("props IS NOT NULL").select("event_id", filters.is_json(F.col("props")).alias("is_json"))
+    return _t(spark, sf, "events").select("event_id", filters.is_json(F.col("props")).alias("is_json"))
 
 
 _GUID = "123e4567-e89b-12d3-a456-426614174000"
@@ -271,7 +271,16 @@ def filt_routing(spark, sf):
     return j.select("doc_id", filters.routing(gated, v, F.col("doc_id") % 13 == 0).alias("route"))
 
 
-@register("filt_evidence")
+_LINES = "[l FOR l IN string_split_regex(text, '\\r\\n|[\\n\\r\\x0B\\x0C\\x1C-\\x1E\\x{85}\\x{2028}\\x{2029}]') IF trim(l, ' ' || chr(9)) <> '']"
+
+
+@register("filt_evidence", f"""WITH l AS (SELECT doc_id, text, length(text) AS n, {_LINES} AS ls FROM documents),
+    m AS (SELECT *, len([x FOR x IN ls IF length(x) - length(replace(x, '|', '')) >= 2]) AS rows, len([x FOR x IN ls IF starts_with(ltrim(x, ' '), '#')]) AS heads, list_sum([length(x) FOR x IN regexp_extract_all(text, '\\p{{Lu}}[^.!?\\n]{{20,}}[.!?]')]) AS prose FROM l)
+    SELECT doc_id, CASE WHEN n > 0 THEN round(length(regexp_replace(text, '[^0-9A-Fa-f]', '', 'g')) / n, 4) ELSE 0.0 END AS hex_char_ratio, CASE WHEN n > 0 THEN round(length(regexp_replace(text, '[^0-9]', '', 'g')) / n, 4) ELSE 0.0 END AS digit_share,
+    CASE WHEN len(ls) > 0 THEN round(rows / len(ls), 4) ELSE 0.0 END AS table_row_share, CASE WHEN n > 0 THEN round(len(regexp_extract_all(text, '\\[[^\\]]*\\]\\(|https?://')) / n * 1000, 3) ELSE 0.0 END AS links_per_kchar,
+    CASE WHEN len(ls) > 0 THEN round(heads / len(ls), 4) ELSE 0.0 END AS heading_share, CAST(len(regexp_extract_all(text, '\\{{[a-zA-Z][\\w-]*(?::[^}}]*)?\\}}|<ac:')) AS DOUBLE) AS macro_count,
+    CASE WHEN n > 0 THEN round(len(regexp_extract_all(text, '\\x{{FFFD}}|Ã[\\x{{80}}-\\x{{BF}}]|â€')) / n * 1000, 3) ELSE 0.0 END AS mojibake_per_kchar, CAST(regexp_matches(substr(text, 1, 200), '(?i)\\b(archived?|deprecated|obsolete)\\b') AS INT)::DOUBLE AS archived,
+    CASE WHEN n > 0 THEN round(coalesce(prose, 0) / n, 4) ELSE 0.0 END AS prose_density FROM m""")
 def filt_evidence(spark, sf):
     return _t(spark, sf, "documents").select("doc_id", F.col("text")).select("doc_id", *[c.alias(k) for k, c in filters.measures(F.col("text")).items()])
 
@@ -282,7 +291,7 @@ def filt_whole_xml(spark, sf):
 
 
 @register("eval_contamination", """WITH d AS (SELECT doc_id, ' ' || array_to_string([w FOR w IN string_split_regex(lower(text), '\\s+') IF w <> ''], ' ') || ' ' AS t FROM documents), b AS (SELECT item_id, [w FOR w IN string_split_regex(lower(text), '\\s+') IF w <> ''] AS ws FROM benchmark)
-    SELECT doc_id, item_id FROM d JOIN b ON len(ws) >= 5 AND contains(d.t, ' ' || array_to_string(ws, ' ') || ' ')""")
+    SELECT doc_id, item_id FROM d JOIN b ON len(ws) >= 1 AND contains(d.t, ' ' || array_to_string(ws, ' ') || ' ')""")
 def eval_contamination(spark, sf):
     return grading.contaminated(_t(spark, sf, "documents"), _t(spark, sf, "benchmark"))
 

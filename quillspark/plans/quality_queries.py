@@ -20,7 +20,12 @@ def _measured(name: str, columns: dict[str, str]):
     return q
 
 
-def _detector(name: str, columns: dict[str, str], oracle: str | None) -> None:
+#: The detectors' twins, for those of the census.
+_DETECTED: dict[str, str] = {}
+
+
+def _detector(name: str, columns: dict[str, str], oracle: str) -> None:
+    _DETECTED[name] = oracle
     register(f"det_{name}", oracle)(_measured(name, columns))
 
 
@@ -40,8 +45,20 @@ _detector(
     SELECT doc_id, coalesce(n >= 5 AND f / n >= 0.02, false) AS fired, CAST(coalesce(n, 0) AS BIGINT) AS lines_total, CAST(coalesce(p, 0) AS BIGINT) AS lines_leading_period, CAST(coalesce(q, 0) AS BIGINT) AS lines_mirrored_parens, CAST(coalesce(d, 0) AS BIGINT) AS dates_reversed, CAST(coalesce(f, 0) AS BIGINT) AS lines_flagged FROM docs LEFT JOIN s ON key = doc_id""",
 )
 _detector("rtl_bidi_controls", {"control_count": "long", "controls_per_kchar": "double"}, f"WITH {DEFECTS_SQL}, c AS (SELECT doc_id, length(text) AS z, len(regexp_extract_all(text, '[\\x{{200E}}\\x{{200F}}\\x{{202A}}-\\x{{202E}}\\x{{2066}}-\\x{{2069}}]')) AS n FROM docs) SELECT doc_id, n > 0 AS fired, CAST(n AS BIGINT) AS control_count, CASE WHEN z > 0 THEN round(n / z * 1000, 3) ELSE 0.0 END AS controls_per_kchar FROM c")
-_detector("binary_magic_bytes", {"byte_size": "long", "ooxml": "long"}, f"WITH {DEFECTS_SQL} SELECT doc_id, starts_with(text, 'PK' || chr(3) || chr(4)) OR starts_with(text, '%PDF-') OR starts_with(text, 'BM') OR starts_with(text, 'GIF8') OR starts_with(text, 'OggS') OR starts_with(text, 'Rar!' || chr(26) || chr(7)) AS fired, CAST(strlen(text) AS BIGINT) AS byte_size, CAST(0 AS BIGINT) AS ooxml FROM docs")
-_detector("binary_byte_ratio", {"nul_bytes": "long", "decodable": "long", "control_chars": "long", "control_share": "double"}, f"WITH {DEFECTS_SQL}, c AS (SELECT doc_id, length(text) AS z, len(regexp_extract_all(text, '[\\x01-\\x08\\x0b\\x0c\\x0e-\\x1f]')) AS n FROM docs) SELECT doc_id, CASE WHEN z > 0 THEN n / z >= 0.02 ELSE false END AS fired, CAST(0 AS BIGINT) AS nul_bytes, CAST(1 AS BIGINT) AS decodable, CAST(n AS BIGINT) AS control_chars, CASE WHEN z > 0 THEN round(n / z, 4) ELSE 0.0 END AS control_share FROM c")
+_SIGNATURES = " OR ".join(f"starts_with(h, '{sig}')" for sig, _ in detectors.MAGIC)
+_detector(
+    "binary_magic_bytes",
+    {"byte_size": "long", "ooxml": "long"},
+    f"""WITH {DEFECTS_SQL}, x AS (SELECT doc_id, hex(raw) AS h, octet_length(raw) AS z FROM docs)
+    SELECT doc_id, {_SIGNATURES} OR (starts_with(h, '52494646') AND substr(h, 17, 8) = '57415645') AS fired, CAST(z AS BIGINT) AS byte_size, CAST((starts_with(h, '504B0304') AND contains(substr(h, 1, 8192), hex(encode('[Content_Types].xml'))))::INT AS BIGINT) AS ooxml FROM x""",
+)
+_detector(
+    "binary_byte_ratio",
+    {"nul_bytes": "long", "decodable": "long", "control_chars": "long", "control_share": "double"},
+    f"""WITH {DEFECTS_SQL}, x AS (SELECT doc_id, length(text) AS z, try(decode(raw)) IS NOT NULL AS ok, len([b FOR b IN regexp_extract_all(hex(raw), '..') IF b = '00']) AS nuls, len(regexp_extract_all(text, '[\\x01-\\x08\\x0b\\x0c\\x0e-\\x1f]')) AS c FROM docs),
+    y AS (SELECT *, CASE WHEN ok THEN c ELSE 0 END AS n FROM x)
+    SELECT doc_id, nuls > 0 OR NOT ok OR CASE WHEN z > 0 THEN n / z >= 0.02 ELSE false END AS fired, CAST(nuls AS BIGINT) AS nul_bytes, CAST(ok::INT AS BIGINT) AS decodable, CAST(n AS BIGINT) AS control_chars, CASE WHEN z > 0 THEN round(n / z, 4) ELSE 0.0 END AS control_share FROM y""",
+)
 _detector("base64_data_uri", {"blob_count": "long", "blob_chars": "long", "decoded_images": "long"}, f"WITH {DEFECTS_SQL}, c AS (SELECT doc_id, regexp_extract_all(text, 'data:([\\w.+-]+/[\\w.+-]+);base64,([A-Za-z0-9+/=\\s]{{40,}})', 2) AS b FROM docs) SELECT doc_id, len(b) > 0 AS fired, CAST(len(b) AS BIGINT) AS blob_count, CAST(coalesce(list_sum([length(x) FOR x IN b]), 0) AS BIGINT) AS blob_chars, CAST(len([x FOR x IN b IF length(regexp_replace(x, '\\s', '', 'g')) % 4 = 0 AND starts_with(x, 'iVBORw0KGgo')]) AS BIGINT) AS decoded_images FROM c")
 _detector("base64_bare_blob", {"blob_count": "long", "decodable_blobs": "long", "blob_chars": "long"}, f"WITH {DEFECTS_SQL}, c AS (SELECT doc_id, regexp_extract_all(text, '[A-Za-z0-9+/]{{512,}}={{0,2}}') AS b FROM docs) SELECT doc_id, len(b) > 0 AS fired, CAST(len(b) AS BIGINT) AS blob_count, CAST(len([x FOR x IN b IF length(x) % 4 = 0]) AS BIGINT) AS decodable_blobs, CAST(coalesce(list_sum([length(x) FOR x IN b]), 0) AS BIGINT) AS blob_chars FROM c")
 _detector("image_placeholder", {"placeholder_count": "long"}, _CL + ", s AS (SELECT key, sum(len(regexp_extract_all(line, '<!--\\s*(image|formula-not-decoded)\\s*-->'))) AS n FROM cl GROUP BY key) SELECT doc_id, coalesce(n, 0) > 0 AS fired, CAST(coalesce(n, 0) AS BIGINT) AS placeholder_count FROM docs LEFT JOIN s ON key = doc_id")
@@ -74,7 +91,7 @@ _detector(
     SELECT doc_id, coalesce(w > 12 OR b > 0, false) AS fired, CAST(coalesce(n, 0) AS BIGINT) AS table_blocks, CAST(coalesce(w, 0) AS BIGINT) AS max_columns, CAST(coalesce(b, 0) AS BIGINT) AS empty_header_rows FROM docs LEFT JOIN s ON s.key = doc_id LEFT JOIN e ON e.key = doc_id""",
 )
 _detector("split_opens_midsentence", {"starts_punctuation": "long", "starts_lowercase": "long"}, _CL + ", f AS (SELECT key, arg_min(trim(line), line_no) AS x FROM cl WHERE trim(line) <> '' GROUP BY key) SELECT doc_id, coalesce(regexp_matches(x, '^[,;:)\\]}\\x{05BE}]') OR regexp_matches(x, '^\\p{Ll}'), false) AS fired, CAST(coalesce(regexp_matches(x, '^[,;:)\\]}\\x{05BE}]'), false)::INT AS BIGINT) AS starts_punctuation, CAST(coalesce(regexp_matches(x, '^\\p{Ll}'), false)::INT AS BIGINT) AS starts_lowercase FROM docs LEFT JOIN f ON key = doc_id")
-_detector("split_no_title", {"has_heading": "long", "has_frontmatter_title": "long"}, _CL + ", f AS (SELECT key, line, row_number() OVER (PARTITION BY key ORDER BY line_no) AS r FROM cl WHERE trim(line) <> ''), g AS (SELECT key, bool_or(r <= 3 AND starts_with(ltrim(line), '#')) AS h FROM f GROUP BY key) SELECT doc_id, NOT (coalesce(h, false) OR doc_id % 12 = 6) AS fired, CAST(coalesce(h, false)::INT AS BIGINT) AS has_heading, CAST((doc_id % 12 = 6)::INT AS BIGINT) AS has_frontmatter_title FROM docs LEFT JOIN g ON key = doc_id")
+_detector("split_no_title", {"has_heading": "long", "has_frontmatter_title": "long"}, _CL + ", f AS (SELECT key, line, row_number() OVER (PARTITION BY key ORDER BY line_no) AS r FROM cl WHERE trim(line) <> ''), g AS (SELECT key, bool_or(r <= 3 AND starts_with(ltrim(line), '#')) AS h FROM f GROUP BY key), t AS (SELECT doc_id, regexp_matches(text, '^---\\n(?:[^\\n]*\\n)*?title:[^\\n]*[^\\s\\n][^\\n]*\\n(?:[^\\n]*\\n)*?---\\n') AS ti FROM docs) SELECT doc_id, NOT (coalesce(h, false) OR ti) AS fired, CAST(coalesce(h, false)::INT AS BIGINT) AS has_heading, CAST(ti::INT AS BIGINT) AS has_frontmatter_title FROM t LEFT JOIN g ON key = doc_id")
 
 
 def _image_files(d):
@@ -86,41 +103,66 @@ def _census(spark, sf):
     return detectors.census(d, _image_files(d))
 
 
-@register("det_image_broken_ref", _CL + """, r AS (SELECT key, unnest(regexp_extract_all(line, '!\\[[^\\]]*\\]\\(\\s*([^)\\s]+)', 1)) AS t FROM cl), q AS (SELECT key, t FROM r WHERE NOT regexp_matches(t, '(?i)^(https?:|data:|#|mailto:)')),
+_BROKEN = _CL + """, r AS (SELECT key, unnest(regexp_extract_all(line, '!\\[[^\\]]*\\]\\(\\s*([^)\\s]+)', 1)) AS t FROM cl), q AS (SELECT key, t FROM r WHERE NOT regexp_matches(t, '(?i)^(https?:|data:|#|mailto:)')),
     s AS (SELECT key, count(*) AS n, count(*) FILTER (WHERE 'docs/d' || CAST(key % 3 AS VARCHAR) || '/' || t NOT IN (SELECT 'docs/d' || CAST(s.doc_id % 3 AS VARCHAR) || '/pics/a.png' FROM docs s WHERE s.doc_id % 3 = 1)) AS bad FROM q GROUP BY key)
-    SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS ref_count, CAST(coalesce(bad, 0) AS BIGINT) AS broken_count FROM docs LEFT JOIN s ON key = doc_id""")
+    SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS ref_count, CAST(coalesce(bad, 0) AS BIGINT) AS broken_count FROM docs LEFT JOIN s ON key = doc_id"""
+
+
+@register("det_image_broken_ref", _BROKEN)
 def det_image_broken_ref(spark, sf):
     d = defects(spark, sf)
     return detectors.broken_images(d, _image_files(d)).select("doc_id", "ref_count", "broken_count")
 
 
-@register("det_split_length_outlier", f"WITH {DEFECTS_SQL}, s AS (SELECT strlen(text) AS z, row_number() OVER (ORDER BY strlen(text)) - 1 AS r, count(*) OVER () AS n FROM docs), p AS (SELECT max(z) FILTER (WHERE r = round_even(0.95 * (n - 1), 0)) AS p95 FROM s) SELECT doc_id, length(text) < 200 OR length(text) > 3 * p95 AS fired, CAST(length(text) AS BIGINT) AS char_count FROM docs, p")
+_LENGTHS = f"WITH {DEFECTS_SQL}, s AS (SELECT octet_length(raw) AS z, row_number() OVER (ORDER BY octet_length(raw)) - 1 AS r, count(*) OVER () AS n FROM docs), p AS (SELECT max(z) FILTER (WHERE r = round_even(0.95 * (n - 1), 0)) AS p95 FROM s) SELECT doc_id, length(text) < 200 OR length(text) > 3 * p95 AS fired, CAST(length(text) AS BIGINT) AS char_count FROM docs, p"
+
+
+@register("det_split_length_outlier", _LENGTHS)
 def det_split_length_outlier(spark, sf):
     return detectors.length_outliers(defects(spark, sf)).select("doc_id", "fired", F.col("measures")["char_count"].cast("long").alias("char_count"))
 
 
-@register("census_fire_counts")
+_FINDINGS = "f AS (" + " UNION ALL ".join(
+    f"SELECT doc_id, '{name}' AS detector, '{detectors.REGISTRY[name].route}' AS route, fired FROM ({sql})" for name, sql in _DETECTED.items()
+) + f" UNION ALL SELECT doc_id, 'image_broken_ref', 'reconvert', broken_count > 0 FROM ({_BROKEN}) UNION ALL SELECT doc_id, 'split_length_outlier', 'resplit', fired FROM ({_LENGTHS}))"
+
+
+@register("census_fire_counts", f"WITH {_FINDINGS} SELECT detector, CAST(count(*) FILTER (WHERE fired) AS BIGINT) AS fired, round(count(*) FILTER (WHERE fired) / count(*), 4) AS share FROM f GROUP BY detector")
 def census_fire_counts(spark, sf):
     return detectors.fire_counts(_census(spark, sf))
 
 
-@register("census_routes")
+@register("census_routes", f"WITH {_FINDINGS} SELECT route, CAST(count(DISTINCT doc_id) AS BIGINT) AS docs FROM f WHERE fired AND route <> 'none' GROUP BY route")
 def census_routes(spark, sf):
     return detectors.route_totals(_census(spark, sf))
 
 
-@register("census_cooccurrence")
+@register("census_cooccurrence", f"WITH {_FINDINGS} SELECT a.detector AS a, b.detector AS b, CAST(count(*) AS BIGINT) AS n FROM f a JOIN f b USING (doc_id) WHERE a.fired AND b.fired AND a.detector < b.detector GROUP BY ALL ORDER BY n DESC, a, b LIMIT 25")
 def census_cooccurrence(spark, sf):
     return detectors.cooccurrence(_census(spark, sf))
 
 
-@register("recon_accept")
+@register("recon_accept", f"WITH {_FINDINGS}, s AS (SELECT doc_id, count(*) AS old, count(*) FILTER (WHERE detector <> 'split_no_title') AS new FROM f WHERE fired GROUP BY doc_id) SELECT doc_id, new < old AS accepted FROM s")
 def recon_accept(spark, sf):
     old = _census(spark, sf)
     new = old.withColumn("fired", F.col("fired") & (F.col("detector") != "split_no_title"))
     return detectors.accept_reconversion(new, old)
 
 
+@register("detector_registry", "SELECT * FROM (VALUES " + ", ".join(f"('{d.name}', '{d.route}', {d.version}, CAST({float(d.threshold)} AS DOUBLE))" for d in (*detectors.REGISTRY.values(), *detectors.CORPUS_DETECTORS)) + ") t(detector, route, version, threshold)")
+def detector_registry(spark, sf):
+    return detectors.registry_table(spark)
+
+
+@register("census_samples", _CL + f""", w AS ({_FINDINGS.removeprefix("f AS (")[:-1]}), p AS (SELECT detector, doc_id, row_number() OVER (PARTITION BY detector ORDER BY doc_id) AS pick FROM w WHERE fired),
+    l AS (SELECT key, substr(trim(line, ' ' || chr(9)), 1, 120) AS x, row_number() OVER (PARTITION BY key ORDER BY line_no) AS r FROM cl WHERE trim(line, ' ' || chr(9)) <> ''),
+    t AS (SELECT key, string_agg(x, chr(10) ORDER BY r) AS samples FROM l WHERE r <= 3 GROUP BY key)
+    SELECT detector, doc_id, coalesce(samples, '') AS samples FROM p LEFT JOIN t ON key = doc_id WHERE pick <= 5""")
+def census_samples(spark, sf):
+    d = defects(spark, sf)
+    return detectors.samples(detectors.census(d, _image_files(d)), d).select("detector", "doc_id", F.array_join("samples", "\n").alias("samples"))
+
+
 @register("repair_char_runs")
 def repair_char_runs(spark, sf):
     return repair.reverse_runs(defects(spark, sf)).select("doc_id", "repaired", "healed")

@@ -52,12 +52,20 @@ DEFECT_TEXT = (
 )
 
 
+
+
+def _raw(blob, text: str) -> str:  # noqa: ANN001
+    """Bytes of the files: those of the text, with NULs, bytes that are no UTF-8, and the leading bytes of other types."""
+    parts = {11: (text, blob("000041")), 20: (blob("504B0304"), text), 23: (blob("504B0304" + b"[Content_Types].xml".hex().upper()), text), 14: (text, blob("FF")), 15: (blob("89504E470D0A1A0A"), text), 16: (blob("1F8B08"), text), 17: (blob("524946460000000057415645"), text), 18: (blob("255044462D"), text)}
+    return "CASE doc_id % 24 " + " ".join(f"WHEN {k} THEN {a} || {b}" for k, (a, b) in parts.items()) + f" ELSE {text} END"
+
+
 def defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", f"{DEFECT_TEXT} AS text")
-    return docs.selectExpr("doc_id", "text", "CAST(text AS BINARY) AS raw", "'docs/d' || CAST(doc_id % 3 AS STRING) || '/' || CAST(doc_id AS STRING) || '.md' AS path")
+    return docs.selectExpr("doc_id", "text", f"{_raw(lambda h: f"X'{h}'", 'CAST(text AS BINARY)')} AS raw", "'docs/d' || CAST(doc_id % 3 AS STRING) || '/' || CAST(doc_id AS STRING) || '.md' AS path")
 
 
-DEFECTS_SQL = f"docs AS (SELECT doc_id, {DEFECT_TEXT} AS text FROM documents)"
+DEFECTS_SQL = f"docs_t AS (SELECT doc_id, {DEFECT_TEXT} AS text FROM documents), docs AS (SELECT doc_id, text, {_raw(lambda h: f"unhex('{h}')", 'encode(text)')} AS raw FROM docs_t)"
 
 
 def content_lines_sql(table: str, key: str) -> str:

@@ -150,13 +150,13 @@ def html_to_text(spark, sf):
 @register(
     "md_to_html",
     f"""WITH {NOTES_SQL},
-    a AS (SELECT doc_id, replace(replace(replace(replace(replace(substr(text, strpos(text, chr(10) || '---' || chr(10)) + 5), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') AS x FROM notes WHERE doc_id >= 0),
+    a AS (SELECT doc_id, replace(replace(replace(replace(replace(CASE WHEN starts_with(text, '---') THEN substr(text, strpos(text, chr(10) || '---' || chr(10)) + 5) ELSE text END, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') AS x FROM notes),
     b AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(x, '(?m)^### (.+)$', '<h3>\\1</h3>', 'g'), '(?m)^## (.+)$', '<h2>\\1</h2>', 'g'), '(?m)^# (.+)$', '<h1>\\1</h1>', 'g') AS x FROM a),
     c AS (SELECT doc_id, regexp_replace(regexp_replace(x, '\\*\\*(.+?)\\*\\*', '<strong>\\1</strong>', 'g'), '(?s)```(.*?)```', '<pre>\\1</pre>', 'g') AS x FROM b)
     SELECT doc_id, '<p>' || regexp_replace(x, '\\n\\n+', '</p><p>', 'g') || '</p>' AS html FROM c""",
 )
 def md_to_html(spark, sf):
-    return notes(spark, sf).where("doc_id >= 0").select("doc_id", X.markdown_html(M.body(F.col("text"))).alias("html"))
+    return notes(spark, sf).select("doc_id", X.markdown_html(M.body(F.col("text"))).alias("html"))
 
 
 @register("chunk_store_path", "SELECT doc_id, 'store/' || substr(sha256(text), 1, 2) || '/' || sha256(text) || '.md' AS path, CAST(greatest(1, length(text) // 4) AS BIGINT) AS tokens FROM documents")
@@ -171,7 +171,7 @@ _HEADS = """hd_s AS (SELECT doc_id, text, string_split_regex(text, '\\r\\n|[\\n\
     hd_f AS (SELECT doc_id, line, n, starts_with(trim(line), '```') AS fence, sum(CASE WHEN starts_with(trim(line), '```') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY n) AS k FROM hd_l),
     hd AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT fence AND k % 2 = 0 AND starts_with(ltrim(line), '#')), '') AS heads,
            coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE fence OR k % 2 = 1 OR NOT starts_with(ltrim(line), '#')), '') AS prose FROM hd_f GROUP BY doc_id)"""
-_BODY = f"WITH {NOTES_SQL}, b AS (SELECT doc_id, substr(text, strpos(text, chr(10) || '---' || chr(10)) + 5) AS text FROM notes WHERE doc_id >= 0)"
+_BODY = f"WITH {NOTES_SQL}, b AS (SELECT doc_id, CASE WHEN starts_with(text, '---') THEN substr(text, strpos(text, chr(10) || '---' || chr(10)) + 5) ELSE text END AS text FROM notes)"
 
 
 @register(
@@ -183,13 +183,13 @@ _BODY = f"WITH {NOTES_SQL}, b AS (SELECT doc_id, substr(text, strpos(text, chr(1
     SELECT doc_id, CASE WHEN length(text) > 1600 - room AND cut > 0 THEN substr(part, 1, length(part) - 400 + cut + 1) ELSE part END || CASE WHEN room > 0 THEN chr(10) || chr(10) || '## Outline' || chr(10) || substr(heads, 1, room) ELSE '' END AS chunk FROM c""",
 )
 def chunk_first_window(spark, sf):
-    b = notes(spark, sf).where("doc_id >= 0").select("doc_id", M.body(F.col("text")).alias("b"))
+    b = notes(spark, sf).select("doc_id", M.body(F.col("text")).alias("b"))
     return b.select("doc_id", chunking.first_window(F.col("b"), chunking.check_window(400)).alias("chunk"))
 
 
 @register("chunk_header_aware", f"{_BODY}, {_HEADS} SELECT doc_id, substr(heads, 1, 533) || chr(10) || chr(10) || substr(prose, 1, 1600 - length(substr(heads, 1, 533))) AS chunk FROM hd")
 def chunk_header_aware(spark, sf):
-    b = notes(spark, sf).where("doc_id >= 0").select("doc_id", M.body(F.col("text")).alias("b"))
+    b = notes(spark, sf).select("doc_id", M.body(F.col("text")).alias("b"))
     return b.select("doc_id", chunking.header_aware(F.col("b"), 400).alias("chunk"))
 
 
@@ -199,9 +199,9 @@ def chunk_index(spark, sf):
     return d.select("doc_id", F.explode(chunking.index_chunks(F.col("text"), 100, 10)).alias("c")).select("doc_id", F.col("c.pos").cast("long").alias("pos"), "c.chunk")
 
 
-@register("char_tokens", "SELECT doc_id, CAST(len(regexp_extract_all(text, '(?s).{1,4}')) AS BIGINT) AS n, regexp_extract_all(text, '(?s).{1,4}')[-1] AS last FROM documents WHERE text <> ''")
+@register("char_tokens", "SELECT doc_id, CAST(len(regexp_extract_all(text, '(?s).{1,4}')) AS BIGINT) AS n, regexp_extract_all(text, '(?s).{1,4}')[-1] AS last FROM documents")
 def char_tokens(spark, sf):
-    d = spark.read.parquet(f"{sf}/documents.parquet").where("text <> ''")
+    d = spark.read.parquet(f"{sf}/documents.parquet")
     t = X.char_tokens(F.col("text"))
     return d.select("doc_id", F.size(t).cast("long").alias("n"), F.try_element_at(t, F.lit(-1)).alias("last"))
 

@@ -114,7 +114,7 @@ def test_detectors(spark):
     assert _finding(spark, "%PDF-1.4", "binary_magic_bytes")[0]
     assert _finding(spark, "", "split_no_title")[0]
     with pytest.raises(ValueError):
-        detectors.register("split_no_title", "none")(lambda: None)
+        detectors.register("split_no_title", "none", dict)(lambda v, t: None)
 
 
 def test_census_has_all_detectors(spark, sf_dir):
