@@ -15,7 +15,8 @@ its rarest.  The steps:
 4. a proposal stands if every shingle of the window is hit at its own position,
    which is exact as the hits' words were compared.
 
-The benchmark side is broadcast only below ``BROADCAST_ROWS`` rows.
+The benchmark side is broadcast only below ``BROADCAST_BYTES``; a larger one meets
+the documents' hashes by a shuffle, and only hits are then held against the words.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.common import kept, named, refuse_clashes, stored, text_key
 
-#: Rows of (hash, number, words) that are broadcast at most; more are joined by shuffling.
-BROADCAST_ROWS = 200_000
+#: Bytes of the benchmark's shingles that are broadcast at most; more are joined by shuffling.
+BROADCAST_BYTES = 32 << 20
 #: Words of a shingle; fewer in windows that are shorter.
 SHINGLE = 5
 #: Fixed pattern of a word, after A-Z were lower-cased.
@@ -65,7 +66,7 @@ def windows_of(items: DataFrame, window: int) -> DataFrame:
 _SELF = 0
 
 
-def contained_windows(docs: DataFrame, items: DataFrame, window: int = 13, shingle: int = SHINGLE, broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+def contained_windows(docs: DataFrame, items: DataFrame, window: int = 13, shingle: int = SHINGLE, broadcast_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, DataFrame]:
     """Occurrences (key, start, end, item) of items' windows in documents, and the documents' sizes (key, n), once each.
 
     ``docs``: key and words; ``items``: item and words.  start and end count words.
@@ -78,10 +79,10 @@ def contained_windows(docs: DataFrame, items: DataFrame, window: int = 13, shing
     parts = own.select("wid", "size", of_size.alias("k"), F.explode(F.sequence(F.lit(0), F.col("size") - of_size)).alias("off"), "words").select("wid", "size", "k", "off", F.slice("words", F.col("off") + 1, F.col("k")).alias("shingle"))
     parts = stored(parts.withColumn("hash", F.xxhash64(_hashed(F.col("shingle")))), "shingles")
     vocabulary = parts.select("k", "hash", "shingle").distinct()
-    rows = vocabulary.count()
+    size = vocabulary.agg(F.sum(F.octet_length(F.array_join("shingle", " ")) + 64)).first()[0] or 0
     kinds = sorted(r["k"] for r in vocabulary.select("k").distinct().collect())  # at most `shingle` of them
     hashed = docs.select("key", "words", _hashed(F.col("words")).alias("hashed"))
-    small = rows <= broadcast_rows
+    small = size <= broadcast_bytes
     found = None
     for k in kinds:
         side = vocabulary.where(F.col("k") == k).select("hash", F.col("shingle").alias("wanted"))
@@ -91,11 +92,16 @@ def contained_windows(docs: DataFrame, items: DataFrame, window: int = 13, shing
             each = F.posexplode(F.concat(own, _shingles(F.col("hashed"), k)))
             side = F.broadcast(side.unionByName(side.sparkSession.range(1).select(F.lit(_SELF).cast("long").alias("hash"), F.lit(None).cast("array<string>").alias("wanted"))) if k == kinds[0] else side)
         first = 1 if small and k == kinds[0] else 0
-        rows_of = hashed.select("key", "words", each.alias("pos", "hash"))
-        same = F.slice("words", F.col("pos") + 1 - first, k) == F.col("wanted")
-        if first:
-            same = F.when(F.col("pos") == 0, F.col("wanted").isNull()).otherwise(F.coalesce(same, F.lit(False)))
-        met = rows_of.join(side, "hash").where(same).select("key", F.size("words").alias("n"), (F.col("pos") - first).alias("pos"), F.lit(k).alias("k"), "hash")
+        if small:
+            rows_of = hashed.select("key", "words", each.alias("pos", "hash"))
+            same = F.slice("words", F.col("pos") + 1 - first, k) == F.col("wanted")
+            if first:
+                same = F.when(F.col("pos") == 0, F.col("wanted").isNull()).otherwise(F.coalesce(same, F.lit(False)))
+            met = rows_of.join(side, "hash").where(same).select("key", F.size("words").alias("n"), (F.col("pos") - first).alias("pos"), F.lit(k).alias("k"), "hash")
+        else:  # words stay where they are until a document's hits are known
+            hits_of = hashed.select("key", each.alias("pos", "hash")).join(side, "hash").groupBy("key").agg(F.collect_set(F.struct("pos", "hash", "wanted")).alias("hits"))
+            checked = docs.join(hits_of, "key").select("key", "words", F.explode("hits").alias("x")).where(F.slice("words", F.col("x.pos") + 1, k) == F.col("x.wanted"))
+            met = checked.select("key", F.size("words").alias("n"), F.col("x.pos").alias("pos"), F.lit(k).alias("k"), F.col("x.hash").alias("hash"))
         found = met if found is None else found.union(met)
     if not small or found is None:
         sizes = docs.select("key", F.size("words").alias("n"))

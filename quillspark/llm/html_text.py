@@ -25,14 +25,14 @@ from pyspark.sql import functions as F
 from quillspark.llm.common import batches_of, kept, kept_fields, map_batches, named, refuse_clashes, stored, with_fields
 from quillspark.llm.url_filter import host_of
 
-#: Hosts whose winning paths are broadcast at most; more are joined by shuffling.
-BROADCAST_HOSTS = 200_000
+#: Bytes of hosts and winning paths that are broadcast at most; more are joined by shuffling.
+BROADCAST_BYTES = 32 << 20
 BATCH_BYTES = 4 << 20
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)>", re.S)
 _ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea title noscript template iframe svg math object".split())
+_RAW = frozenset("script style textarea title noscript template iframe svg object".split())
 _DROPPED = frozenset("nav header footer aside form button select fieldset dialog menu".split())
 _BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul caption".split())
 _CONTAINER = frozenset("html body article main section div td center".split())
@@ -212,7 +212,7 @@ def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"host": [k[0] for k in votes], "path": [k[1] for k in votes], "votes": list(votes.values())}, schema=pa.schema([("host", pa.string()), ("path", pa.string()), ("votes", pa.int64())]))
 
 
-def extract(df: DataFrame, html_col: str = "html", url_col: str = "url", keep: list[str] | None = None, broadcast_hosts: int = BROADCAST_HOSTS) -> DataFrame:
+def extract(df: DataFrame, html_col: str = "html", url_col: str = "url", keep: list[str] | None = None, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Per row: the columns ``keep``, main_text and main_path (the path it was taken from; null without a host).
 
     Character references are decoded, white space in a block becomes one space,
@@ -229,7 +229,8 @@ def extract(df: DataFrame, html_col: str = "html", url_col: str = "url", keep: l
     counted = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
     # The least path of those with the most votes: one more aggregate, no window.
     top = stored(counted.groupBy("host").agg(F.min(F.struct((-F.col("votes")).alias("v"), "path")).alias("x")).select(F.col("host").alias("__host"), F.col("x.path").alias("main_path")), "paths")
-    side = F.broadcast(top) if top.count() <= broadcast_hosts else top
+    size = top.agg(F.sum(F.octet_length("__host") + F.octet_length("main_path") + 32)).first()[0] or 0
+    side = F.broadcast(top) if size <= broadcast_bytes else top
     joined = rows.join(side, "__host", "left").drop("__host")
     fields = kept_fields(joined)
 

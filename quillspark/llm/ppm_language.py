@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 
 from quillspark.llm.common import batches_of, kept, kept_fields, map_batches, named, refuse_clashes, utf8_buffer, with_fields
 
-#: Bound of the training sample: documents per language, each of at most so many bytes.
+#: Bound of the training sample: documents per language, and bytes of one that are read.
 SAMPLE_DOCS, SAMPLE_DOC_BYTES = 400, 20_000
-#: Languages with the most training documents that are learned.
-MAX_LANGUAGES = 64
+#: Values of the language column from which on it is an error: it can't be one of languages then. All below are learned.
+MAX_LANGUAGES = 1000
 ORDER = 4
 BATCH_BYTES = 2 << 20
 
@@ -166,31 +166,28 @@ def training_rows(doc_id: Column) -> Column:
 
 
 def sample(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> dict[str, list[bytes]]:
-    """At most ``SAMPLE_DOCS`` documents of each language, the first by a hash of their id; a bounded collect.
+    """At most ``SAMPLE_DOCS`` documents of each language, the first by a hash of their id, ``SAMPLE_DOC_BYTES`` of each; a bounded collect.
 
-    Only ids are ranked; the few texts are then read.
+    Only ids are ranked; the few texts are then read.  Of rows that share id and
+    language one is taken.  Every language with a text that has a letter is learned.
     """
-    usable = df.where(df[text_col].isNotNull() & df[lang_col].isNotNull() & (F.octet_length(df[text_col]) <= SAMPLE_DOC_BYTES) & df[text_col].rlike("\\p{L}"))
-    rows = usable.select(df[id_col].cast("long").alias("id"), df[lang_col].cast("string").alias("lang"))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()}
+    usable = df.select(df[id_col].cast("string").alias("id"), df[lang_col].cast("string").alias("lang"), df[text_col].cast("string").alias("text")).where(F.col("lang").isNotNull() & F.col("id").isNotNull() & F.coalesce(F.col("text").rlike("\\p{L}"), F.lit(False)))
+    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"{lang_col} has more than {MAX_LANGUAGES} values")
     if not counts:
         return {}
     # About four times the wanted ids of each language pass by their hash, however many rows there are; only those are ranked.
     space = 1 << 40
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(space, 4 * SAMPLE_DOCS * space // n))])
-    few = rows.where(F.pmod(F.xxhash64("id"), F.lit(space)) < F.try_element_at(share, F.col("lang"))).distinct()
-    order = W.partitionBy("lang").orderBy(F.pmod(F.xxhash64("id"), F.lit(space)), "id")
-    top = few.withColumn("k", F.row_number().over(order)).where(F.col("k") <= SAMPLE_DOCS)
-    by_lang: dict[str, set] = {}
-    for r in top.select("id", "lang").collect():
-        by_lang.setdefault(r["lang"], set()).add(r["id"])
-    ids = sorted({i for v in by_lang.values() for i in v if i is not None})
+    hashed = F.pmod(F.xxhash64("id"), F.lit(space))
+    share = F.broadcast(df.sparkSession.createDataFrame([(k, min(space, 4 * SAMPLE_DOCS * space // n)) for k, n in counts.items()], "lang string, share long"))
+    few = usable.select("id", "lang").join(share, "lang").where(hashed < F.col("share")).select("id", "lang").distinct()
+    top = few.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy(hashed, "id"))).where(F.col("k") <= SAMPLE_DOCS).select("id", "lang")
+    part = F.substring(F.col("text").cast("binary"), 1, SAMPLE_DOC_BYTES)
+    texts = usable.join(F.broadcast(top), ["id", "lang"]).groupBy("id", "lang").agg(F.min(part).alias("text"))
     out: dict[str, list[bytes]] = {}
-    if ids:
-        texts = usable.where(df[id_col].cast("long").isin(ids)).select(df[lang_col].cast("string").alias("lang"), df[text_col].cast("string").alias("text"))
-        for r in texts.limit(2 * SAMPLE_DOCS * len(counts)).collect():
-            if r["lang"] in by_lang:
-                out.setdefault(r["lang"], []).append(r["text"].encode())
+    for r in texts.collect():
+        out.setdefault(r["lang"], []).append(bytes(r["text"]))
     return {k: sorted(v) for k, v in out.items()}
 
 

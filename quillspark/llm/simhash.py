@@ -13,8 +13,10 @@ the budget any more are linked as a whole.  A key yields a spanning forest of it
 links, never all its pairs, and forests are joined into components by rounds of
 large-star / small-star, which shuffle edges only.
 
-A key with very many fingerprints is split: they are dealt into groups and every
-pair of groups is joined by a task of its own.
+A key with very many fingerprints is split by more of their bits, as the tables
+were: of the bits left, cut into blocks, pairs within the budget agree on one.  Where
+that is done twice and a key still has very many, they are dealt into groups and
+every pair of groups is joined by a task of its own.
 """
 
 from __future__ import annotations
@@ -25,13 +27,16 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import batches_of, kept, kept_fields, map_batches, named, refuse_clashes, stored, with_fields
 
-#: Fingerprints of a key that one task joins; beyond it the key is split into groups of this size.
+#: Fingerprints of a key that one task joins; beyond it the key is split by further bits, so many times, then into groups of this size.
 KEY_ROWS = 20_000
+REFINED = 2
+#: Fingerprints with the most rows, whose rows are dealt over several tasks at the end; any other has less than a thousandth of all.
+HOT_PRINTS = 1_000
 #: Node pairs that a worker expands at a time.
 FRONTIER = 1 << 18
 BATCH_BYTES = 4 << 20
@@ -167,7 +172,7 @@ def trie_join(keys: np.ndarray, groups: np.ndarray, bits: int, budget: int) -> l
     return forest.links
 
 
-def _tables(budget: int, blocks: int) -> list[tuple[np.uint64, np.uint64]]:
+def _tables(budget: int, blocks: int) -> list[tuple[int, int]]:
     """(mask of the key's bits, mask of the others) of each table."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
     masks = [((1 << edges[i + 1]) - 1) ^ ((1 << edges[i]) - 1) for i in range(blocks)]
@@ -178,6 +183,15 @@ def _tables(budget: int, blocks: int) -> list[tuple[np.uint64, np.uint64]]:
     return out
 
 
+def _refined(table: tuple[int, int], budget: int) -> list[tuple[int, int]]:
+    """Tables whose keys have one block more of the bits left: pairs within the budget agree on one of budget + 1 blocks."""
+    key, rest = table
+    bits = [i for i in range(64) if rest >> i & 1]
+    edges = [len(bits) * i // (budget + 1) for i in range(budget + 2)]
+    masks = [sum(1 << i for i in bits[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
+    return [(key | m, rest ^ m) for m in masks]
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -189,13 +203,38 @@ def fingerprint_links(fps: DataFrame, budget: int = 3, blocks: int = 4, key_rows
     """
     if blocks <= budget:
         raise ValueError("blocks must exceed the budget")
-    tables = _tables(budget, blocks)
-    filed = fps.select("fp", F.explode(F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(k))).alias("key")) for i, (k, _) in enumerate(tables)])).alias("x")).select("fp", "x.t", "x.key")
-    # Keys that need a split are few: at most (rows of the table) / key_rows of them.
-    hot = filed.groupBy("t", "key").count().where(F.col("count") > key_rows).withColumn("parts", F.ceil(F.col("count") / key_rows).cast("int")).select("t", "key", "parts")
-    own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-    pairs = F.when(F.col("parts").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: (F.least(j, own) * F.col("parts") + F.greatest(j, own)).cast("long")))
-    dealt = filed.join(hot, ["t", "key"], "left").select("t", "key", "fp", F.explode(pairs).alias("pair"))
+    tables, children, level = _tables(budget, blocks), {}, range(0)
+    level = range(len(tables))
+    for _ in range(REFINED):
+        for t in level:
+            children[t] = list(range(len(tables), len(tables) + budget + 1))
+            tables += _refined(tables[t], budget)
+        level = range(children[level[0]][0], len(tables))
+    masks = F.array(*[F.lit(_signed(k)).cast("long") for k, _ in tables])
+
+    def filed(rows: DataFrame, chosen: Column) -> DataFrame:
+        out = rows.withColumn("t", F.explode(chosen))
+        return out.select("fp", "t", F.col("fp").bitwiseAND(F.get(masks, F.col("t"))).alias("key"))
+
+    now = filed(fps.select("fp"), F.array(*[F.lit(t) for t in range(len(_tables(budget, blocks)))]))
+    done: list[DataFrame] = []
+    parts = F.lit(None).cast("int")
+    for step in range(REFINED + 1):
+        crowd = stored(now.groupBy("t", "key").count().where(F.col("count") > key_rows).withColumn("parts", F.ceil(F.col("count") / key_rows).cast("int")).select("t", "key", "parts"), "crowd")
+        if crowd.isEmpty():
+            break
+        sized = now.join(crowd, ["t", "key"], "left")
+        if step == REFINED:
+            now, parts = sized, F.col("parts")
+            break
+        done.append(sized.where("parts IS NULL").select("fp", "t", "key"))
+        below = F.array(*[F.array(*[F.lit(c) for c in children.get(t, [])]).cast("array<int>") for t in range(len(tables))])
+        now = filed(sized.where("parts IS NOT NULL").select("fp", "t"), F.get(below, F.col("t")))
+    own = F.pmod(F.xxhash64("fp"), parts).cast("int")
+    pairs = F.when(parts.isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.transform(F.sequence(F.lit(0), parts - 1), lambda j: (F.least(j, own) * parts + F.greatest(j, own)).cast("long")))
+    dealt = now.select("t", "key", "fp", F.explode(pairs).alias("pair"))
+    for rows in done:
+        dealt = dealt.unionByName(rows.withColumn("pair", F.lit(0).cast("long")))
     grouped = dealt.withColumn("group", F.xxhash64("t", "key", "pair")).repartition("group").sortWithinPartitions("group", "t", "key", "pair")
     rest_masks = [np.uint64(r) for _, r in tables]
 
@@ -204,10 +243,8 @@ def fingerprint_links(fps: DataFrame, budget: int = 3, blocks: int = 4, key_rows
 
         def joined(t: np.ndarray, key: np.ndarray, pair: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
             a_out, b_out = [], []
-            for k, mask in enumerate(rest_masks):
-                mine = t == k
-                if not mine.any():
-                    continue
+            for k in np.unique(t).tolist():
+                mine, mask = t == k, rest_masks[k]
                 f, ky, pr = fp[mine], key[mine], pair[mine]
                 # The bits outside the key, moved together, highest first.
                 rest, width = np.zeros(len(f), np.uint64), 0
@@ -287,13 +324,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     minimum (null if the component has no other id).  Empty tables give no rows.
     """
     own = stored(fingerprints(df.select(df[id_col].alias("id"), df[text_col].alias("text")), "text", ["id"], shingle, seed), "fingerprints")
-    distinct = stored(own.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
+    distinct = stored(own.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")), "distinct")
     comp = components(fingerprint_links(distinct.select("fp"), budget, blocks, key_rows))
     rooted = distinct.join(comp, distinct["fp"] == comp["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = stored(rooted, "rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    labelled = rooted.join(least, "root").select("fp", "component_id")
-    return own.join(labelled, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    # Rows of very frequent fingerprints (of blank texts, say) are dealt over several tasks.
+    often = F.broadcast(distinct.where(F.col("n") > key_rows).orderBy(F.desc("n"), "fp").limit(HOT_PRINTS).select("fp", F.ceil(F.col("n") / key_rows).cast("int").alias("parts")))
+    labelled = rooted.join(least, "root").select("fp", "component_id").join(often, "fp", "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    dealt = own.join(often, "fp", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"), F.lit(0))).drop("parts")
+    return dealt.join(labelled, ["fp", "part"]).select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op6_simhash(spark, sf_dir: str) -> DataFrame:
