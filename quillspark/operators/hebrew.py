@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from quillspark.functions.binding import let
 from quillspark.functions.shipping import ship
+from quillspark.operators.detectors import FINALS
 
-#: Letters that end a word, the margin and the least frequency of a fix.
-FINAL_FORMS = "םןךףץ"
+#: The margin and the least frequency of a fix.
 MARGIN, MIN_SCORE = 2.0, 1e-5
 TOKEN = "[\\u0590-\\u05FF]+"
 
@@ -46,7 +46,7 @@ def frequencies(dictionary: DataFrame) -> DataFrame:
 
 def word_decision(word: Column, cur: Column, rev: Column, ocr: Column, margin: float = MARGIN, min_score: float = MIN_SCORE) -> Column:
     """H2: keep, fix or ambiguous, from a word's frequency and its reversal's."""
-    final = F.substring(word, 1, 1).isin(list(FINAL_FORMS))
+    final = F.substring(word, 1, 1).isin(list(FINALS))
     own = F.when(final, F.lit(0.0)).otherwise(cur)
     return F.when(F.length(word) < 2, "keep").when(~final & ~ocr, "keep").when((rev < min_score) | (rev <= own), "keep").when((own == 0) | (rev >= own * margin), "fix").otherwise("ambiguous")
 
@@ -126,7 +126,7 @@ def _repaired(text: str | None, ocr: bool, words: dict[str, float], phrases: dic
 
     def word(m: re.Match) -> str:
         w = m[0]
-        final = w[0] in FINAL_FORMS
+        final = w[0] in FINALS
         if len(w) < 2 or not (final or ocr):
             return w
         verdict = _judge(0.0 if final else words.get(w, 0.0), words.get(w[::-1], 0.0))

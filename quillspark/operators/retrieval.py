@@ -51,13 +51,15 @@ def checked_dim(vector: Column, dim: int) -> Column:
     return F.when(F.size(vector) == dim, vector).otherwise(F.raise_error(F.lit(f"vector dimension is not {dim}")))
 
 
-def knn_self(vectors: DataFrame, key: str, vector: str, queries: Column, k: int, blocks: int = 16) -> DataFrame:
+def knn_self(vectors: DataFrame, key: str, vector: str, queries: Column, k: int, blocks: int | None = None) -> DataFrame:
     """V2 for a stated set of queries against all rows: (query, rank, neighbour, score).
 
     Rows are laid together in packs of about a thousand, dealt over blocks; a query
     meets every pack, and only its k best of each go on.
     """
-    parts = max(1, -(-vectors.count() // (blocks * 1024)))
+    n = vectors.count()
+    blocks = blocks or max(16, min(4096, n // 65_536))  # as many tasks
+    parts = max(1, -(-n // (blocks * 1024)))
     unit = vectors.select(F.col(key).alias("k"), F.transform(vector, lambda x: x.cast("double")).alias("v"))
     unit = unit.withColumn("v", F.transform("v", lambda x: x / F.sqrt(F.aggregate(F.col("v"), F.lit(0.0), lambda s, y: s + y * y))))
     q = unit.where(queries).select(F.col("k").alias("q"), F.col("v").alias("qv"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))

@@ -101,14 +101,14 @@ def _times(text: Column, word: Column) -> Column:
 def retention(pairs: DataFrame, glossary: DataFrame) -> DataFrame:
     """Q3: (doc_id, term, wanted, found): every occurrence of a term in the source needs its rendering in the target.
 
-    Terms meet the sources by their first three characters; only those are counted.
+    Terms meet the sources by their first three characters (all of a shorter term);
+    only those are counted.
     """
-    g = glossary.select("term", "english").distinct().where(F.length("term") > 0)
-    short = g.where(F.length("term") < 3)
-    if not short.isEmpty():
-        raise ValueError("glossary terms need three characters at least")
-    starts = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("source") - 2, F.lit(1))), lambda i: F.substring(F.col("source"), i, F.lit(3))))
-    met = pairs.select("doc_id", "source", "target", F.explode(starts).alias("start")).join(g.withColumn("start", F.substring("term", 1, 3)), "start")
+    g = glossary.select("term", "english").distinct().where(F.length("term") > 0).withColumn("k", F.least(F.length("term"), F.lit(3)))
+    sizes = sorted(r["k"] for r in g.select("k").distinct().collect())
+    starts = lambda k: F.when(F.length("source") >= k, F.transform(F.sequence(F.lit(1), F.length("source") - k + 1), lambda i: F.substring(F.col("source"), i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+    found = F.array_distinct(F.concat(F.array().cast("array<string>"), *[starts(k) for k in sizes]))
+    met = pairs.select("doc_id", "source", "target", F.explode(found).alias("start")).join(g.withColumn("start", F.substring(F.col("term"), F.lit(1), F.col("k"))), "start")
     counted = met.where(F.contains("source", "term")).select("doc_id", "term", _times(F.col("source"), F.col("term")).alias("wanted"), _times(F.col("target"), F.col("english")).alias("found"))
     return counted.distinct()
 

@@ -15,19 +15,19 @@ def one(spark, column):
     return spark.range(1).select(column.alias("x")).first()["x"]
 
 
-@pytest.mark.parametrize(("raw", "slug"), [("QLoRA Explained: 4-Bit!", "qlora-explained-4-bit"), ("  A__B  C ", "a-b-c"), ("Understanding Low-Rank Adapters", "understanding-low-rank-adapters")])
+@pytest.mark.parametrize(("raw", "slug"), [("Über 90% of it (v2.0)", "ber-90-of-it-v2-0"), ("--x--", "x"), ("\t Two\nlines ", "two-lines"), ("éé", ""), ("", "")])
 def test_slugify(spark, raw, slug):
     assert one(spark, X.slugify(F.lit(raw))) == slug
 
 
 def test_frontmatter(spark):
-    text = '---\ntitle: "My Note"\nauthor: Me\ntags:\n- alpha\n  - "beta"\ninline: [a, b]\nscalar: x\n- lost\n---\nBody line 1\n'
+    text = '---\nname: "Tidal charts"\nkeeper: Harbour\nports:\n- north\n  - "south"\ninline: [p, q]\nscalar: z\n- lost\n---\nHigh water at six\n'
     got = one(spark, M.frontmatter(F.lit(text)))
-    assert got == {"title": ["My Note"], "author": ["Me"], "tags": ["alpha", "beta"], "inline": ["[a, b]"], "scalar": ["x"]}
-    assert one(spark, M.body(F.lit(text))).startswith("Body line 1")
-    assert one(spark, M.frontmatter(F.lit("no front"))) == {}
-    assert one(spark, M.body(F.lit("no front"))) == "no front"
-    assert one(spark, M.frontmatter(F.lit("---\na: 1\nnever closed"))) == {}
+    assert got == {"name": ["Tidal charts"], "keeper": ["Harbour"], "ports": ["north", "south"], "inline": ["[p, q]"], "scalar": ["z"]}
+    assert one(spark, M.body(F.lit(text))).startswith("High water at six")
+    for plain in ("without any", "---\na: 1\nnever closed"):
+        assert one(spark, M.frontmatter(F.lit(plain))) == {}
+    assert one(spark, M.body(F.lit("without any"))) == "without any"
 
 
 def test_wikilinks(spark):
@@ -41,19 +41,20 @@ def test_user_zone(spark):
 
 
 def test_headers_skip_fences(spark):
-    text = "# Real\n```\n# not a header\n```\n# Also real"
-    assert one(spark, chunking.headers(F.lit(text))) == "# Real\n# Also real"
+    text = "intro\n## Tides\n```\n# in code\n```\n  ### Moons\ntext # no heading\n```\n# unclosed"
+    assert one(spark, chunking.headers(F.lit(text))) == "## Tides\n  ### Moons"
 
 
 def test_first_window(spark):
-    body = "# Title\n" + "word " * 500 + "\n## Section\n" + "content " * 300
-    chunk = one(spark, chunking.first_window(F.lit(body), 200))
-    assert "Title" in chunk and len(chunk) <= 200 * 4 + 300
+    body = "# Tides\n" + "ebb and flow. " * 200 + "\n# Moons\n" + "waxing " * 90
+    chunk = one(spark, chunking.first_window(F.lit(body), 300))
+    text, _, outline = chunk.partition("\n\n## Outline\n")
+    assert outline == "# Tides\n# Moons" and body.startswith(text) and text.endswith("flow.") and len(chunk) <= 4 * 300 + len("\n\n## Outline\n")
     with pytest.raises(ValueError):
-        chunking.check_window(100)
+        chunking.check_window(199)
 
 
-@pytest.mark.parametrize(("pages", "plan"), [(120, [50, 50, 20]), (100, [100]), (101, [50, 50, 1])])
+@pytest.mark.parametrize(("pages", "plan"), [(1, [1]), (99, [99]), (100, [100]), (150, [50, 50, 50]), (163, [50, 50, 50, 13])])
 def test_page_plan(spark, pages, plan):
     assert one(spark, chunking.page_plan(F.lit(pages))) == plan
 
