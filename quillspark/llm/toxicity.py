@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import batches_of, kept, kept_fields, map_batches, named, refuse_clashes, with_fields
+from quillspark.llm.common import batches_of, kept, kept_fields, map_batches, named, refuse_clashes, stored, with_fields
 
 #: Bounds of the fit: labelled rows that are read (about; by their ids' hash), features, bytes of a sampled text.
 SAMPLE_ROWS, MAX_FEATURES, SAMPLE_BYTES = 20_000, 4096, 200_000
@@ -150,22 +150,24 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
 
     Labels of 0 and 1 only are graded further: the rows of 1 are cut into
     ``levels`` grades of about equal size by how many of their words carry an
-    associated feature.  Null grades, ids and texts are passed over; of several
+    associated feature.  What sets those grades apart is then not supervised but read
+    off the texts; P(grade >= 1) alone rests on the labels.  Null grades, ids and texts are passed over; of several
     labels for an id the highest counts, and of copies and near copies one row.
     """
-    known = labels.where(labels[grade_col].isNotNull() & labels[id_col].isNotNull()).groupBy(labels[id_col].cast("long").alias("id")).agg(F.max(labels[grade_col].cast("int")).alias("grade"))
+    known = labels.where(labels[grade_col].isNotNull() & labels[id_col].isNotNull()).groupBy(labels[id_col].cast("string").alias("id")).agg(F.max(labels[grade_col].cast("int")).alias("grade"))
     total = known.count()
     if not total:
         return None
     space = 1 << 40
     chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(space)) < min(space, sample_rows * space // total))  # about sample_rows rows
-    texts = df.where(df[text_col].isNotNull() & (F.octet_length(df[text_col]) <= SAMPLE_BYTES)).select(df[id_col].cast("long").alias("id"), df[text_col].cast("string").alias("text"))
+    texts = df.where(df[text_col].isNotNull() & (F.octet_length(df[text_col]) <= SAMPLE_BYTES)).select(df[id_col].cast("string").alias("id"), df[text_col].cast("string").alias("text"))
     # Near copies would vouch for each other's rare words: of rows whose two least shingle hashes agree one stays.
     words = F.split(F.lower("text"), "\\s+")
     grams = F.when(F.size("w") >= 3, F.transform(F.sequence(F.lit(1), F.size("w") - 2), lambda i: F.slice("w", i, 3))).otherwise(F.array("w"))
     least = [F.array_min(F.transform("g", _hashed_with(seed))) for seed in (1, 2)]
     keyed = texts.join(F.broadcast(chosen), "id").withColumn("w", words).withColumn("g", grams).select("id", "text", "grade", F.struct(*least).alias("key"))
     sample = keyed.groupBy("key").agg(F.min_by(F.struct("id", "text", "grade"), "id").alias("row")).select("row.*")
+    sample = stored(sample, "sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches_of(batches, "text", BATCH_BYTES):
@@ -183,19 +185,16 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_pydict({"f": names, "pos": [counts[1][x] for x in names], "neg": [counts[0][x] for x in names]}, schema=pa.schema([("f", pa.string()), ("pos", pa.int64()), ("neg", pa.int64())]))
 
     summed = map_batches(sample, count, "f string, pos long, neg long").groupBy("f").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).where("pos >= 1 OR f = ''")
-    summed = summed.where((F.col("f") == "") | (F.col("pos") >= SUPPORT)).persist()
-    try:
-        whole = summed.where("f = ''").first()
-        tried = summed.count()
-        if whole is None or not whole["pos"] or not whole["neg"]:
-            return None
-        # Chernoff's bound on the chance of so many graded documents among those with the feature, against the number of features tried.
-        rate, size = whole["pos"] / (whole["pos"] + whole["neg"]), F.col("pos") + F.col("neg")
-        other = F.when(F.col("neg") > 0, F.col("neg") * F.log(F.col("neg") / (size * (1 - rate)))).otherwise(0.0)
-        evidence = F.col("pos") * F.log(F.col("pos") / (size * rate)) + other
-        best = summed.where("f <> ''").withColumn("z", evidence).where((F.col("pos") > rate * size) & (F.col("z") >= float(np.log(tried)))).orderBy(F.desc("z"), "f").limit(MAX_FEATURES).collect()
-    finally:
-        summed.unpersist()
+    summed = stored(summed.where((F.col("f") == "") | (F.col("pos") >= SUPPORT)), "features")
+    whole = summed.where("f = ''").first()
+    tried = summed.count()
+    if whole is None or not whole["pos"] or not whole["neg"]:
+        return None
+    # Chernoff's bound on the chance of so many graded documents among those with the feature, against the number of features tried.
+    rate, size = whole["pos"] / (whole["pos"] + whole["neg"]), F.col("pos") + F.col("neg")
+    other = F.when(F.col("neg") > 0, F.col("neg") * F.log(F.col("neg") / (size * (1 - rate)))).otherwise(0.0)
+    evidence = F.col("pos") * F.log(F.col("pos") / (size * rate)) + other
+    best = summed.where("f <> ''").withColumn("z", evidence).where((F.col("pos") > rate * size) & (F.col("z") >= float(np.log(tried)))).orderBy(F.desc("z"), "f").limit(MAX_FEATURES).collect()
     vocabulary = {r["f"]: i for i, r in enumerate(best)}
     if not vocabulary:
         return None
@@ -210,7 +209,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
                 names=["id", "grade", "hits", "features", "amounts"],
             )
 
-    rows = map_batches(sample, sparse, "id long, grade int, hits long, features array<int>, amounts array<double>").orderBy("id").limit(4 * sample_rows).collect()
+    rows = map_batches(sample, sparse, "id string, grade int, hits long, features array<int>, amounts array<double>").orderBy("id").limit(4 * sample_rows).collect()
     grades = np.array([max(0, r["grade"]) for r in rows])
     if grades.max() == 1 and levels > 1:
         graded = np.flatnonzero(grades)
@@ -228,7 +227,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
 
 
 def grade(df: DataFrame, model: OrdinalModel | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Per row: the columns ``keep``, severity (expected grade), grade (the highest k with P(grade >= k) >= 1/2; 1 at least where P(grade >= 1) reaches the fitted cut) and toxic (grade >= 1).
+    """Per row: the columns ``keep``, severity (expected grade), p_toxic (P(grade >= 1)), grade (the highest k with P(grade >= k) >= 1/2; 1 at least where P(grade >= 1) reaches the fitted cut) and toxic (grade >= 1).
 
     Null, empty and featureless texts get the severity of no feature; without a
     model all is 0.  Texts of any length count whole.  Repeated rows each get theirs;
@@ -237,7 +236,7 @@ def grade(df: DataFrame, model: OrdinalModel | None, text_col: str = "text", kee
     """
     spark = df.sparkSession
     keep = [] if keep is None else keep
-    refuse_clashes(keep, "severity", "grade", "toxic")
+    refuse_clashes(keep, "severity", "p_toxic", "grade", "toxic")
     source = df.select(*kept(df, keep), df[text_col].cast("string").alias("__text"))
     fields = kept_fields(source)
     shared = spark.sparkContext.broadcast((model.vocabulary, model.weights, model.thresholds, model.cut) if model else None)  # at most MAX_FEATURES entries
@@ -246,17 +245,17 @@ def grade(df: DataFrame, model: OrdinalModel | None, text_col: str = "text", kee
         own = OrdinalModel(*shared.value) if shared.value else None
         featurize = Featurizer(own.vocabulary) if own else None
         for batch in batches_of(batches, "__text", BATCH_BYTES):
-            severity, level = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int32)
+            severity, chance, level = np.zeros(batch.num_rows), np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int32)
             if own and batch.num_rows:
                 scores = []
                 for _, _, counts in featurize(batch.column("__text")):
                     f, x = _values(counts)
                     scores.append(float(own.weights[f] @ np.array(x)) if f else 0.0)
                 tail = own.tail(np.array(scores))
-                severity, level = tail.sum(axis=1), np.maximum((tail >= 0.5).sum(axis=1), tail[:, 0] >= own.cut).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(severity), pa.array(level), pa.array(level > 0)], names=[*(f.name for f in fields), "severity", "grade", "toxic"])
+                severity, chance, level = tail.sum(axis=1), tail[:, 0], np.maximum((tail >= 0.5).sum(axis=1), tail[:, 0] >= own.cut).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(severity), pa.array(chance), pa.array(level), pa.array(level > 0)], names=[*(f.name for f in fields), "severity", "p_toxic", "grade", "toxic"])
 
-    return named(map_batches(source, run, with_fields(fields, "severity double, grade int, toxic boolean")), keep, "severity", "grade", "toxic")
+    return named(map_batches(source, run, with_fields(fields, "severity double, p_toxic double, grade int, toxic boolean")), keep, "severity", "p_toxic", "grade", "toxic")
 
 
 def op10_ordinal_toxicity(spark, sf_dir: str) -> DataFrame:
