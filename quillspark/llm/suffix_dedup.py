@@ -11,8 +11,10 @@ collection's Burrows-Wheeler transform is built column by column (Bauer, Cox,
 Rosone 2013; Cox, Garofalo, Rosone, Sciortino 2016): each round inserts one symbol
 of every document, from its end, and updates transform, longest common prefixes
 and suffix numbers, which lie in a file that is read and written front to back.
-Runs of common prefixes of ``length`` or more are the equal windows; all their
-places but the first are removed.  Equal segments of a chunk of input are compared
+A symbol is ``SYMBOL`` bytes, so a text is that many documents, one for each byte
+that symbols can begin at, and the rounds are fewer by as much.  Runs of common
+prefixes of ``length`` bytes or more are the equal windows; all their places but the
+first are removed.  Equal segments of a chunk of input are compared
 byte by byte before, and only the first goes on.
 
 An anchor that a sample shows to be frequent is dealt into groups of about ``HOT``
@@ -35,7 +37,7 @@ from quillspark.llm.common import batches_of, kept, kept_fields, map_batches, na
 
 LENGTH, ANCHOR = 100, 20
 #: Segments of an anchor that meet in one task (about); more are dealt into groups first.
-HOT = 4096
+HOT = 20_000
 #: Documents (about) in which frequent anchors are looked for, and how often one must occur there at least. The sample changes who meets where, never what is found.
 SAMPLE_DOCS, FREQUENT = 5_000, 10
 #: Bytes of segments in a collection, if no single group has more.
@@ -46,8 +48,11 @@ STRETCH = 16
 CHUNK_BYTES = 2 << 20
 #: The transform's file stays in memory up to this size, then goes to disk like any spill of a task; rows that are read at a time.
 FILE_BYTES, BLOCK_ROWS = 32 << 20, 1 << 21
+#: Bytes of a symbol; half as many where a collection has more kinds than 16 bits number, or a window isn't made of whole ones.
+SYMBOL = 4
 NO_ID = -(1 << 63)
-_END = 255  # never in UTF-8
+_END = 65535  # no symbol
+_KINDS = 65536
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD, 0xD6E8FEB86659FD93)]
 
@@ -195,7 +200,7 @@ def meet(found: DataFrame, frequent: DataFrame) -> DataFrame:
 
 
 class RowFile:
-    """The rows of the growing transform as 64-bit numbers (symbol, common prefix, suffix length, document), written and read front to back; on disk beyond ``limit`` bytes."""
+    """The rows of the growing transform as 64-bit numbers (symbol in 16 bits, common prefix and suffix length in 8 each, document), written and read front to back; on disk beyond ``limit`` bytes."""
 
     def __init__(self, limit: int):
         self.limit, self.held, self.bytes, self.file = limit, [], 0, None
@@ -231,7 +236,40 @@ class RowFile:
 
 
 def _packed(symbol: np.ndarray, prefix: np.ndarray | int, size: int, doc: np.ndarray) -> np.ndarray:
-    return symbol.astype(np.uint64) | np.asarray(prefix, np.uint64) << np.uint64(8) | np.uint64(size << 16) | doc.astype(np.uint64) << np.uint64(24)
+    return symbol.astype(np.uint64) | np.asarray(prefix, np.uint64) << np.uint64(16) | np.uint64(size << 24) | doc.astype(np.uint64) << np.uint64(32)
+
+
+def _fields(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(symbol, common prefix, suffix length, document) of rows."""
+    small = rows.view(np.uint8).reshape(-1, 8)
+    return rows.view(np.uint16).reshape(-1, 4)[:, 0], small[:, 2], small[:, 3], rows.view(np.uint32).reshape(-1, 2)[:, 1]
+
+
+def _least_between(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Least of values[first] to values[last], for many ranges of any length: by the least of 64s, and of runs of them."""
+    rows = np.append(values, np.full(-len(values) % 64, 255, np.uint8)).reshape(-1, 64)
+    front, back = rows.copy(), rows.copy()
+    for step in (1, 2, 4, 8, 16, 32):
+        front[:, step:] = np.minimum(front[:, step:], front[:, :-step])
+        back[:, :-step] = np.minimum(back[:, :-step], back[:, step:])
+    runs = [np.ascontiguousarray(front[:, 63])]
+    while 2 ** len(runs) <= len(rows):
+        half = 2 ** (len(runs) - 1)
+        runs.append(np.minimum(runs[-1][:-half], runs[-1][half:]))
+    a, b = first >> 6, last >> 6
+    out = np.minimum(back.ravel()[first], front.ravel()[last])
+    between = b - a - 1
+    for k in range(len(runs)):
+        own = np.flatnonzero((between >> k) == 1)
+        if len(own):
+            out[own] = np.minimum(out[own], np.minimum(runs[k][a[own] + 1], runs[k][b[own] - 2**k]))
+    near = np.flatnonzero(a == b)
+    if len(near):
+        near = near[np.argsort(first[near])]
+        ends = np.empty(2 * len(near), np.int64)
+        ends[0::2], ends[1::2] = first[near], last[near] + 1
+        out[near] = np.minimum.reduceat(np.append(values, np.uint8(0)), ends)[0::2]
+    return out
 
 
 class _Places:
@@ -239,16 +277,16 @@ class _Places:
 
     def __init__(self, counts: np.ndarray, size: int):
         self.below, self.size = np.cumsum(counts) - counts, size
-        self.seen = np.zeros(256, np.int64)
-        self.least = np.full(256, 255, np.uint8)  # common prefixes since a symbol's last row
-        self.after_new = np.zeros(256, bool)
+        self.seen = np.zeros(_KINDS, np.int64)
+        self.least = np.full(_KINDS, 255, np.uint8)  # common prefixes since a symbol's last row
+        self.after_new = np.zeros(_KINDS, bool)
         self.parts: list[tuple[np.ndarray, ...]] = []
 
     def read(self, rows: np.ndarray, more: bool) -> None:
         """``more``: rows follow that will ask for what was last."""
-        fields = rows.view(np.uint8).reshape(-1, 8)
-        symbol, prefix, new = np.ascontiguousarray(fields[:, 0]), np.ascontiguousarray(fields[:, 1]), fields[:, 2] == self.size - 1
-        sizes = np.bincount(symbol, minlength=256)
+        symbol, prefix, length, doc = _fields(rows)
+        symbol, prefix, new = np.ascontiguousarray(symbol), np.ascontiguousarray(prefix), length == self.size - 1
+        sizes = np.bincount(symbol, minlength=_KINDS)
         order = np.argsort(symbol, kind="stable")[: len(rows) - int(sizes[_END])]
         sizes[_END] = 0
         kinds = np.flatnonzero(sizes)
@@ -267,14 +305,12 @@ class _Places:
         own, inner = kinds[run], heads[run] != t
         value = np.zeros(len(t), np.uint8)
         if inner.any():
-            ends = np.empty(2 * int(inner.sum()), np.int64)
-            ends[0::2], ends[1::2] = order[t[inner] - 1] + 1, at[inner] + 1
-            value[inner] = np.minimum.reduceat(np.append(prefix, np.uint8(0)), ends)[0::2] + 1
+            value[inner] = _least_between(prefix, order[t[inner] - 1] + 1, at[inner]) + 1
         met = np.flatnonzero(~inner & (self.seen[own] > 0))
         if len(met):  # a symbol's first row of the block, after others in blocks before
             value[met] = np.minimum(np.minimum.accumulate(prefix)[at[met]], self.least[own[met]]) + 1
         rank = self.below[own] + self.seen[own] + t - heads[run]
-        self.parts.append((rank, fresh[t], value, rows[at] >> np.uint64(24)))
+        self.parts.append((rank, fresh[t], value, doc[at].astype(np.int64)))
         if more:
             tails = order[heads + sizes[kinds] - 1]
             since = np.append(np.minimum.accumulate(prefix[::-1])[::-1], np.uint8(255))
@@ -285,28 +321,28 @@ class _Places:
 
     def sorted(self) -> tuple[np.ndarray, ...]:
         if not self.parts:
-            return tuple(np.zeros(0, k) for k in (np.int64, bool, np.uint8, np.uint64))
+            return tuple(np.zeros(0, k) for k in (np.int64, bool, np.uint8, np.int64))
         columns = [np.concatenate(x) for x in zip(*self.parts, strict=True)]
         order = np.argsort(columns[0], kind="stable")
         return tuple(c[order] for c in columns)
 
 
 def column_wise(data: np.ndarray, offsets: np.ndarray, block: int = BLOCK_ROWS, file_bytes: int = FILE_BYTES) -> Iterator[np.ndarray]:
-    """All suffixes of a collection in sorted order, in blocks of rows: common prefix with the row before in bits 8 to 15, suffix length in 16 to 23, document above.
+    """All suffixes of a collection in sorted order, in blocks of rows, as ``_fields`` takes them apart: common prefix with the row before, suffix length, document.
 
-    Documents hold fewer than 255 bytes, none of them 255.  Ends sort first and by
-    document number, and match nothing.  Round j inserts the suffixes of length j: a
+    Documents hold fewer than 255 symbols of 16 bits, none of them the last number.
+    Ends sort first and by document number, and match nothing.  Round j inserts the suffixes of length j: a
     row's place is the rank of its first symbol in the transform so far, and its
     common prefix is one more than the least between that symbol and its
     predecessor there.  A round reads the file twice and writes it once; besides a
     block, a round's new rows are all it holds.
     """
     m, sizes = len(offsets) - 1, np.diff(offsets)
-    last = np.where(sizes > 0, data[np.maximum(offsets[1:] - 1, 0)] if len(data) else _END, _END).astype(np.uint8)
+    last = np.where(sizes > 0, data[np.maximum(offsets[1:] - 1, 0)] if len(data) else _END, _END).astype(np.uint16)
     now = RowFile(file_bytes)
     for at in range(0, m, block):
         now.write(_packed(last[at : at + block], 0, 0, np.arange(at, min(m, at + block))))
-    counts, n = np.bincount(last, minlength=256), m
+    counts, n = np.bincount(last, minlength=_KINDS), m
     for j in range(1, int(sizes.max(initial=0)) + 1):
         places, left = _Places(counts, j), n
         for rows in now.blocks(block):
@@ -315,19 +351,19 @@ def column_wise(data: np.ndarray, offsets: np.ndarray, block: int = BLOCK_ROWS,
         rank, fresh, value, doc = places.sorted()
         if not fresh.any():
             break
-        own = doc[fresh].astype(np.int64)
+        own = doc[fresh]
         rest = sizes[own] - j
-        symbol = np.where(rest > 0, data[np.maximum(offsets[own] + rest - 1, 0)], _END).astype(np.uint8)
-        counts += np.bincount(symbol, minlength=256)
+        symbol = np.where(rest > 0, data[np.maximum(offsets[own] + rest - 1, 0)], _END).astype(np.uint16)
+        counts += np.bincount(symbol, minlength=_KINDS)
         rows_new, place = _packed(symbol, value[fresh], j, own), m + rank[fresh]
         before = place - np.arange(len(place))  # the row of the file that each goes in front of
         moved = m + rank[~fresh]
-        changed, to = moved - np.searchsorted(place, moved), value[~fresh].astype(np.uint64) << np.uint64(8)
+        changed, to = moved - np.searchsorted(place, moved), value[~fresh].astype(np.uint64) << np.uint64(16)
         then, at, lo, clo = RowFile(file_bytes), 0, 0, 0
         for rows in now.blocks(block):
             chi, last_block = int(np.searchsorted(changed, at + len(rows))), at + len(rows) == n
             hi = len(before) if last_block else int(np.searchsorted(before, at + len(rows)))
-            rows[changed[clo:chi] - at] = (rows[changed[clo:chi] - at] & ~np.uint64(0xFF00)) | to[clo:chi]
+            rows[changed[clo:chi] - at] = (rows[changed[clo:chi] - at] & ~np.uint64(0xFF0000)) | to[clo:chi]
             out, old = np.empty(len(rows) + hi - lo, np.uint64), np.ones(len(rows) + hi - lo, bool)
             target = place[lo:hi] - at - lo
             old[target] = False
@@ -370,19 +406,37 @@ def trimmed(data: np.ndarray, offsets: np.ndarray, anchors: np.ndarray, places:
     return data[_ranges(offsets[kept] + lo[kept], size)], ends, kept, lo[kept]
 
 
+def _symbols(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(symbols, offsets, bytes of one) of a collection: a text gives a document for each of the bytes that a symbol can begin at."""
+    for size in (s for s in (SYMBOL, SYMBOL // 2, 1) if s and length % s == 0):
+        each = np.arange(size)
+        counts = np.maximum((np.diff(offsets)[:, None] - each) // size, 0).ravel()
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        first = (offsets[:-1, None] + each).ravel()
+        at = np.repeat(first - size * ends[:-1], counts) + size * np.arange(ends[-1])
+        values = _words(data)[at] & np.uint64((1 << (8 * size)) - 1)
+        if size <= 2:  # two bytes of UTF-8 are never the last number
+            return values.astype(np.uint16), ends, size
+        kinds, codes = np.unique(values.astype(np.uint32), return_inverse=True)
+        if len(kinds) < _END:
+            return codes.astype(np.uint16), ends, size
+    raise AssertionError("symbols of one byte always do")
+
+
 def repeated_windows(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, start, group) of all windows of a collection, equal ones in one group, from the blocks of its transform."""
+    """(text, start, group) of all windows of a collection, equal ones in one group, from the blocks of its transform."""
+    symbols, ends, size = _symbols(data, offsets, length)
     docs, sizes, groups, group = [], [], [], 0
-    for rows in column_wise(data, offsets):
-        fields = rows.view(np.uint8).reshape(-1, 8)
-        own = np.cumsum(fields[:, 1] < length) + group
+    for rows in column_wise(symbols, ends):
+        _, prefix, n, doc = _fields(rows)
+        own = np.cumsum(prefix < length // size) + group
         group = int(own[-1])
-        windows = np.flatnonzero(fields[:, 2] >= length)
-        docs.append((rows[windows] >> np.uint64(24)).astype(np.int64))
-        sizes.append(fields[windows, 2].astype(np.int64))
+        windows = np.flatnonzero(n >= length // size)
+        docs.append(doc[windows].astype(np.int64))
+        sizes.append(n[windows].astype(np.int64))
         groups.append(own[windows])
-    doc, size, group = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (docs, sizes, groups))
-    return doc, np.diff(offsets)[doc] - size, group
+    doc, n, group = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (docs, sizes, groups))
+    return doc // size, doc % size + size * (np.diff(ends)[doc] - n), group
 
 
 def _cut_out(length: int):

@@ -322,16 +322,42 @@ def test_column_wise_sorts_suffixes(block, file_bytes):
     """Any block size, and files on disk from the first byte on."""
     rnd = random.Random(1)
     texts = [bytes(rnd.choice(b"ab") for _ in range(rnd.randint(1, 30))) for _ in range(40)] + [b"", b"abab"]
-    data = np.frombuffer(b"".join(texts), np.uint8)
+    data = np.frombuffer(b"".join(texts), np.uint8).astype(np.uint16)
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     rows = np.concatenate(list(suffix_dedup.column_wise(data, offsets, block, file_bytes)))
-    seg, size, lcp = (rows >> np.uint64(24)).astype(int), (rows >> np.uint64(16)).astype(int) & 255, (rows >> np.uint64(8)).astype(int) & 255
+    _, lcp, size, seg = suffix_dedup._fields(rows)
     keys = [(texts[s][len(texts[s]) - n :], s) for s, n in zip(seg.tolist(), size.tolist(), strict=True)]
     assert keys == sorted(keys) and len(keys) == len(data) + len(texts)
     for (a, _), (b, _), n in zip(keys, keys[1:], lcp[1:].tolist(), strict=False):
         common = next((k for k in range(min(len(a), len(b))) if a[k] != b[k]), min(len(a), len(b)))
         assert n == common
-    assert not list(suffix_dedup.column_wise(np.zeros(0, np.uint8), np.zeros(1, np.int64), block, file_bytes))
+    assert not list(suffix_dedup.column_wise(np.zeros(0, np.uint16), np.zeros(1, np.int64), block, file_bytes))
+
+
+def test_least_between():
+    rng = np.random.default_rng(3)
+    for n in (1, 63, 64, 65, 1000, 20_000):
+        values = rng.integers(0, 250, n).astype(np.uint8)
+        a, b = rng.integers(0, n, 300), rng.integers(0, n, 300)
+        a, b = np.minimum(a, b), np.maximum(a, b)
+        assert suffix_dedup._least_between(values, a, b).tolist() == [values[x : y + 1].min() for x, y in zip(a, b, strict=True)]
+
+
+@pytest.mark.parametrize("symbol", [4, 2, 1])
+def test_symbols_of_several_bytes_find_the_same_windows(monkeypatch, symbol):
+    rnd = random.Random(4)
+    base = bytes(rnd.choice(b"abcd") for _ in range(400))
+    texts = [base[p : p + rnd.randint(0, 150)] for p in (rnd.randint(0, 300) for _ in range(60))] + [b"x" + base[40:170], b"a" * 130]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    monkeypatch.setattr(suffix_dedup, "SYMBOL", symbol)
+    doc, start, group = suffix_dedup.repeated_windows(data, offsets, 100)
+    windows = {(d, p): texts[d][p : p + 100] for d in range(len(texts)) for p in range(len(texts[d]) - 99)}
+    assert sorted(zip(doc.tolist(), start.tolist(), strict=True)) == sorted(windows)
+    by_group = {}
+    for d, p, g in zip(doc.tolist(), start.tolist(), group.tolist(), strict=True):
+        by_group.setdefault(g, set()).add(windows[d, p])
+    assert all(len(w) == 1 for w in by_group.values()) and len(by_group) == len(set(windows.values()))
 
 
 def test_hashes_alone_decide_nothing(spark, monkeypatch):
