@@ -321,7 +321,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Rows with equal fingerprints are linked.  Blank and null texts share
     fingerprint 0.  Repeated ids keep a row each; a null id is passed over in the
-    minimum (null if the component has no other id).  Empty tables give no rows.
+    minimum (null if the component has no other id).  Texts of any length count
+    whole.  Further columns, whatever their names, are ignored.  Empty tables give no
+    rows.
     """
     own = stored(fingerprints(df.select(df[id_col].alias("id"), df[text_col].alias("text")), "text", ["id"], shingle, seed), "fingerprints")
     distinct = stored(own.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("n")), "distinct")

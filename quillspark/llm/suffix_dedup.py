@@ -595,7 +595,8 @@ def remove_repeats(
     matches; none crosses documents.  "Earlier" is by id, then for rows that share
     an id by a checksum of the text, then by start.  A null text is empty; a null
     id comes before all others.  Repeated rows (same id and text) count as one
-    document: each gets that document's result.  Very long texts are searched in
+    document: each gets that document's result.  Ids are whole numbers; others are an
+    error.  Very long texts are searched in
     stretches that share all but one byte of a window, so nothing is missed.  Columns
     that aren't kept may have any name; one of ``keep`` that is named like an output is
     an error.  Empty tables give no rows.
