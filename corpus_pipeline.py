@@ -41,7 +41,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keeps of each group of near-duplicates the document with the smallest id (null first), one of its rows if it is repeated.
 
     Near are documents whose sets of five-word shingles have a Jaccard coefficient of
-    0.8 or more; groups are closed over such pairs.  Null, empty and blank texts are
+    0.8 or more, found by SimHash and an exact check, and by a prefix filter what the
+    bits lose; groups are closed over such pairs.  Null, empty and blank texts are
     one group.  Of rows with one id and different texts the checksum orders; further
     columns, whatever their names, stay; an empty table gives an empty one.
     """

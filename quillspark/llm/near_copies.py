@@ -1,15 +1,21 @@
-"""Near copies by the Jaccard coefficient of their sets of word shingles, exactly.
-
-Two sets of n shingles whose coefficient is t or more share one of the first
-``n - ceil(t n) + 1`` shingles of each, in any order that is the same for all
-documents (a prefix filter).  The order here puts shingles that are frequent in a
-sample last; the sample changes what the join costs, never what it finds.
-
-Documents that share a prefix shingle are held against each other by size and by
+"""Near copies by SimHash and an exact check, with the Jaccard coefficient of sets of word shingles.
+
+Each document's set of shingles has a SimHash fingerprint.  Fingerprints are joined
+as in ``simhash`` (binary tries per block key, a bit budget, pruning by components,
+star components), and the sets of a component are held against each other exactly:
+those that have the coefficient t are a class.
+
+A coefficient bounds no number of differing bits, so fingerprints alone would lose near
+copies.  The rest is found by a prefix filter between different classes: two sets of n
+shingles whose coefficient is t or more share one of the first ``n - ceil(t n) + 1``
+shingles of each, in any order that is the same for all documents.  The order here
+puts shingles that are frequent in a sample last; the sample changes what the join
+costs, never what it finds.  Documents that share a prefix shingle are held against each other by size and by
 a parity bitmap: sets differ in at least as many shingles as their bitmaps in
 bits.  Both only leave out pairs that can't reach t.  What remains is linked by a
-spanning forest per shingle and gathered to components of candidates, whose texts
-then go to one task each, once, for the exact comparison; pairs that are connected
+spanning forest per shingle and gathered to components of candidates.
+
+The texts of candidates go to one task for each component, for the exact comparison; pairs that are connected
 already are skipped, so groups of copies aren't expanded.  Sets are compared by
 64-bit hashes of their shingles; documents with equal sets count as one.
 
@@ -29,12 +35,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import batches_of, map_batches, stored
-from quillspark.llm.simhash import Forest, components
+from quillspark.llm.simhash import Forest, components, fingerprint_links, majority
 
 #: Members of a group that one task joins.
 KEY_ROWS = 2_000
 #: Fewest bits of a parity bitmap; it has as many as a power of two that the set's size doesn't exceed, so unrelated sets are told apart at any length.
 BITS = 256
+#: Differing bits at which fingerprints are candidates, and the blocks that they are cut into. What the bits lose is found afterwards.
+BUDGET, BLOCKS = 6, 8
 #: Documents in the sample (about), and documents of it that hold a frequent shingle.
 SAMPLE, FREQUENT = 10_000, 10
 BATCH_BYTES = 4 << 20
@@ -87,28 +95,29 @@ def _frequent(df: DataFrame, text_col: str, size: int) -> np.ndarray:
 
 
 def _sketches(df: DataFrame, size: int, threshold: float, frequent: np.ndarray) -> DataFrame:
-    """id, crc, sig (the set's hash), n, bits, prefix of every row (id, text, crc)."""
+    """id, crc, sig (the set's hash), fp (its SimHash), n, bits, prefix of every row (id, text, crc)."""
     id_type = df.schema["id"].dataType.simpleString()
     common = df.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = common.value
         for batch in batches_of(batches, "text", BATCH_BYTES):
-            sigs, ns, bits, prefixes = [], [], [], []
+            sigs, fps, ns, bits, prefixes = [], [], [], [], []
             for text in batch.column("text").cast(pa.large_binary()).to_pylist():
                 held = shingles(text, size)
                 n = len(held)
                 sigs.append(xxhash.xxh3_64_intdigest(held.tobytes()))
+                fps.append(majority(held))
                 ns.append(n)
                 bits.append(_bitmap(held).tobytes())
                 at = np.searchsorted(last, held)
                 late = last[np.minimum(at, len(last) - 1)] == held if len(last) else np.zeros(n, bool)
                 ordered = np.concatenate([held[~late], held[late]])
                 prefixes.append(ordered[: n - int(np.ceil(threshold * n - 1e-9)) + 1 if n else 0].view(np.int64))
-            arrays = [batch.column("id"), batch.column("crc"), pa.array(np.array(sigs, np.uint64).view(np.int64)), pa.array(ns, pa.int32()), pa.array(bits, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "crc", "sig", "n", "bits", "prefix"])
+            arrays = [batch.column("id"), batch.column("crc"), pa.array(np.array(sigs, np.uint64).view(np.int64)), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(ns, pa.int32()), pa.array(bits, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "crc", "sig", "fp", "n", "bits", "prefix"])
 
-    return map_batches(df, run, f"id {id_type}, crc long, sig long, n int, bits binary, prefix array<long>")
+    return map_batches(df, run, f"id {id_type}, crc long, sig long, fp long, n int, bits binary, prefix array<long>")
 
 
 def _dealt(df: DataFrame, key: str, count: Column, member: str, key_rows: int) -> DataFrame:
@@ -139,9 +148,12 @@ def _per_group(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterato
         yield [pa.chunked_array([b.column(c) for b in held]) for c in columns]
 
 
-def _linked(n: int, test) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs for which ``test(pivot, others)`` holds; each row is held against the later ones it isn't connected to."""
+def _linked(known: np.ndarray, test) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs for which ``test(pivot, others)`` holds; each row is held against the later ones it isn't connected to. Rows of a class (``known``) are connected from the start."""
+    n = len(known)
+    _, first, of = np.unique(known, return_index=True, return_inverse=True)
     forest = Forest(n)
+    forest.parent = first[of]
     for i in range(n - 1):
         roots = forest.roots()
         others = i + 1 + np.flatnonzero(roots[i + 1 :] != roots[i])
@@ -181,37 +193,38 @@ def _possible(n: np.ndarray, bitmaps: list[bytes], threshold: float):
 
 
 def _edges(links: Iterator[tuple[np.ndarray, list[tuple[int, int]]]]) -> Iterator[pa.RecordBatch]:
-    for sig, found in links:
+    for cls, found in links:
         if found:
             at = np.array(found)
-            a, b = sig[at[:, 0]], sig[at[:, 1]]
+            a, b = cls[at[:, 0]], cls[at[:, 1]]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
-def _candidates(distinct: DataFrame, threshold: float, key_rows: int) -> DataFrame:
-    """Edges (a, b) between sets that may be near: whatever is near is connected."""
-    entries = distinct.select("sig", F.explode("prefix").alias("key"))
-    shared = entries.withColumn("c", F.count("*").over(W.partitionBy("key"))).where("c > 1")
-    filed = _dealt(shared.join(distinct.select("sig", "n", "bits"), "sig"), "key", F.col("c"), "sig", key_rows)
+def _candidates(classed: DataFrame, threshold: float, key_rows: int) -> DataFrame:
+    """Edges (a, b) between classes of sets (sig, cls, n, bits, prefix) that may be near: whatever is near is connected."""
+    entries = classed.select("sig", "cls", F.explode("prefix").alias("key"))
+    of_key = W.partitionBy("key")
+    shared = entries.withColumn("c", F.count("*").over(of_key)).withColumn("other", F.min("cls").over(of_key) < F.max("cls").over(of_key)).where("other").drop("other")
+    filed = _dealt(shared.join(classed.select("sig", "n", "bits"), "sig"), "key", F.col("c"), "sig", key_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links() -> Iterator[tuple[np.ndarray, list[tuple[int, int]]]]:
-            for sig, n, bits in _per_group(batches, ["sig", "n", "bits"]):
-                n = n.to_numpy().astype(np.int64)
-                yield sig.to_numpy(), _linked(len(n), _possible(n, bits.to_pylist(), threshold))
+            for cls, n, bits in _per_group(batches, ["cls", "n", "bits"]):
+                cls, n = cls.to_numpy(), n.to_numpy().astype(np.int64)
+                yield cls, _linked(cls, _possible(n, bits.to_pylist(), threshold))
 
         yield from _edges(links())
 
-    return map_batches(filed.select("group", "sig", "n", "bits"), run, "a long, b long").distinct()
+    return map_batches(filed.select("group", "cls", "n", "bits"), run, "a long, b long").distinct()
 
 
 def _verified(texts: DataFrame, size: int, threshold: float) -> DataFrame:
-    """Edges (a, b) between sets of (group, sig, text) that have the coefficient: enough to connect whatever is near."""
+    """Edges (a, b) between classes of sets (group, cls, text) that have the coefficient: enough to connect whatever is near."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links() -> Iterator[tuple[np.ndarray, list[tuple[int, int]]]]:
-            for sig, text in _per_group(batches, ["sig", "text"]):
-                sets = [shingles(t, size) for t in text.cast(pa.large_binary()).to_pylist()]
+            for cls, text in _per_group(batches, ["cls", "text"]):
+                cls, sets = cls.to_numpy(), [shingles(t, size) for t in text.cast(pa.large_binary()).to_pylist()]
                 n = np.array([len(s) for s in sets], np.int64)
                 possible = _possible(n, [_bitmap(s).tobytes() for s in sets], threshold)
 
@@ -226,34 +239,60 @@ def _verified(texts: DataFrame, size: int, threshold: float) -> DataFrame:
                         near[maybe] = both >= _least_overlap(n[others[maybe]], n[i], threshold)
                     return near
 
-                yield sig.to_numpy(), _linked(len(n), test)
+                yield cls, _linked(cls, test)
 
         yield from _edges(links())
 
     return map_batches(texts, run, "a long, b long").distinct()
 
 
-def near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, threshold: float = 0.8, key_rows: int = KEY_ROWS) -> DataFrame:
+def _checked(rows: DataFrame, groups: DataFrame, size: int, threshold: float, key_rows: int) -> DataFrame:
+    """(node, root) of the classes that exact checks inside each group connect; groups: sig, one, cls, root."""
+    # Groups that need a split are few: at most (rows) / key_rows of them.
+    large = groups.groupBy("root").agg(F.count("*").alias("c")).where(F.col("c") > key_rows)
+    wanted = stored(groups.join(F.broadcast(large), "root", "left").select("sig", "one", "cls", "root", F.coalesce("c", F.lit(1)).alias("c")), "candidates")
+    # Each candidate set's text is read from one row that has it.
+    if wanted.count() <= BROADCAST:
+        wanted = F.broadcast(wanted)
+    chosen = rows.join(wanted, rows["id"].eqNullSafe(wanted["one.id"]) & (rows["crc"] == wanted["one.crc"]))
+    texts = chosen.select("sig", "cls", "root", "c", "text").dropDuplicates(["sig"])
+    return components(_verified(_dealt(texts, "root", F.col("c"), "sig", key_rows).select("group", "cls", "text"), size, threshold))
+
+
+def by_fingerprints(distinct: DataFrame, budget: int, blocks: int) -> DataFrame:
+    """sig, one, cls, root of the sets whose fingerprints the trie join connects with another set's; every set is a class of its own, root is the component."""
+    comp = components(fingerprint_links(distinct.select("fp").distinct(), budget, blocks))
+    rooted = stored(distinct.join(comp, distinct["fp"] == comp["node"], "left").select("sig", "one", F.col("sig").alias("cls"), F.coalesce("root", "fp").alias("root")), "prints")
+    several = rooted.groupBy("root").count().where("count > 1").select("root")
+    return rooted.join(several, "root", "left_semi")
+
+
+def near_copies(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 5,
+    threshold: float = 0.8,
+    budget: int = BUDGET,
+    blocks: int = BLOCKS,
+    key_rows: int = KEY_ROWS,
+) -> DataFrame:
     """Per row: ``id_col``, component_id (smallest id that is reached over pairs with a coefficient of ``threshold`` or more, its own included).
 
+    ``budget`` and ``blocks`` change which copies the fingerprints find and which the prefix filter, not the result.
     Blank and null texts are one group.  Repeated ids keep a row each; a null id is
     passed over in the minimum.  Empty tables give no rows.
     """
     rows = df.select(df[id_col].alias("id"), df[text_col].cast("string").alias("text")).withColumn("crc", F.xxhash64("text"))
     own = stored(_sketches(rows, shingle, threshold, _frequent(rows, "text", shingle)), "sketches")
     one = F.min(F.struct("id", "crc")).alias("one")
-    distinct = stored(own.groupBy("sig").agg(F.min("id").alias("least"), one, F.any_value("n").alias("n"), F.any_value("bits").alias("bits"), F.any_value("prefix").alias("prefix")), "distinct")
-    maybe = stored(components(_candidates(distinct, threshold, key_rows)), "components")
-    # Groups that need a split are few: at most (rows) / key_rows of them.
-    large = maybe.groupBy("root").agg(F.count("*").alias("c")).where(F.col("c") > key_rows)
-    sized = maybe.join(F.broadcast(large), "root", "left").select("node", "root", F.coalesce("c", F.lit(1)).alias("c"))
-    # Each candidate set's text is read from one row that has it.
-    wanted = stored(sized.join(distinct.select(F.col("sig").alias("node"), "one"), "node"), "candidates")
-    if wanted.count() <= BROADCAST:
-        wanted = F.broadcast(wanted)
-    chosen = rows.join(wanted, rows["id"].eqNullSafe(wanted["one.id"]) & (rows["crc"] == wanted["one.crc"]))
-    texts = chosen.select(F.col("node").alias("sig"), "root", "c", "text").dropDuplicates(["sig"])
-    comp = components(_verified(_dealt(texts, "root", F.col("c"), "sig", key_rows).select("group", "sig", "text"), shingle, threshold))
-    rooted = stored(distinct.join(comp, distinct["sig"] == comp["node"], "left").select("sig", "least", F.coalesce("root", "sig").alias("root")), "rooted")
+    distinct = stored(own.groupBy("sig").agg(F.min("id").alias("least"), one, *[F.any_value(c).alias(c) for c in ("fp", "n", "bits", "prefix")]), "distinct")
+    comp = _checked(rows, by_fingerprints(distinct, budget, blocks), shingle, threshold, key_rows)
+    classed = stored(distinct.join(comp, distinct["sig"] == comp["node"], "left").drop("node", "fp").withColumn("cls", F.coalesce("root", "sig")).drop("root"), "classes")
+    # The rest: classes that the prefix filter connects.
+    maybe = components(_candidates(classed, threshold, key_rows))
+    groups = classed.select("sig", "one", "cls").join(maybe, F.col("cls") == maybe["node"]).drop("node")
+    comp = _checked(rows, groups, shingle, threshold, key_rows)
+    rooted = stored(classed.join(comp, classed["cls"] == comp["node"], "left").select("sig", "least", F.coalesce("root", "cls").alias("root")), "rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return own.select("id", "sig").join(rooted.join(least, "root").select("sig", "component_id"), "sig").select(F.col("id").alias(id_col), "component_id")

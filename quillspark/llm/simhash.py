@@ -42,6 +42,14 @@ FRONTIER = 1 << 18
 BATCH_BYTES = 4 << 20
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of 64-bit hashes."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 65536):
+        ones += np.unpackbits(hashes[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
+
+
 def _fingerprint(text: bytes, shingle: int, seed: int) -> int:
     words = text.lower().split()  # on bytes both are ASCII's: A-Z, and \x20 \x09-\x0D
     if not words:
@@ -55,10 +63,7 @@ def _fingerprint(text: bytes, shingle: int, seed: int) -> int:
         starts = [0, *(ends[: n - 1] + 1).tolist()]
         digest = xxhash.xxh64_intdigest
         hashes = np.fromiter([digest(joined[s:e], seed) for s, e in zip(starts, ends[shingle - 1 :].tolist(), strict=True)], "<u8", n)
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 65536):
-        ones += np.unpackbits(hashes[at : at + 65536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
+    return majority(hashes)
 
 
 def fingerprints(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, shingle: int = 3, seed: int = 42) -> DataFrame:

@@ -109,3 +109,24 @@ def test_near_copies_split_groups(spark):
     whole = sorted(map(tuple, near_copies(docs).collect()))
     assert whole == sorted(map(tuple, near_copies(docs, key_rows=7).collect()))
     assert {c for d, c in whole if d < 100} == {0}
+
+
+def test_fingerprints_find_copies_and_the_check_decides(spark, monkeypatch):
+    """The stage goes through SimHash; what it finds is checked, what its bits lose is found all the same, whatever the budget."""
+    from quillspark.llm import near_copies
+
+    words = [f"w{i * i % 1009}x{i}" for i in range(400)]
+    rows = [(k, " ".join([*words[:k], "other", *words[k + 1 :]])) for k in range(0, 30, 6)] + [(100 + k, f"other words stand in text number {k} of this table {k}") for k in range(20)]
+    rows += [(200 + k, " ".join("other" if i in range(5, 5 + k * 16) else x for i, x in enumerate(words))) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, plain = [], near_copies.by_fingerprints
+    monkeypatch.setattr(near_copies, "by_fingerprints", lambda *a: seen.append(plain(*a)) or seen[-1])
+    for budget, blocks in ((6, 8), (0, 4)):
+        got = {r["component_id"] for r in near_copies.near_copies(docs, budget=budget, blocks=blocks).collect()}
+        assert got == set(_kept_by_brute_force(rows))
+    assert seen[0].count() >= 5 > seen[1].count()
+    # Whatever the bits say: with all sets in one group, only those that have the coefficient are a class.
+    monkeypatch.setattr(near_copies, "by_fingerprints", lambda distinct, *_: distinct.select("sig", "one", F.col("sig").alias("cls"), F.lit(0).cast("long").alias("root")))
+    got = {r["component_id"] for r in near_copies.near_copies(docs).collect()}
+    assert got == set(_kept_by_brute_force(rows))
+    assert C.near_duplicates(spark, docs, "").count() == len(got)
