@@ -207,7 +207,7 @@ def pack_tokens(
         if pool is not None and len(pool.length):
             yield from emit(best_fit_decreasing(pool.length, capacity))
 
-    return map_batches(source, run, schema)
+    return map_batches(source, run, schema, keeps=True)
 
 
 def op1_token_packing(spark, sf_dir: str) -> DataFrame:

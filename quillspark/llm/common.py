@@ -56,8 +56,12 @@ def _remove(spark: SparkSession, path: str) -> None:
 ARROW_BYTES, ARROW_ROWS = 8 << 20, 4000
 
 
-def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` with bounded batches and workers that give back what a task has used."""
+#: What this worker keeps from one task to the next.
+WORKER_KEPT: dict = {}
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType, keeps: bool = False) -> DataFrame:
+    """``mapInArrow`` with bounded batches and workers that give back what a task has used; what they keep is for tasks that say so (``keeps``), any other drops it."""
     spark = df.sparkSession
     ship(spark)
     for key, value in (("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES), ("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)):
@@ -65,6 +69,8 @@ def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterato
             spark.conf.set(key, value)
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            drop_kept()
         try:
             yield from run(batches)
         finally:
@@ -73,6 +79,13 @@ def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterato
     return df.mapInArrow(bounded, schema)
 
 
+def drop_kept() -> None:
+    """Give up what earlier tasks left in this worker."""
+    if WORKER_KEPT:
+        WORKER_KEPT.clear()
+        release_memory()
+
+
 def release_memory() -> None:
     """Hand free memory of this worker back to the system; workers are used again by other tasks."""
     gc.collect()

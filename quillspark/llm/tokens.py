@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from quillspark.llm.common import utf8_buffer
+from quillspark.llm.common import WORKER_KEPT, utf8_buffer
 
 #: Bytes of a worker's table; beyond them the pieces used least are forgotten (the ids stay the same).
 TABLE_BYTES = 64 << 20
@@ -184,7 +184,7 @@ class PieceTable:
         self.uses[np.concatenate(new)] = np.concatenate([uses[short], uses[~short]]) // 2
 
 
-_WORKER_TABLES: dict[str, PieceTable] = {}
+_WORKER_TABLES: dict[str, PieceTable] = WORKER_KEPT
 
 
 class BatchTokenizer:

@@ -191,7 +191,7 @@ def pack_examples(
         if packer.total:
             yield from emit(True)
 
-    out = map_batches(source, run, schema)
+    out = map_batches(source, run, schema, keeps=True)
     return out.withColumnRenamed("id", id_col)
 
 

@@ -130,3 +130,21 @@ def test_fingerprints_find_copies_and_the_check_decides(spark, monkeypatch):
     got = {r["component_id"] for r in near_copies.near_copies(docs).collect()}
     assert got == set(_kept_by_brute_force(rows))
     assert C.near_duplicates(spark, docs, "").count() == len(got)
+
+
+def test_workers_drop_tables_of_other_stages(spark, sf_dir):
+    """The tokenizer's table stays for further packing only; tasks of other stages give its memory back."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert C.packing(spark, docs.repartition(8), sf_dir).count() > 0
+
+    def held(batches):
+        import pyarrow as pa
+
+        from quillspark.llm import tokens
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(tokens._WORKER_TABLES)] * batch.num_rows)], names=["n"])
+
+    from quillspark.llm.common import map_batches
+
+    assert map_batches(spark.range(64, numPartitions=8), held, "n long").where("n > 0").isEmpty()
