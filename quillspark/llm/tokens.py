@@ -20,10 +20,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from quillspark.llm.common import WORKER_KEPT, utf8_buffer
+from quillspark.llm.common import WORKER_KEPT, batches_of, utf8_buffer
 
 #: Bytes of a worker's table; beyond them the pieces used least are forgotten (the ids stay the same).
 TABLE_BYTES = 64 << 20
+#: Bytes of the texts whose pieces are looked up at a time, or one text; each piece takes a hundred bytes meanwhile.
+PART_BYTES = 1 << 20
 
 #: What a file must say of its normalizer and pre-tokenizer for pieces to be encoded one by one.
 _NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
@@ -230,7 +232,11 @@ class BatchTokenizer:
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
-        ids, lengths = self._by_piece(texts) if self.piecewise else self._by_text(texts)
+        if self.piecewise and len(texts):
+            parts = [self._by_piece(part.column(0)) for part in batches_of(iter([pa.record_batch([texts], ["text"])]), "text", PART_BYTES)]
+            ids, lengths = (np.concatenate(x) for x in zip(*parts, strict=True))
+        else:
+            ids, lengths = self._by_text(texts)
         if self.end_id is None:
             return ids, lengths
         out = np.empty(len(ids) + len(lengths), np.uint32)

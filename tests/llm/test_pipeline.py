@@ -148,3 +148,23 @@ def test_workers_drop_tables_of_other_stages(spark, sf_dir):
     from quillspark.llm.common import map_batches
 
     assert map_batches(spark.range(64, numPartitions=8), held, "n long").where("n > 0").isEmpty()
+
+
+def test_a_block_is_encoded_in_parts():
+    """The arrays of a block's pieces are held for a part of it only, and the ids are those of the library."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from quillspark.llm.tokens import BatchTokenizer, tokenizer_path
+
+    texts = [" ".join(f"{w} w{(i * 31 + k) % 977}," for k, w in enumerate(("some", "words", "of", "a", "text") * 40)) for i in range(2000)] + ["", None]
+    t, block = BatchTokenizer(tokenizer_path(), 1), pa.array(texts)
+    tracemalloc.start()
+    ids, n = t.encode(block)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(n) == len(texts) and n.sum() == len(ids) and peak < 150 << 20, peak
+    ends = n.cumsum()
+    for i in (0, 700, 1999, 2000, 2001):
+        assert ids[ends[i] - n[i] : ends[i]].tolist() == [*t.tokenizer.encode(texts[i] or "", add_special_tokens=False).ids, 1]
