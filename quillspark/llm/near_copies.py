@@ -42,7 +42,7 @@ KEY_ROWS = 2_000
 #: Fewest bits of a parity bitmap; it has as many as a power of two that the set's size doesn't exceed, so unrelated sets are told apart at any length.
 BITS = 256
 #: Differing bits at which fingerprints are candidates, and the blocks that they are cut into. What the bits lose is found afterwards.
-BUDGET, BLOCKS = 6, 8
+BUDGET, BLOCKS = 3, 4
 #: Documents in the sample (about), and documents of it that hold a frequent shingle.
 SAMPLE, FREQUENT = 10_000, 10
 BATCH_BYTES = 4 << 20
