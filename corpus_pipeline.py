@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir), where docs has the columns of
 ``documents``, and works on all rows that the stage before has kept.  ``run``
-writes every stage's rows as Parquet to the shared folder and reads them again.
+writes every stage's rows as Parquet to the shared folder and reads them again; the
+rows of the stage before go then.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.llm import decontaminate, near_copies, ppm_language, suffix_dedup, vector_pack
-from quillspark.llm.common import stored, text_key
+from quillspark.llm.common import stored, text_key, unstored
 
 #: Predictions less sure than this are rejected.
 LEAST_SCORE = 0.5
@@ -109,5 +110,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        before, docs = docs, stored(stage(spark, docs, sf_dir), name)
+        unstored(before)
     return docs

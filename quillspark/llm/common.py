@@ -8,6 +8,7 @@ import ctypes
 import gc
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,16 +32,29 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: Folders of what is stored.
+_FOLDERS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder as Parquet and read again: it is computed once, and lost executors cost nothing.
 
-    The folder goes when the driver ends.
+    The folder goes with ``unstored``, or when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/quillspark-{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     atexit.register(_remove, spark, path.rpartition("/")[0])
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[out] = path.rpartition("/")[0]
+    return out
+
+
+def unstored(*frames: DataFrame) -> None:
+    """Give up the folders of stored frames that nothing will read any more."""
+    for df in frames:
+        if folder := _FOLDERS.pop(df, None):
+            _remove(df.sparkSession, folder)
 
 
 def _remove(spark: SparkSession, path: str) -> None:

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import batches_of, map_batches, stored
+from quillspark.llm.common import batches_of, map_batches, stored, unstored
 from quillspark.llm.simhash import Forest, components, fingerprint_links, majority
 
 #: Members of a group that one task joins.
@@ -46,6 +46,8 @@ BUDGET, BLOCKS = 3, 4
 #: Documents in the sample (about), and documents of it that hold a frequent shingle.
 SAMPLE, FREQUENT = 10_000, 10
 BATCH_BYTES = 4 << 20
+#: Edges up to which one task finds the components; more go through rounds of stars.
+FEW_EDGES = 2_000_000
 #: Candidate sets up to which they are sent to all rows; more are joined by a shuffle.
 BROADCAST = 200_000
 _MULTIPLIERS = np.array([xxhash.xxh64_intdigest(b"%d" % i) | 1 for i in range(64)], np.uint64)
@@ -200,6 +202,28 @@ def _edges(links: Iterator[tuple[np.ndarray, list[tuple[int, int]]]]) -> Iterato
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
 
+def connected(edges: DataFrame, few: int = FEW_EDGES) -> DataFrame:
+    """(node, root) for every node of ``edges`` (a, b), as ``components`` has them: root is the component's smallest node.
+
+    Edges that one task holds are joined there at once: each round of stars costs the
+    driver plans, threads and broadcasts, however few the edges are.
+    """
+    now = stored(edges, "links")
+    if now.count() > few:
+        return components(now)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(np.asarray(b.column("a")), np.asarray(b.column("b"))) for b in batches if b.num_rows]
+        if held:
+            a, b = (np.concatenate(x) for x in zip(*held, strict=True))
+            nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+            forest = Forest(len(nodes))
+            forest.link(at[: len(a)], at[len(a) :])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[forest.roots()])], names=["node", "root"])
+
+    return map_batches(now.coalesce(1), run, "node long, root long")
+
+
 def _candidates(classed: DataFrame, threshold: float, key_rows: int) -> DataFrame:
     """Edges (a, b) between classes of sets (sig, cls, n, bits, prefix) that may be near: whatever is near is connected."""
     entries = classed.select("sig", "cls", F.explode("prefix").alias("key"))
@@ -256,12 +280,12 @@ def _checked(rows: DataFrame, groups: DataFrame, size: int, threshold: float, ke
         wanted = F.broadcast(wanted)
     chosen = rows.join(wanted, rows["id"].eqNullSafe(wanted["one.id"]) & (rows["crc"] == wanted["one.crc"]))
     texts = chosen.select("sig", "cls", "root", "c", "text").dropDuplicates(["sig"])
-    return components(_verified(_dealt(texts, "root", F.col("c"), "sig", key_rows).select("group", "cls", "text"), size, threshold))
+    return connected(_verified(_dealt(texts, "root", F.col("c"), "sig", key_rows).select("group", "cls", "text"), size, threshold))
 
 
 def by_fingerprints(distinct: DataFrame, budget: int, blocks: int) -> DataFrame:
     """sig, one, cls, root of the sets whose fingerprints the trie join connects with another set's; every set is a class of its own, root is the component."""
-    comp = components(fingerprint_links(distinct.select("fp").distinct(), budget, blocks))
+    comp = connected(fingerprint_links(distinct.select("fp").distinct(), budget, blocks))
     rooted = stored(distinct.join(comp, distinct["fp"] == comp["node"], "left").select("sig", "one", F.col("sig").alias("cls"), F.coalesce("root", "fp").alias("root")), "prints")
     several = rooted.groupBy("root").count().where("count > 1").select("root")
     return rooted.join(several, "root", "left_semi")
@@ -286,13 +310,17 @@ def near_copies(
     rows = df.select(df[id_col].alias("id"), df[text_col].cast("string").alias("text")).withColumn("crc", F.xxhash64("text"))
     own = stored(_sketches(rows, shingle, threshold, _frequent(rows, "text", shingle)), "sketches")
     one = F.min(F.struct("id", "crc")).alias("one")
+    ids = stored(own.select("id", "sig"), "ids")
     distinct = stored(own.groupBy("sig").agg(F.min("id").alias("least"), one, *[F.any_value(c).alias(c) for c in ("fp", "n", "bits", "prefix")]), "distinct")
+    unstored(own)
     comp = _checked(rows, by_fingerprints(distinct, budget, blocks), shingle, threshold, key_rows)
     classed = stored(distinct.join(comp, distinct["sig"] == comp["node"], "left").drop("node", "fp").withColumn("cls", F.coalesce("root", "sig")).drop("root"), "classes")
+    unstored(distinct)
     # The rest: classes that the prefix filter connects.
-    maybe = components(_candidates(classed, threshold, key_rows))
+    maybe = connected(_candidates(classed, threshold, key_rows))
     groups = classed.select("sig", "one", "cls").join(maybe, F.col("cls") == maybe["node"]).drop("node")
     comp = _checked(rows, groups, shingle, threshold, key_rows)
     rooted = stored(classed.join(comp, classed["cls"] == comp["node"], "left").select("sig", "least", F.coalesce("root", "cls").alias("root")), "rooted")
+    unstored(classed)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return own.select("id", "sig").join(rooted.join(least, "root").select("sig", "component_id"), "sig").select(F.col("id").alias(id_col), "component_id")
+    return ids.join(rooted.join(least, "root").select("sig", "component_id"), "sig").select(F.col("id").alias(id_col), "component_id")

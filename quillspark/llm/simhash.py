@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import batches_of, kept, kept_fields, map_batches, named, refuse_clashes, stored, with_fields
+from quillspark.llm.common import batches_of, kept, kept_fields, map_batches, named, refuse_clashes, stored, unstored, with_fields
 
 #: Fingerprints of a key that one task joins; beyond it the key is split by further bits, so many times, then into groups of this size.
 KEY_ROWS = 20_000
@@ -311,7 +311,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     last = None
     for _ in range(max_rounds):
-        now = stored(star(star(now, True), False), "edges")
+        before, now = now, stored(star(star(now, True), False), "edges")
+        unstored(before)
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if seen == last:
             break

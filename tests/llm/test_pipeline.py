@@ -168,3 +168,25 @@ def test_a_block_is_encoded_in_parts():
     ends = n.cumsum()
     for i in (0, 700, 1999, 2000, 2001):
         assert ids[ends[i] - n[i] : ends[i]].tolist() == [*t.tokenizer.encode(texts[i] or "", add_special_tokens=False).ids, 1]
+
+
+def test_near_copies_leave_no_sketches_behind(spark, tmp_path, monkeypatch):
+    """What is stored on the way goes when nothing reads it any more: the stages after this one have the disk."""
+    from quillspark.llm import common, near_copies
+
+    monkeypatch.setattr(common, "shared_dir", lambda _: f"file://{tmp_path}")
+    docs = spark.createDataFrame([(i, " ".join(f"w{i // 2 * 3 + k}" for k in range(40))) for i in range(12)], "doc_id long, text string")
+    out = near_copies.near_copies(docs)
+    left = {p.name for p in tmp_path.glob("quillspark-*/*")}
+    assert "rooted" in left and not left & {"sketches", "distinct", "classes"}
+    assert {r["component_id"] for r in out.collect()} <= set(range(0, 12, 2))
+
+
+def test_few_edges_have_the_components_of_many(spark):
+    from quillspark.llm.near_copies import connected
+
+    rows = [(i, i + 1) for i in range(-20, 20) if i % 7] + [(-(1 << 62), 5), (5, 5), (100, 50), (100, 99), (1 << 62, 99)]
+    edges = spark.createDataFrame(rows, "a long, b long").repartition(3)
+    own = sorted(map(tuple, connected(edges).collect()))
+    assert own == sorted(map(tuple, connected(edges, few=0).collect())) and (1 << 62, 50) in own and (6, -(1 << 62)) in own
+    assert connected(edges.where("false")).isEmpty()
