@@ -48,11 +48,10 @@ STRETCH = 16
 CHUNK_BYTES = 2 << 20
 #: The transform's file stays in memory up to this size, then goes to disk like any spill of a task; rows that are read at a time.
 FILE_BYTES, BLOCK_ROWS = 32 << 20, 1 << 21
-#: Bytes of a symbol; half as many where a collection has more kinds than 16 bits number, or a window isn't made of whole ones.
-SYMBOL = 4
+#: Bytes of a symbol; fewer where a collection has more kinds or documents than 24 bits number, or a window isn't made of whole ones.
+SYMBOL = 20
 NO_ID = -(1 << 63)
-_END = 65535  # no symbol
-_KINDS = 65536
+_NUMBERS = 1 << 24
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD, 0xD6E8FEB86659FD93)]
 
@@ -200,7 +199,7 @@ def meet(found: DataFrame, frequent: DataFrame) -> DataFrame:
 
 
 class RowFile:
-    """The rows of the growing transform as 64-bit numbers (symbol in 16 bits, common prefix and suffix length in 8 each, document), written and read front to back; on disk beyond ``limit`` bytes."""
+    """The rows of the growing transform as 64-bit numbers (symbol in 24 bits, common prefix and suffix length in 8 each, document in 24), written and read front to back; on disk beyond ``limit`` bytes."""
 
     def __init__(self, limit: int):
         self.limit, self.held, self.bytes, self.file = limit, [], 0, None
@@ -236,13 +235,13 @@ class RowFile:
 
 
 def _packed(symbol: np.ndarray, prefix: np.ndarray | int, size: int, doc: np.ndarray) -> np.ndarray:
-    return symbol.astype(np.uint64) | np.asarray(prefix, np.uint64) << np.uint64(16) | np.uint64(size << 24) | doc.astype(np.uint64) << np.uint64(32)
+    return symbol.astype(np.uint64) | np.asarray(prefix, np.uint64) << np.uint64(24) | np.uint64(size << 32) | doc.astype(np.uint64) << np.uint64(40)
 
 
 def _fields(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(symbol, common prefix, suffix length, document) of rows."""
     small = rows.view(np.uint8).reshape(-1, 8)
-    return rows.view(np.uint16).reshape(-1, 4)[:, 0], small[:, 2], small[:, 3], rows.view(np.uint32).reshape(-1, 2)[:, 1]
+    return rows.view(np.uint32)[::2] & np.uint32(_NUMBERS - 1), small[:, 3], small[:, 4], rows >> np.uint64(40)
 
 
 def _least_between(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -275,49 +274,56 @@ def _least_between(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> n
 class _Places:
     """First pass of a round: rows are read front to back; the suffixes to insert get their places and common prefixes, what comes after them its new one."""
 
-    def __init__(self, counts: np.ndarray, size: int):
-        self.below, self.size = np.cumsum(counts) - counts, size
-        self.seen = np.zeros(_KINDS, np.int64)
-        self.least = np.full(_KINDS, 255, np.uint8)  # common prefixes since a symbol's last row
-        self.after_new = np.zeros(_KINDS, bool)
+    def __init__(self, counts: np.ndarray, size: int, blocks: bool):
+        """``blocks``: the rows come in several, so symbols are counted from one to the next."""
+        self.end, self.size, self.blocks = len(counts) - 1, size, blocks
         self.parts: list[tuple[np.ndarray, ...]] = []
+        if blocks:
+            self.below = np.cumsum(counts) - counts
+            self.seen = np.zeros(len(counts), np.int64)
+            self.least = np.full(len(counts), 255, np.uint8)  # common prefixes since a symbol's last row
+            self.after_new = np.zeros(len(counts), bool)
 
     def read(self, rows: np.ndarray, more: bool) -> None:
         """``more``: rows follow that will ask for what was last."""
-        symbol, prefix, length, doc = _fields(rows)
-        symbol, prefix, new = np.ascontiguousarray(symbol), np.ascontiguousarray(prefix), length == self.size - 1
-        sizes = np.bincount(symbol, minlength=_KINDS)
-        order = np.argsort(symbol, kind="stable")[: len(rows) - int(sizes[_END])]
-        sizes[_END] = 0
-        kinds = np.flatnonzero(sizes)
-        heads = (np.cumsum(sizes) - sizes)[kinds]
+        symbol, prefix, length = _fields(rows)[:3]
+        prefix, new = np.ascontiguousarray(prefix), length == self.size - 1
+        # By symbol, then by place; rows without a symbol have the last number and come last.
+        keys = np.sort(symbol.astype(np.uint64) << np.uint64(32) | np.arange(len(rows), dtype=np.uint64))
+        keys = keys[: np.searchsorted(keys, np.uint64(self.end << 32))]
         low = prefix.min() if more else 0
-        if not len(order):
-            self.least = np.minimum(self.least, low)
+        if not len(keys):
+            if more:
+                self.least = np.minimum(self.least, low)
             return
+        order, kind = (keys & np.uint64(0xFFFFFFFF)).astype(np.int64), keys >> np.uint64(32)
+        head = np.concatenate([[True], kind[1:] != kind[:-1]])
         fresh = new[order]
         touched = fresh.copy()
-        touched[1:] |= fresh[:-1]
-        touched[heads] = fresh[heads] | self.after_new[kinds]
+        touched[1:] |= fresh[:-1] & ~head[1:]
+        if self.blocks:
+            heads = np.flatnonzero(head)
+            kinds, sizes = kind[heads], np.diff(np.append(heads, len(keys)))
+            touched[heads] |= self.after_new[kinds]
         t = np.flatnonzero(touched)
-        at = order[t]
-        run = np.searchsorted(heads, t, side="right") - 1
-        own, inner = kinds[run], heads[run] != t
-        value = np.zeros(len(t), np.uint8)
+        at, inner = order[t], ~head[t]
+        value, rank = np.zeros(len(t), np.uint8), t
         if inner.any():
             value[inner] = _least_between(prefix, order[t[inner] - 1] + 1, at[inner]) + 1
-        met = np.flatnonzero(~inner & (self.seen[own] > 0))
-        if len(met):  # a symbol's first row of the block, after others in blocks before
-            value[met] = np.minimum(np.minimum.accumulate(prefix)[at[met]], self.least[own[met]]) + 1
-        rank = self.below[own] + self.seen[own] + t - heads[run]
-        self.parts.append((rank, fresh[t], value, doc[at].astype(np.int64)))
+        if self.blocks:
+            own = kind[t]
+            met = np.flatnonzero(~inner & (self.seen[own] > 0))
+            if len(met):  # a symbol's first row of the block, after others in blocks before
+                value[met] = np.minimum(np.minimum.accumulate(prefix)[at[met]], self.least[own[met]]) + 1
+            rank = self.below[own] + self.seen[own] + t - heads[np.searchsorted(heads, t, side="right") - 1]
+            self.seen[kinds] += sizes
+        self.parts.append((rank, fresh[t], value, (rows[at] >> np.uint64(40)).astype(np.int64)))
         if more:
-            tails = order[heads + sizes[kinds] - 1]
+            tails = order[heads + sizes - 1]
             since = np.append(np.minimum.accumulate(prefix[::-1])[::-1], np.uint8(255))
             self.least = np.minimum(self.least, low)
             self.least[kinds] = since[tails + 1]
             self.after_new[kinds] = new[tails]
-        self.seen += sizes
 
     def sorted(self) -> tuple[np.ndarray, ...]:
         if not self.parts:
@@ -330,7 +336,7 @@ class _Places:
 def column_wise(data: np.ndarray, offsets: np.ndarray, block: int = BLOCK_ROWS, file_bytes: int = FILE_BYTES) -> Iterator[np.ndarray]:
     """All suffixes of a collection in sorted order, in blocks of rows, as ``_fields`` takes them apart: common prefix with the row before, suffix length, document.
 
-    Documents hold fewer than 255 symbols of 16 bits, none of them the last number.
+    Documents hold fewer than 255 symbols; these, their kinds and the documents are numbered with 24 bits.
     Ends sort first and by document number, and match nothing.  Round j inserts the suffixes of length j: a
     row's place is the rank of its first symbol in the transform so far, and its
     common prefix is one more than the least between that symbol and its
@@ -338,13 +344,14 @@ def column_wise(data: np.ndarray, offsets: np.ndarray, block: int = BLOCK_ROWS,
     block, a round's new rows are all it holds.
     """
     m, sizes = len(offsets) - 1, np.diff(offsets)
-    last = np.where(sizes > 0, data[np.maximum(offsets[1:] - 1, 0)] if len(data) else _END, _END).astype(np.uint16)
+    end = np.int64(data.max(initial=0)) + 1  # no symbol
+    last = np.where(sizes > 0, data[np.maximum(offsets[1:] - 1, 0)] if len(data) else end, end)
     now = RowFile(file_bytes)
     for at in range(0, m, block):
         now.write(_packed(last[at : at + block], 0, 0, np.arange(at, min(m, at + block))))
-    counts, n = np.bincount(last, minlength=_KINDS), m
+    counts, n = np.bincount(last, minlength=end + 1), m
     for j in range(1, int(sizes.max(initial=0)) + 1):
-        places, left = _Places(counts, j), n
+        places, left = _Places(counts, j, n > block), n
         for rows in now.blocks(block):
             left -= len(rows)
             places.read(rows, left > 0)
@@ -353,17 +360,17 @@ def column_wise(data: np.ndarray, offsets: np.ndarray, block: int = BLOCK_ROWS,
             break
         own = doc[fresh]
         rest = sizes[own] - j
-        symbol = np.where(rest > 0, data[np.maximum(offsets[own] + rest - 1, 0)], _END).astype(np.uint16)
-        counts += np.bincount(symbol, minlength=_KINDS)
+        symbol = np.where(rest > 0, data[np.maximum(offsets[own] + rest - 1, 0)], end)
+        counts += np.bincount(symbol, minlength=end + 1)
         rows_new, place = _packed(symbol, value[fresh], j, own), m + rank[fresh]
         before = place - np.arange(len(place))  # the row of the file that each goes in front of
         moved = m + rank[~fresh]
-        changed, to = moved - np.searchsorted(place, moved), value[~fresh].astype(np.uint64) << np.uint64(16)
+        changed, to = moved - np.searchsorted(place, moved), value[~fresh].astype(np.uint64) << np.uint64(24)
         then, at, lo, clo = RowFile(file_bytes), 0, 0, 0
         for rows in now.blocks(block):
             chi, last_block = int(np.searchsorted(changed, at + len(rows))), at + len(rows) == n
             hi = len(before) if last_block else int(np.searchsorted(before, at + len(rows)))
-            rows[changed[clo:chi] - at] = (rows[changed[clo:chi] - at] & ~np.uint64(0xFF0000)) | to[clo:chi]
+            rows[changed[clo:chi] - at] = (rows[changed[clo:chi] - at] & ~np.uint64(0xFF000000)) | to[clo:chi]
             out, old = np.empty(len(rows) + hi - lo, np.uint64), np.ones(len(rows) + hi - lo, bool)
             target = place[lo:hi] - at - lo
             old[target] = False
@@ -406,21 +413,31 @@ def trimmed(data: np.ndarray, offsets: np.ndarray, anchors: np.ndarray, places:
     return data[_ranges(offsets[kept] + lo[kept], size)], ends, kept, lo[kept]
 
 
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, int]:
+    """Equal values as equal numbers from 0 on, and how many there are."""
+    kinds, codes = np.unique(values, return_inverse=True)
+    return codes, len(kinds)
+
+
 def _symbols(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, int]:
     """(symbols, offsets, bytes of one) of a collection: a text gives a document for each of the bytes that a symbol can begin at."""
-    for size in (s for s in (SYMBOL, SYMBOL // 2, 1) if s and length % s == 0):
+    for size in (s for s in dict.fromkeys((SYMBOL, 4, 2, 1)) if s <= SYMBOL and length % s == 0):
+        if (len(offsets) - 1) * size >= _NUMBERS:
+            continue
         each = np.arange(size)
         counts = np.maximum((np.diff(offsets)[:, None] - each) // size, 0).ravel()
         ends = np.concatenate([[0], np.cumsum(counts)])
         first = (offsets[:-1, None] + each).ravel()
         at = np.repeat(first - size * ends[:-1], counts) + size * np.arange(ends[-1])
-        values = _words(data)[at] & np.uint64((1 << (8 * size)) - 1)
-        if size <= 2:  # two bytes of UTF-8 are never the last number
-            return values.astype(np.uint16), ends, size
-        kinds, codes = np.unique(values.astype(np.uint32), return_inverse=True)
-        if len(kinds) < _END:
-            return codes.astype(np.uint16), ends, size
-    raise AssertionError("symbols of one byte always do")
+        words, done = _words(data), min(size, 8)
+        codes, kinds = _numbered(words[at] & np.uint64((1 << (8 * done)) - 1))
+        while done < size and kinds < _NUMBERS:  # equal so far, and in the next bytes
+            more = min(size - done, 5)
+            codes, kinds = _numbered(codes.astype(np.uint64) << np.uint64(40) | words[at + done] & np.uint64((1 << (8 * more)) - 1))
+            done += more
+        if kinds < _NUMBERS:
+            return codes, ends, size
+    raise ValueError(f"{len(offsets) - 1} texts of one group are more than one task can transform")
 
 
 def repeated_windows(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

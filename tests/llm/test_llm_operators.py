@@ -360,6 +360,24 @@ def test_symbols_of_several_bytes_find_the_same_windows(monkeypatch, symbol):
     assert all(len(w) == 1 for w in by_group.values()) and len(by_group) == len(set(windows.values()))
 
 
+def test_wide_symbols_take_few_rounds_whatever_their_kinds():
+    """More kinds than 16 bits number: symbols stay wide, windows and groups are the same, in one block or in many."""
+    rng = np.random.default_rng(9)
+    unlike = [bytes(rng.integers(97, 123, 199).astype(np.uint8)) for _ in range(700)]
+    texts = unlike + [b"ab" + unlike[5][20:150], unlike[5][25:180], unlike[6], b"short"]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    symbols, ends, size = suffix_dedup._symbols(data, offsets, 100)
+    assert len(np.unique(symbols)) > 65535 and np.diff(ends).max() * size <= 199 and np.diff(ends).max() < 10
+    doc, start, group = suffix_dedup.repeated_windows(data, offsets, 100)
+    windows = {(d, p): texts[d][p : p + 100] for d in range(len(texts)) for p in range(len(texts[d]) - 99)}
+    found = {(d, p): g for d, p, g in zip(doc.tolist(), start.tolist(), group.tolist(), strict=True)}
+    assert found.keys() == windows.keys()
+    assert len(set(found.values())) == len(set(windows.values())) == len({(found[k], w) for k, w in windows.items()})
+    whole = np.concatenate(list(suffix_dedup.column_wise(symbols, ends)))
+    assert np.array_equal(whole, np.concatenate(list(suffix_dedup.column_wise(symbols, ends, 5000, 0))))
+
+
 def test_hashes_alone_decide_nothing(spark, monkeypatch):
     """With hashes of no use, so that everything meets and looks equal, the result is the same."""
     rnd = random.Random(8)
