@@ -94,6 +94,10 @@ def in_chunk(chunks: DataFrame, glossary: DataFrame, key: str, text: str) -> Dat
     return held.select(F.col("__key").alias(key), "term", "english").distinct()
 
 
+#: Bytes of a glossary that is sent to every executor.
+SMALL = 8_000_000
+
+
 def _times(text: Column, word: Column) -> Column:
     return ((F.length(text) - F.length(F.replace(text, word, F.lit("")))) / F.length(word)).cast("long")
 
@@ -102,13 +106,20 @@ def retention(pairs: DataFrame, glossary: DataFrame) -> DataFrame:
     """Q3: (doc_id, term, wanted, found): every occurrence of a term in the source needs its rendering in the target.
 
     Terms meet the sources by their first three characters (all of a shorter term);
-    only those are counted.
+    only those are counted.  A glossary of up to ``SMALL`` bytes is sent to the sources;
+    of a larger one neither side is, and no text goes with the characters.
     """
     g = glossary.select("term", "english").distinct().where(F.length("term") > 0).withColumn("k", F.least(F.length("term"), F.lit(3)))
-    sizes = sorted(r["k"] for r in g.select("k").distinct().collect())
+    found = g.groupBy("k").agg(F.sum(F.octet_length("term") + F.coalesce(F.octet_length("english"), F.lit(0))).alias("bytes")).collect()
+    sizes = sorted(r["k"] for r in found)
     starts = lambda k: F.when(F.length("source") >= k, F.transform(F.sequence(F.lit(1), F.length("source") - k + 1), lambda i: F.substring(F.col("source"), i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
-    found = F.array_distinct(F.concat(F.array().cast("array<string>"), *[starts(k) for k in sizes]))
-    met = pairs.select("doc_id", "source", "target", F.explode(found).alias("start")).join(g.withColumn("start", F.substring(F.col("term"), F.lit(1), F.col("k"))), "start")
+    each = F.explode(F.array_distinct(F.concat(F.array().cast("array<string>"), *[starts(k) for k in sizes]))).alias("start")
+    g = g.select("term", "english", F.substring(F.col("term"), F.lit(1), F.col("k")).alias("start"))
+    if sum(r["bytes"] for r in found) <= SMALL:
+        met = pairs.select("doc_id", "source", "target", each).join(F.broadcast(g), "start")
+    else:
+        keys = pairs.select("doc_id", each).hint("merge").join(g, "start").select("doc_id", "term", "english")
+        met = keys.hint("merge").join(pairs.select("doc_id", "source", "target"), "doc_id")
     counted = met.where(F.contains("source", "term")).select("doc_id", "term", _times(F.col("source"), F.col("term")).alias("wanted"), _times(F.col("target"), F.col("english")).alias("found"))
     return counted.distinct()
 
