@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.functions.binding import let
 from quillspark.operators.graph import cut_lineage
 
 
@@ -35,29 +38,48 @@ def near_pairs(docs: DataFrame, key: str, words: str, version: str, size: str, s
     Prefix filter: at that threshold two sets of n shingles must share one of the first
     ``n - ceil(t n) + 1`` of each, in an order that is the same for all; it puts shingles
     that a sample shows to be frequent last, so only rare ones meet.  The sample changes
-    what the join costs, never what it finds.  Only those few leave a document's row;
-    copies of one set are collapsed before and join again as members, so no group of
-    copies is paired.  The newer version wins, then the longer document, then the
-    smaller key.
+    what the join costs, never what it finds.  Only those few leave a document's row, and
+    how many of them a pair shares bounds its whole intersection: of the set whose prefix
+    ends first no more than the rest comes on top.  The pairs left are few; the shingles
+    of their documents are made again, so no set is stored or shuffled before.  Copies of
+    one set are collapsed before and join again as members, so no group of copies is
+    paired.  The newer version wins, then the longer document, then the smaller key.
     """
-    n = F.size(words)
-    grams = F.when(n >= shingle, F.array_distinct(F.transform(F.sequence(F.lit(1), n - shingle + 1), lambda i: F.xxhash64(F.slice(F.col(words), i, shingle))))).otherwise(F.array(F.xxhash64(F.col(words))))
-    sets = docs.where(n > 0).select(F.col(key).alias("k"), F.sort_array(grams).alias("g"), F.col(version).alias("v"), F.col(size).alias("z"))
-    sets = sets.withColumn("sig", F.struct(F.xxhash64("g").alias("a"), F.xxhash64(F.lit(1), "g").alias("b")))
-    order = F.struct((-F.col("v")).alias("v"), (-F.col("z")).alias("z"), F.col("k").alias("k"))
-    sets = cut_lineage(sets.withColumn("o", order))
-    first = sets.groupBy("sig").agg(F.min("o").alias("best"))
-    known = cut_lineage(sets.join(first, "sig").select("k", "o", "g", F.col("best.k").alias("winner")))
-    copies = known.where("k <> winner").select(F.col("k").alias("loser"), "winner", F.lit(1.0).alias("similarity"))
-    best = known.where("k = winner").select("k", "o", "g", F.size("g").alias("n"))
-    common = _frequent(best)
-    rare, late = F.array_except("g", common), F.array_intersect("g", common)
-    most = (F.col("n") - F.ceil(F.col("n") * threshold) + 1).cast("int")
-    ordered = F.concat(F.sort_array(rare), F.sort_array(late))
-    prefix = best.select("k", "o", "n", F.explode(F.slice(ordered, F.lit(1), most)).alias("t"))
-    a, b = prefix.toDF("ka", "oa", "na", "t"), prefix.toDF("kb", "ob", "nb", "t")
-    cand = a.join(b, "t").where((F.col("oa") < F.col("ob")) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb"))).select("ka", "kb").distinct()
-    ga, gb = best.select(F.col("k").alias("ka"), F.col("g").alias("gx")), best.select(F.col("k").alias("kb"), F.col("g").alias("gy"))
+
+    def grams(w: Column) -> Column:
+        n = F.size(w)
+        each = F.when(n >= shingle, F.array_distinct(F.transform(F.sequence(F.lit(1), n - shingle + 1), lambda i: F.xxhash64(F.slice(w, i, shingle))))).otherwise(F.array(F.xxhash64(w)))
+        return F.when(n > 0, F.sort_array(each))
+
+    sets = docs.select(F.col(key).alias("k"), let(F.col(words), grams).alias("g"), F.struct((-F.col(version)).alias("v"), (-F.col(size)).alias("z"), F.col(key).alias("k")).alias("o"))
+    common = _frequent(docs.select(F.col(words).alias("w")), lambda d: d.select(let(F.col("w"), grams).alias("g")))
+    most = lambda n: (n - F.ceil(n * threshold) + 1).cast("int")
+
+    def sketch(g: Column) -> Column:
+        late = F.array_intersect(g, common)
+        first = F.slice(F.concat(F.array_except(g, common), late), F.lit(1), most(F.size(g)))  # both parts stay sorted
+        # Where a prefix ends; all those that end among the frequent ones count as one place.
+        end = F.when(F.array_contains(common, F.element_at(first, -1)), F.lit(2**63 - 1)).otherwise(F.element_at(first, -1))
+        sig = F.struct(F.xxhash64(g).alias("a"), F.xxhash64(F.lit(1), g).alias("b"))
+        return F.when(g.isNotNull(), F.struct(sig.alias("sig"), F.size(g).alias("n"), first.alias("first"), end.alias("e")))
+
+    known = cut_lineage(sets.select("o", let(F.col("g"), sketch).alias("s"))).where("s IS NOT NULL").select("o", "s.*")
+    first = known.groupBy("sig").agg(F.min("o").alias("best"))
+    pairs = known.select("o", "sig").join(first, "sig").where(F.col("o") != F.col("best"))
+    copies = pairs.select(F.col("o.k").alias("loser"), F.col("best.k").alias("winner"), F.lit(1.0).alias("similarity"))
+    best = known.join(first.select(F.col("best").alias("o")), "o", "left_semi")
+    prefix = best.select("o", "n", "e", F.explode("first").alias("t"))
+    a, b = prefix.toDF("oa", "na", "ea", "t"), prefix.toDF("ob", "nb", "eb", "t")
+    met = a.join(b, "t").where((F.col("oa") < F.col("ob")) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb")))
+    shared = met.groupBy("oa", "ob").agg(F.count("*").alias("c"), *[F.first(x).alias(x) for x in ("na", "nb", "ea", "eb")])
+    rest = lambda n: n - most(n)
+    above = F.when(F.col("ea") < F.col("eb"), rest(F.col("na"))).when(F.col("ea") > F.col("eb"), rest(F.col("nb"))).otherwise(F.greatest(rest(F.col("na")), rest(F.col("nb"))))
+    # A hair below the bound, for rounding.
+    cand = cut_lineage(shared.where(F.col("c") + above >= (F.col("na") + F.col("nb")) * (threshold / (1 + threshold)) - 1e-6).select(F.col("oa.k").alias("ka"), F.col("ob.k").alias("kb")))
+    keys = cand.select(F.col("ka").alias(key)).union(cand.select("kb")).distinct()
+    few = F.broadcast if cand.count() <= KEYS else (lambda d: d)
+    again = docs.join(few(keys), key, "left_semi").select(F.col(key).alias("k"), let(F.col(words), grams).alias("g"))
+    ga, gb = again.select(F.col("k").alias("ka"), F.col("g").alias("gx")), again.select(F.col("k").alias("kb"), F.col("g").alias("gy"))
     both = cand.join(ga, "ka").join(gb, "kb").withColumn("inter", F.size(F.array_intersect("gx", "gy")))
     sim = both.select(F.col("kb").alias("loser"), F.col("ka").alias("winner"), (F.col("inter") / (F.size("gx") + F.size("gy") - F.col("inter"))).alias("similarity")).where(F.col("similarity") >= threshold)
     return copies.union(sim)
@@ -65,11 +87,14 @@ def near_pairs(docs: DataFrame, key: str, words: str, version: str, size: str, s
 
 #: Sets in the sample that tells frequent shingles (about), how many of them hold one, and how many shingles are put last at most.
 SAMPLE_SETS, FREQUENT, LAST = 5_000, 10, 1_000
+#: Pairs whose keys are sent to every executor.
+KEYS = 1_000_000
 
 
-def _frequent(best: DataFrame) -> Column:
-    share = min(1.0, SAMPLE_SETS / max(1, best.count()))
-    seen = best.sample(False, share, 5).select(F.explode("g").alias("t")).groupBy("t").count().where(F.col("count") >= FREQUENT)
+def _frequent(docs: DataFrame, grams: Callable[[DataFrame], DataFrame]) -> Column:
+    share = min(1.0, SAMPLE_SETS / max(1, docs.count()))
+    sets = grams(docs.sample(False, share, 5)).groupBy(F.xxhash64("g")).agg(F.first("g").alias("g"))
+    seen = sets.select(F.explode("g").alias("t")).groupBy("t").count().where(F.col("count") >= FREQUENT)
     rows = seen.orderBy(F.desc("count"), "t").limit(LAST).collect()
     return F.array(*[F.lit(r["t"]) for r in rows]).cast("array<bigint>")
 

@@ -109,7 +109,7 @@ def dedup_report_status_counts(spark, sf):
 )
 def dedup_near_shingle(spark, sf):
     d = _t(spark, sf, "documents").select("doc_id", X.tokens(F.col("text")).alias("w"), F.lit(1).alias("v"), "n_chars")
-    return dedup.near_pairs(cut_lineage(d), "doc_id", "w", "v", "n_chars")
+    return dedup.near_pairs(d, "doc_id", "w", "v", "n_chars")
 
 
 @register("corpus_percentiles", """WITH s AS (SELECT strlen(text) AS z, row_number() OVER (ORDER BY strlen(text)) - 1 AS r, count(*) OVER () AS n FROM documents)

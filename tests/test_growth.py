@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillspark.operators import translation
+from quillspark.operators import dedup, translation
 
 
 def plan(frame) -> str:
@@ -21,3 +21,18 @@ def test_glossary_meets_sources(spark, monkeypatch):
     large = translation.retention(p, g)
     assert "SortMergeJoin" in plan(large) and "Broadcast" not in plan(large)
     assert {tuple(r) for r in large.collect()} == want and large.count() == len(want)
+
+
+def test_near_pairs_store_no_sets(spark, monkeypatch):
+    """What is stored of a document is a tenth of its shingles, and pairs that share too few of those go no further."""
+    stored, cut = [], dedup.cut_lineage
+    monkeypatch.setattr(dedup, "cut_lineage", lambda d: stored.append(cut(d)) or stored[-1])
+    own = [(i, [f"w{i}_{j}" for j in range(40)] + "a b c d e".split() + [f"v{i}_{j}" for j in range(15)]) for i in range(8)]
+    text = [f"t{j}" for j in range(100)]
+    rows = [*own, (20, text), (21, [*text[:-1], "x"]), (22, text), (23, text[:-8]), (24, [])]
+    d = spark.createDataFrame([(k, w, 1, len(w)) for k, w in rows], "k int, w array<string>, v int, z int")
+    found = {(r["loser"], r["winner"], round(r["similarity"], 4)) for r in dedup.near_pairs(d, "k", "w", "v", "z").collect()}
+    assert found == {(22, 20, 1.0), (21, 20, round(95 / 97, 4)), (23, 20, round(88 / 96, 4))} | ({(23, 21, round(88 / 96, 4))})
+    widest = max(len(v) for f in stored for r in f.collect() for x in r.asDict(recursive=True).values() for v in (x.values() if isinstance(x, dict) else [x]) if isinstance(v, list))
+    assert widest <= 11
+    assert {frozenset(r) for r in stored[-1].collect()} == {frozenset(p) for p in ((20, 21), (20, 23), (21, 23))}
