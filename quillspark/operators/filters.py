@@ -81,7 +81,7 @@ def attachment_stub(text: Column) -> Column:
 
 def char_share(text: Column, keep: str) -> Column:
     """G10 and the like: share of characters of a class."""
-    return F.when(F.length(text) > 0, F.round(F.length(F.regexp_replace(text, f"[^{keep}]", "")) / F.length(text), 4)).otherwise(0.0)
+    return F.when(F.length(text) > 0, F.round(F.regexp_count(text, F.lit(f"[{keep}]")) / F.length(text), 4)).otherwise(0.0)
 
 
 def line_share(text: Column, test) -> Column:
