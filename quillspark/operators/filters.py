@@ -85,8 +85,8 @@ def char_share(text: Column, keep: str) -> Column:
 
 
 def line_share(text: Column, test) -> Column:
-    ls = F.filter(lines(text), lambda x: stripped(x) != "")
-    return F.when(F.size(ls) > 0, F.round(F.size(F.filter(ls, test)) / F.size(ls), 4)).otherwise(0.0)
+    share = lambda ls: F.when(F.size(ls) > 0, F.round(F.size(F.filter(ls, test)) / F.size(ls), 4)).otherwise(0.0)
+    return let(F.filter(lines(text), lambda x: x.rlike("(?U)\\S")), share)
 
 
 def measures(text: Column) -> dict[str, Column]:
@@ -102,7 +102,7 @@ def measures(text: Column) -> dict[str, Column]:
         "macro_count": F.regexp_count(text, F.lit("\\{[a-zA-Z][\\w-]*(:[^}]*)?\\}|<ac:")).cast("double"),
         "mojibake_per_kchar": F.when(n > 0, F.round(F.regexp_count(text, F.lit("\\uFFFD|Ã[\\x{80}-\\x{BF}]|â€")) / n * 1000, 3)).otherwise(0.0),
         "archived": F.substring(text, 1, 200).rlike("(?i)\\b(archived?|deprecated|obsolete)\\b").cast("double"),
-        "prose_density": F.when(n > 0, F.round(F.aggregate(F.transform(F.regexp_extract_all(text, F.lit("\\p{Lu}[^.!?\\n]{20,}[.!?]"), F.lit(0)), lambda s: F.length(s)), F.lit(0), lambda a, x: a + x) / n, 4)).otherwise(0.0),
+        "prose_density": F.when(n > 0, F.round(F.aggregate(F.transform(F.regexp_extract_all(text, F.lit("\\p{Lu}[^.!?\\n]{20,}+[.!?]"), F.lit(0)), lambda s: F.length(s)), F.lit(0), lambda a, x: a + x) / n, 4)).otherwise(0.0),
     }
 
 
