@@ -5,26 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillspark.functions.binding import let
 from quillspark.operators import detectors
 
 
 def reverse_runs(docs: DataFrame) -> DataFrame:
     """RA1: (doc_id, text, repaired, healed): Hebrew runs with misplaced final forms are reversed outside fences, links and frontmatter; healed if the detector is silent afterwards."""
-    run = "[\\u05D0-\\u05EA\\u05B0-\\u05C7\\u05F3\\u05F4]{2,}"
-    base = detectors.prepared(docs)
-    numbers = F.transform("__cl", lambda z: z["n"])
+    hebrew = "\\u05D0-\\u05EA\\u05B0-\\u05C7\\u05F3\\u05F4"
+    run = f"[{hebrew}]{{2,}}"
 
     def fixed(line: Column) -> Column:
-        # Runs and what lies between them alternate; links are among the latter.
-        parts = F.regexp_extract_all(line, F.lit(f"!?\\[\\[?[^\\]]*\\]\\]?(?:\\([^)]*\\))?|{run}|(?s)."), F.lit(0))
+        # Runs and what lies between them alternate; links are among the latter, and what starts neither goes in one piece.
+        parts = F.regexp_extract_all(line, F.lit(f"!?\\[\\[?[^\\]]*\\]\\]?(?:\\([^)]*\\))?|{run}|[^!\\[{hebrew}]+|(?s)."), F.lit(0))
         wrong = lambda r: F.substring(r, 1, 1).isin(list(detectors.FINALS)) | F.right(r, F.lit(1)).isin(list(detectors.TWINS))
-        return F.array_join(F.transform(parts, lambda r: F.when(r.rlike(f"^{run}$") & wrong(r), F.reverse(r)).otherwise(r)), "")
-
-    every = F.split("text", "\n")
-    text = F.array_join(F.transform(every, lambda x, i: F.when(F.array_contains(numbers, i + 1), fixed(x)).otherwise(x)), "\n")
-    out = base.withColumn("repaired", text).select("doc_id", "text", "repaired", "raw", "path")
-    again = detectors.run(out.select("doc_id", F.col("repaired").alias("text"), "raw", "path"), ["rtl_char_reversed"]).select("doc_id", (~F.col("fired")).alias("healed"))
-    return out.join(again, "doc_id").select("doc_id", "text", "repaired", "healed")
+        return F.array_join(F.transform(parts, lambda r: F.when(wrong(r) & r.rlike(f"^{run}$"), F.reverse(r)).otherwise(r)), "")
+
+    every = lambda numbers: F.transform(F.split("text", "\n"), lambda x, i: F.when(x.rlike(run) & F.array_contains(numbers, i + 1), fixed(x)).otherwise(x))
+    text = F.when(F.col("text").rlike(run), let(F.transform("__cl", lambda z: z["n"]), lambda numbers: F.array_join(every(numbers), "\n"))).otherwise(F.col("text"))
+    out = detectors.prepared(docs).select("doc_id", "raw", "path", F.col("text").alias("__before"), text.alias("text"))
+    # The detector reads the repaired text in the same row.
+    d = detectors.REGISTRY["rtl_char_reversed"]
+    again = detectors.prepared(out).select("doc_id", "__before", "text", F.struct(*[c.alias(k) for k, c in d.base().items()]).alias("__v"))
+    _, fired = d.judge({k: F.col("__v")[k] for k in d.base()}, d.threshold)
+    return again.select("doc_id", F.col("__before").alias("text"), F.col("text").alias("repaired"), (~F.coalesce(fired, F.lit(False))).alias("healed"))
 
 
 def reverse_words(line: Column) -> Column:

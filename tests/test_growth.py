@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillspark.operators import dedup, filters, retrieval, translation
+from quillspark.operators import dedup, filters, repair, retrieval, translation
 
 
 def plan(frame) -> str:
@@ -62,3 +62,11 @@ def test_neighbours_in_parts(spark, monkeypatch):
         for name in ("QUERIES", "ROWS", "SCORES"):
             monkeypatch.setattr(retrieval, name, limit)
         assert {(r["query"], r["rank"], r["neighbour"]) for r in retrieval.knn_self(d, "id", "v", F.col("k") % 5 == 0, 4).collect()} == want
+
+
+def test_repair_reads_its_row_alone(spark):
+    """A text isn't shuffled to meet its own verdict, and plain stretches, links and fences stay as they are."""
+    rows = [(1, "a! ךלמ [x ךלמ](ךלמ) ![ךלמ b\n```\nךלמ\n```\nךלמ"), (2, "plain [x] text!\nb"), (3, "")]
+    d = repair.reverse_runs(spark.createDataFrame(rows, "doc_id int, text string").selectExpr("*", "CAST(text AS BINARY) AS raw", "'a.md' AS path"))
+    assert "Join" not in plan(d) and "Exchange" not in plan(d)
+    assert {r["doc_id"]: (r["repaired"], r["healed"]) for r in d.collect()} == {1: ("a! מלך [x ךלמ](ךלמ) ![מלך b\n```\nךלמ\n```\nמלך", False), 2: (rows[1][1], True), 3: ("", True)}
