@@ -70,3 +70,10 @@ def test_repair_reads_its_row_alone(spark):
     d = repair.reverse_runs(spark.createDataFrame(rows, "doc_id int, text string").selectExpr("*", "CAST(text AS BINARY) AS raw", "'a.md' AS path"))
     assert "Join" not in plan(d) and "Exchange" not in plan(d)
     assert {r["doc_id"]: (r["repaired"], r["healed"]) for r in d.collect()} == {1: ("a! מלך [x ךלמ](ךלמ) ![מלך b\n```\nךלמ\n```\nמלך", False), 2: (rows[1][1], True), 3: ("", True)}
+
+
+def test_reconversion_reads_texts_once(spark, sf_dir):
+    from quillspark.plans import registry
+
+    p = plan(registry.queries()["recon_accept"](spark, sf_dir))
+    assert "documents.parquet" not in p and "__cl" not in p
